@@ -375,14 +375,14 @@ EXCLUSION_TERMS = ["copper", "spears", "tyler", "JM eagle", "lasco", "ipex", "ni
 # Names under which a service may put its list of records, in order.
 ENVELOPE_NAMES = ["data", "results", "items", "records", "list"]
 
-DOCUMENT_SCHEMA = T.StructType.fromDDL(
-    """participant_key string, request_id string, properties array<string>,
-    entities array<struct<id: string, properties: array<string>,
-      transactions: array<struct<transaction_id: string, transaction_type: string,
-        sku_key: string, uom_key: string, quantity: double, amount: double,
-        invoice_date: string, properties: array<string>,
-        purchaser: struct<id: string>, seller: struct<key: string>>>>>,
-    relationships array<string>"""
+DOCUMENT_SCHEMA = (
+    "participant_key string, request_id string, properties array<string>, "
+    "entities array<struct<id: string, properties: array<string>, "
+    "transactions: array<struct<transaction_id: string, transaction_type: string, "
+    "sku_key: string, uom_key: string, quantity: double, amount: double, "
+    "invoice_date: string, properties: array<string>, "
+    "purchaser: struct<id: string>, seller: struct<key: string>>>>>, "
+    "relationships array<string>"
 )
 
 DEFAULT_TRANSACTION_TYPE = "retailer_purchases_from_distribution"

@@ -118,15 +118,19 @@ def plain_number(text: Column) -> Column:
     return F.when(trimmed.rlike(NUMBER), trimmed).try_cast("double")
 
 
-def leading_number(text: Column) -> Column:
-    """The number the text starts with, after ``$`` and ``,`` are dropped; else 0."""
-    bare = strip(F.regexp_replace(text, r"[$,]", ""))
+def prefix_number(text: Column) -> Column:
+    """The number the text starts with, else 0."""
     prefix = F.regexp_extract(
-        bare, r"^([+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?)", 1
+        strip(text), r"^([+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?)", 1
     )
     return F.coalesce(F.when(prefix != "", prefix).try_cast("double"), F.lit(0.0))
 
 
+def leading_number(text: Column) -> Column:
+    """The number the text starts with after ``$`` and ``,`` are dropped, else 0."""
+    return prefix_number(F.regexp_replace(text, r"[$,]", ""))
+
+
 def iso_text(text: Column) -> Column:
     """``m/d/y`` or ``m-d-y`` to ``y-mm-dd``; year-first and other text stays."""
     trimmed = clean_text(text)
@@ -166,7 +170,7 @@ def derived_unit_price(unit: Column, extended: Column, qty: Column) -> Column:
 
 def line_total(qty: Column, price: Column) -> Column:
     """Quantity times price to 2 places; text without a number counts as 0."""
-    return F.round(leading_number(qty) * leading_number(price), 2)
+    return F.round(prefix_number(qty) * prefix_number(price), 2)
 
 
 def percent(part: Column, whole: Column) -> Column:

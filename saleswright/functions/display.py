@@ -6,12 +6,17 @@ from pyspark.sql import functions as F
 
 def display_number(value: Column, pattern: Column) -> Column:
     """Text by display pattern: ``#,##0``, ``#,##0.000`` or ``$#,##0.00``."""
+    def fixed(places: int) -> Column:
+        # format_number alone rounds halves to even.
+        return F.format_number(F.round(value, places), places)
+
+    cents = F.round(value, 2)
     money = F.when(
-        value < 0, F.concat(F.lit("-$"), F.format_number(-value, 2))
-    ).otherwise(F.concat(F.lit("$"), F.format_number(value, 2)))
+        cents < 0, F.concat(F.lit("-$"), F.format_number(-cents, 2))
+    ).otherwise(F.concat(F.lit("$"), fixed(2)))
     return (
-        F.when(pattern == "#,##0", F.format_number(value, 0))
-        .when(pattern == "#,##0.000", F.format_number(value, 3))
+        F.when(pattern == "#,##0", fixed(0))
+        .when(pattern == "#,##0.000", fixed(3))
         .when(pattern == "$#,##0.00", money)
         .otherwise(value.cast("string"))
     )

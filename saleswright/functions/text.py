@@ -5,6 +5,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleswright.functions.cleaning import clean_text, strip
 
@@ -113,7 +114,7 @@ def quote_or_null(header: Column) -> Column:
     return F.when(found, F.concat(F.lit('"'), header, F.lit('"'))).otherwise(F.lit("NULL"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_entities(text: pd.Series) -> pd.Series:
     """Decode HTML entities. Meant for mapping rows, which are few."""
     return text.map(html.unescape, na_action="ignore")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswright.config import DEFAULT_TARGET_PERCENT
-from saleswright.functions.cleaning import leading_number, percent
+from saleswright.functions.cleaning import prefix_number, percent
 from saleswright.functions.text import comma_list
 from saleswright.scale import attach
 
@@ -15,7 +15,7 @@ MONEY = "decimal(18,4)"
 
 
 def _rate(name: str) -> Column:
-    return leading_number(F.coalesce(F.col(name).cast("string"), F.lit("")))
+    return prefix_number(F.coalesce(F.col(name).cast("string"), F.lit("")))
 
 
 def scenario_facts(scenarios: DataFrame, frames: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def _with_facts(transactions: DataFrame, facts: DataFrame) -> DataFrame:
     text = F.col("total").cast("string")
     return rows.withColumns(
         {
-            "_total": leading_number(F.coalesce(text, F.lit(""))).cast(MONEY),
+            "_total": prefix_number(F.coalesce(text, F.lit(""))).cast(MONEY),
             "_day": F.col("date").try_cast("date"),
             "_q": F.array_contains("qualifying", F.col("sku")),
             "_e": F.array_contains("earning", F.col("sku")),

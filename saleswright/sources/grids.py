@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleswright.config import GRID_SCHEMA
 from saleswright.functions.text import parse_range
@@ -86,7 +87,7 @@ def _whole_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 )
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _split_line(raw: pd.Series, encoding: pd.Series) -> pd.Series:
     def split(line: bytes, name: str) -> list[str | None]:
         rows = list(csv.reader([bytes(line).decode(name)]))
@@ -95,7 +96,7 @@ def _split_line(raw: pd.Series, encoding: pd.Series) -> pd.Series:
     return pd.Series([split(line, name) for line, name in zip(raw, encoding)])
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _encoding_rank(raw: pd.Series) -> pd.Series:
     def rank(line: bytes) -> int:
         for i, encoding in enumerate(ENCODINGS):
