@@ -57,10 +57,18 @@ def amount(text: Column) -> Column:
     return F.coalesce(_money(text), _money(cleaned))
 
 
-def bad_amount(text: Column) -> Column:
-    """True for text that is neither blank, nor noise only, nor an amount."""
+def unread(text: Column, value: Column) -> Column:
+    """True when text that is not blank gave no value."""
+    return F.coalesce((F.trim(text) != "") & value.isNull(), F.lit(False))
+
+
+def bad_amount(text: Column, value: Column | None = None) -> Column:
+    """True for text that is neither blank, nor noise only, nor an amount.
+
+    ``value`` is the amount when it is already at hand.
+    """
     left = F.regexp_replace(text, AMOUNT_NOISE, "")
-    return F.coalesce((F.trim(text) != "") & (left != "") & amount(text).isNull(), F.lit(False))
+    return unread(text, amount(text) if value is None else value) & (left != "")
 
 
 def quantity(text: Column) -> Column:
@@ -68,8 +76,8 @@ def quantity(text: Column) -> Column:
     return F.coalesce(_whole(text), _whole(F.regexp_replace(text, QUANTITY_NOISE, "")))
 
 
-def bad_quantity(text: Column) -> Column:
-    return F.coalesce((F.trim(text) != "") & quantity(text).isNull(), F.lit(False))
+def bad_quantity(text: Column, value: Column | None = None) -> Column:
+    return unread(text, quantity(text) if value is None else value)
 
 
 def sales_date(text: Column) -> Column:
@@ -83,7 +91,9 @@ def sales_date(text: Column) -> Column:
     short = F.when(
         trimmed.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$"), F.try_to_date(trimmed, "M/d/yy")
     )
-    short = F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short)
+    # The parser reads 69 to 99 as 2069 to 2099.
+    old = trimmed.rlike("/(69|[7-9][0-9])$")
+    short = F.add_months(short, F.when(old, F.lit(-1200)).otherwise(F.lit(0)))
     full = F.when(
         trimmed.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_date(trimmed, "M/d/yyyy")
     )
@@ -98,7 +108,7 @@ def sales_date(text: Column) -> Column:
 
 
 def bad_date(text: Column) -> Column:
-    return F.coalesce((F.trim(text) != "") & sales_date(text).isNull(), F.lit(False))
+    return unread(text, sales_date(text))
 
 
 def number(text: Column) -> Column:

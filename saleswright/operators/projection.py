@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleswright.config import (
@@ -60,9 +60,11 @@ def active_mapping(mapping: DataFrame, ledger: Ledger) -> DataFrame:
         *([MAPPING_ROW] if MAPPING_ROW in known else []),
     )
     if MAPPING_ROW not in known:
-        rows = rows.withColumn(
-            MAPPING_ROW, F.xxhash64("file_name", "sheet_name", "data_range", "filter")
-        )
+        # Rows that are alike in every column are still loaded once each.
+        alike = F.xxhash64(*rows.columns)
+        copy = F.row_number().over(Window.partitionBy(alike).orderBy(alike))
+        rows = rows.withColumn("_copy", copy).withColumn(MAPPING_ROW, F.xxhash64(*rows.columns, "_copy"))
+        rows = rows.drop("_copy")
     kept = F.upper("process").isin(PROCESS_VALUES) & (F.col("file_name") != "")
     return rows.filter(kept).drop("process")
 
@@ -79,7 +81,8 @@ def with_ranges(mapping: DataFrame) -> DataFrame:
     A header range moves the start of the data range up to its row; without one
     the first row of the range is the header.
     """
-    data = parse_range(F.col("data_range"))
+    mapping = mapping.withColumn("_data", parse_range(F.col("data_range")))
+    data = F.col("_data")
     given_header = F.regexp_extract("header_range", r"^[A-Z]+([0-9]+)", 1).try_cast("long")
     use_header = ~F.upper("use_header").isin(NO_HEADER_VALUES)
     start = F.when(
@@ -93,6 +96,7 @@ def with_ranges(mapping: DataFrame) -> DataFrame:
         .withColumn("from_col", F.coalesce(data["start_col"] - 1, F.lit(0)).cast("int"))
         .withColumn("to_col", F.coalesce(data["end_col"] - 1, F.lit(2**20)).cast("int"))
         .withColumn("predicate", clean_filter(F.col("filter")))
+        .drop("_data")
     )
 
 
@@ -118,50 +122,79 @@ def with_header_cells(mapping: DataFrame, grid: DataFrame) -> DataFrame:
 def resolve_fields(mapping: DataFrame, ledger: Ledger) -> DataFrame:
     """Turn each mapping value into a cell index or a literal.
 
-    Adds ``cell_of`` (field -> index), ``text_of`` (field -> literal),
-    ``counted`` (fields that make a row non-blank) and ``unresolved`` (fields whose
-    column does not exist). With a header, quoted names and 1-2 letter values are
-    header texts; without one they are column addresses.
+    Adds arrays in the order of ``field_order``: ``places`` (cell index), ``texts``
+    (literal) and ``counted`` (the field makes a row non-blank); and ``unresolved``,
+    the fields whose column does not exist. With a header, quoted names and 1-2
+    letter values are header texts; without one they are column addresses.
     """
+    fields = field_order(ledger)
     inside = F.transform(
         F.col("header_cells"),
         lambda h, i: F.when(i.between(F.col("from_col"), F.col("to_col")), F.lower(cl.clean_text(h))),
     )
-    mapping = mapping.withColumn("_names", inside)
-    cells, texts, counted, unresolved = [], [], [], []
-    for name in [*ledger.static, *[f for f, _ in ledger.mapped]]:
-        value = F.col(name)
-        none = cl.is_no_value(value)
-        literal = F.coalesce(dollar_literal(value), value)
-        is_dollar = dollar_literal(value).isNotNull()
-        if name in ledger.static:
-            texts.append((name, F.when(~none, literal)))
-            continue
-        is_column = ~none & ~is_dollar & (is_quoted(value) | is_letters(value))
-        wanted = F.when(
-            is_quoted(value), F.substring(cl.strip(value), F.lit(2), F.length(cl.strip(value)) - 2)
-        ).otherwise(F.upper(cl.strip(value)))
-        by_name = F.array_position("_names", F.lower(cl.strip(wanted))).cast("int") - 1
-        by_letter = letters_to_number(wanted) - 1
-        by_letter = F.when(by_letter.between(F.col("from_col"), F.col("to_col")), by_letter)
-        place = F.when(F.col("use_header"), by_name).otherwise(by_letter)
-        cells.append((name, F.when(is_column & (place >= 0), place)))
-        texts.append((name, F.when(~none & ~is_column, literal)))
-        unresolved.append(F.when(is_column & ~F.coalesce(place >= 0, F.lit(False)), F.lit(name)))
-        if name not in NOT_COUNTED_FOR_BLANK:
-            counted.append(F.when(~none & ~is_dollar, F.lit(name)))
+    row = F.struct(*[c for c in mapping.columns if c not in fields])
+    values = mapping.select(
+        MAPPING_ROW, row.alias("_row"), inside.alias("names"),
+        F.posexplode(F.array(*fields)).alias("i", "value"),
+    )
+    value = F.col("value")
+    static = F.col("i") < len(ledger.static)
+    shapes = values.select(
+        "*",
+        cl.is_no_value(value).alias("none"),
+        dollar_literal(value).alias("literal"),
+        is_quoted(value).alias("quoted"),
+        is_letters(value).alias("letters"),
+        F.upper(value).alias("upper"),
+    ).withColumn(
+        "from_cell",
+        ~static & ~F.col("none") & F.col("literal").isNull() & (F.col("quoted") | F.col("letters")),
+    )
+    wanted = F.when(F.col("quoted"), F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(
+        F.col("upper")
+    )
+    by_name = F.array_position("names", F.lower(cl.strip(wanted))).cast("int") - 1
+    by_letter = letters_to_number(F.col("upper")) - 1
+    by_letter = F.when(
+        by_letter.between(F.col("_row.from_col"), F.col("_row.to_col")), by_letter
+    ).otherwise(F.lit(-1))
+    place = F.when(
+        F.col("from_cell"), F.when(F.col("_row.use_header"), by_name).otherwise(by_letter)
+    )
+    names = F.array(*[F.lit(f) for f in fields])
+    not_counted = F.array(*[F.lit(f) for f in NOT_COUNTED_FOR_BLANK])
+    name = F.get(names, F.col("i"))
+    resolved = shapes.select(
+        MAPPING_ROW,
+        "_row",
+        F.struct(
+            "i",
+            place.alias("place"),
+            F.when(~F.col("none") & ~F.col("from_cell"), F.coalesce("literal", "value")).alias("text"),
+            (
+                ~static & ~F.col("none") & F.col("literal").isNull()
+                & ~F.array_contains(not_counted, name)
+            ).alias("counted"),
+            name.alias("name"),
+        ).alias("f"),
+    )
+    # A mapping row has a fixed number of fields, so the lists are short.
+    lists = resolved.groupBy(MAPPING_ROW).agg(
+        F.any_value("_row").alias("_row"), F.array_sort(F.collect_list("f")).alias("f")
+    )
+    missing = F.filter("f", lambda f: f["place"] < 0)
+    return lists.select(
+        "_row.*",
+        F.transform("f", lambda f: f["place"]).alias("places"),
+        F.transform("f", lambda f: f["text"]).alias("texts"),
+        F.transform("f", lambda f: f["counted"]).alias("counted"),
+        F.transform(missing, lambda f: f["name"]).alias("unresolved"),
+    )
 
-    def as_map(pairs):
-        entries = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in pairs])
-        return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
 
-    return (
-        mapping.withColumn("cell_of", as_map(cells))
-        .withColumn("text_of", as_map(texts))
-        .withColumn("counted", F.array_compact(F.array(*counted)))
-        .withColumn("unresolved", F.array_compact(F.array(*unresolved)))
-        .drop("_names")
-    )
+def field_order(ledger: Ledger) -> list[str]:
+    """The fields a mapping row fills: literals first, then cells."""
+    return [*ledger.static, *[f for f, _ in ledger.mapped]]
 
 
 def _backticks(predicate: str) -> str:
@@ -222,12 +255,7 @@ CLEANERS = {
     "int": cl.quantity,
     "string": lambda text: text,
 }
-BAD_VALUE = {
-    "date": lambda text: F.lit(False),
-    "decimal(10,2)": cl.bad_amount,
-    "int": cl.bad_quantity,
-    "string": lambda text: F.lit(False),
-}
+BAD_VALUE = {"decimal(10,2)": cl.bad_amount, "int": cl.bad_quantity}
 
 
 def prepare_mapping(mapping: DataFrame, grid: DataFrame, ledger: Ledger) -> DataFrame:
@@ -237,46 +265,58 @@ def prepare_mapping(mapping: DataFrame, grid: DataFrame, ledger: Ledger) -> Data
 
 
 PLAN_COLUMNS = [MAPPING_ROW, *SHEET, "use_header", "header_cells", "from_row", "to_row",
-                "predicate", "cell_of", "text_of", "counted"]
+                "predicate", "places", "texts", "counted"]
 
 
 def staged_rows(grid: DataFrame, prepared: DataFrame, ledger: Ledger) -> DataFrame:
-    """Rows in range with typed fields, before row numbers.
+    """Rows to load with typed fields, before row numbers.
 
-    ``is_loaded`` is false for rows that the condition or the blank test drops, and
-    ``bad_fields`` lists fields whose text could not be read.
+    Rows that fail the condition of their mapping row, or whose counted fields are
+    all NULL, are dropped. ``bad_fields`` lists fields whose text could not be read.
     """
     usable = prepared.filter(F.size("unresolved") == 0).select(*PLAN_COLUMNS)
-    rows = attach(grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, ["row_idx"])
+    rows = attach(
+        grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, ["row_idx"], computed=True
+    )
     rows = rows.filter(F.col("row_idx").between(F.col("from_row"), F.col("to_row")))
     passed = apply_predicates(rows, usable)
+    place = {name: F.lit(i) for i, name in enumerate(field_order(ledger))}
 
     def raw(name: str) -> Column:
-        cell = F.get(F.col("cells"), F.try_element_at("cell_of", F.lit(name)))
-        return F.coalesce(F.trim(cell), F.try_element_at("text_of", F.lit(name)))
-
-    typed = passed.select(
-        MAPPING_ROW,
-        *SHEET,
-        "row_idx",
-        "counted",
-        *[F.try_element_at("text_of", F.lit(n)).alias(n) for n in ledger.static],
-        *[CLEANERS[t](raw(n)).alias(n) for n, t in ledger.mapped],
-        F.array_compact(
-            F.array(
-                *[
-                    F.when(BAD_VALUE[t](raw(n)), F.lit(n))
-                    for n, t in ledger.mapped
-                    if t in ("decimal(10,2)", "int")
-                ]
-            )
-        ).alias("bad_fields"),
+        text = F.get("texts", place[name])
+        if name in ledger.static:
+            return text
+        return F.coalesce(F.trim(F.get(F.col("cells"), F.get("places", place[name]))), text)
+
+    # Each text is taken once, then cleaned, then tested.
+    keys = [MAPPING_ROW, *SHEET, "row_idx", "counted"]
+    texts = passed.select(*keys, *[raw(n).alias(n) for n in field_order(ledger)])
+    numbers = [n for n, t in ledger.mapped if t in BAD_VALUE]
+    typed = texts.select(
+        *keys,
+        *ledger.static,
+        *[CLEANERS[t](F.col(n)).alias(n) for n, t in ledger.mapped],
+        *[F.col(n).alias(f"_raw_{n}") for n in numbers],
     )
     present = F.lit(False)
     for name, _ in ledger.mapped:
         if name not in NOT_COUNTED_FOR_BLANK:
-            present = present | (F.array_contains("counted", name) & F.col(name).isNotNull())
-    return typed.filter((F.size("counted") == 0) | present).drop("counted")
+            present = present | (F.get("counted", place[name]) & F.col(name).isNotNull())
+    any_counted = F.array_contains("counted", True)
+    types = dict(ledger.mapped)
+    bad = F.array_compact(
+        F.array(
+            *[
+                F.when(BAD_VALUE[types[n]](F.col(f"_raw_{n}"), F.col(n)), F.lit(n))
+                for n in numbers
+            ]
+        )
+    )
+    return (
+        typed.filter(~any_counted | present)
+        .withColumn("bad_fields", bad)
+        .drop("counted", *[f"_raw_{n}" for n in numbers])
+    )
 
 
 def number_and_label(staged: DataFrame, ledger: Ledger, run_id: str = "") -> DataFrame:
@@ -304,7 +344,9 @@ def load_metadata(grid: DataFrame, prepared: DataFrame, staged: DataFrame) -> Da
     ``status`` is loaded, or failed when a mapped column does not exist.
     """
     bounds = prepared.select(MAPPING_ROW, *SHEET, "from_row", "to_row")
-    inside = attach(grid.select(*SHEET, "row_idx"), bounds, SHEET, ["row_idx"]).filter(
+    inside = attach(
+        grid.select(*SHEET, "row_idx"), bounds, SHEET, ["row_idx"], computed=True
+    ).filter(
         F.col("row_idx").between(F.col("from_row"), F.col("to_row"))
     )
     raw = inside.groupBy(MAPPING_ROW).agg(F.count(F.lit(1)).alias("raw_rows"))

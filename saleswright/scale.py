@@ -67,15 +67,17 @@ def attach(
     keys: Sequence[str],
     spread: Sequence[str],
     how: str = "inner",
+    computed: bool = False,
 ) -> DataFrame:
     """Join per-key facts to many rows.
 
     The facts are computed once and measured. Small ones are broadcast, so the
     rows are not shuffled. Larger ones are copied ``SALTS`` times and joined on
     the keys and a salt taken from the ``spread`` columns, so a key that holds a
-    third of the rows meets ``SALTS`` tasks and not one.
+    third of the rows meets ``SALTS`` tasks and not one. ``computed`` says that the
+    facts already come from ``settled``.
     """
-    facts = settled(small)
+    facts = small if computed else settled(small)
     if fits_broadcast(facts):
         return big.join(F.broadcast(facts), list(keys), how)
     copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -103,8 +105,6 @@ def number_rows(
     """
     size = block_rows or BLOCK_ROWS
     keys = list(keys)
-    # A NULL key is a group like any other, so the keys are compared through a hash
-    # input that keeps NULL apart from text.
     cut = block if block is not None else F.floor(F.col(order) / F.lit(size)).cast("long")
     rows = df.withColumn("_block", cut)
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(

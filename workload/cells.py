@@ -179,7 +179,7 @@ def unit_prices(spark, sf):
 ALL["unit_price_and_totals"] = (
     unit_prices,
     in_duckdb(f"""SELECT {LINE_KEYS}, CASE WHEN l_linenumber = 1 THEN l_tax WHEN l_extendedprice <> 0 AND l_quantity <> 0
- THEN CAST(format('{{:.4f}}', l_extendedprice / l_quantity) AS DOUBLE) END AS unit_price,
+ THEN CAST(round(CAST(CAST(l_extendedprice / l_quantity AS VARCHAR) AS DECIMAL(38,20)), 4) AS DOUBLE) END AS unit_price,
  CAST(round(CAST(l_quantity AS DECIMAL(18,4)) * CAST(l_discount AS DECIMAL(18,4)), 2) AS DOUBLE) AS line_total,
  CASE WHEN l_discount > 0 THEN l_tax / l_discount * 100 ELSE 0.0 END AS pct FROM {{lineitem}}"""),
 )

@@ -94,7 +94,7 @@ FROM ({LINES}) l JOIN {{part}} ON l.p = p_partkey
 """
 
 FILE = "'dist_' || {} || '.csv'".format(s("s"))
-SHEET = """CASE WHEN s % 3 = 0 THEN 'Reported Sales DATA ' WHEN s % 3 = 1 THEN 'Sales detail'
+SHEET = """CASE WHEN s % 3 = 0 THEN 'Reported Sales DATA' WHEN s % 3 = 1 THEN 'Sales detail'
  ELSE 'Sheet1' END"""
 SHEET_ORDINAL = "CASE WHEN s % 3 = 2 THEN 0 ELSE 1 END"
 HEADER_ROW = "1 + s % 6"
