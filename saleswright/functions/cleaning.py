@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # A plain number as text; characters and words dropped from amounts
 # and quantities; day zero of spreadsheet date serials; texts that mean "no value";
 # cells that hold only rule characters.
-NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER = r"^\s*([+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
 AMOUNT_NOISE = r"([*]|,|#VALUE!|#DIV/0!)"
 QUANTITY_NOISE = r"(?i)([*]|,|ea|ft|pc)"
 SERIAL_DAY_ZERO = "1899-12-30"
@@ -39,8 +39,11 @@ def blank(text: Column) -> Column:
 
 
 def _number_text(text: Column) -> Column:
-    trimmed = F.trim(text)
-    return F.when(trimmed.rlike(NUMBER), trimmed)
+    """The number the text consists of, else NULL.
+
+    A cast never sees other text, because a failed parse is slow.
+    """
+    return F.nullif(F.regexp_extract(text, NUMBER, 1), F.lit(""))
 
 
 def _whole(text: Column) -> Column:
@@ -52,9 +55,11 @@ def _money(text: Column) -> Column:
 
 
 def amount(text: Column) -> Column:
-    """Text to decimal(10,2); stars, commas and two spreadsheet errors are dropped."""
-    cleaned = F.regexp_replace(text, AMOUNT_NOISE, "")
-    return F.coalesce(_money(text), _money(cleaned))
+    """Text to decimal(10,2); stars, commas and two spreadsheet errors are dropped.
+
+    A text that is a number already has nothing to drop.
+    """
+    return _money(F.regexp_replace(text, AMOUNT_NOISE, ""))
 
 
 def unread(text: Column, value: Column) -> Column:
@@ -73,7 +78,7 @@ def bad_amount(text: Column, value: Column | None = None) -> Column:
 
 def quantity(text: Column) -> Column:
     """Text to int, rounded; stars, commas and the units ea, ft, pc are dropped."""
-    return F.coalesce(_whole(text), _whole(F.regexp_replace(text, QUANTITY_NOISE, "")))
+    return _whole(F.regexp_replace(text, QUANTITY_NOISE, ""))
 
 
 def bad_quantity(text: Column, value: Column | None = None) -> Column:
@@ -83,28 +88,21 @@ def bad_quantity(text: Column, value: Column | None = None) -> Column:
 def sales_date(text: Column) -> Column:
     """Text to date: spreadsheet serial, then m/d/yy, then m/d/yyyy, then year first.
 
-    Two-digit years 69 to 99 are 1969 to 1999. The shape of the text is tested
-    before parsing, so that rows do not pay for failed parses.
+    Two-digit years 69 to 99 are 1969 to 1999. All forms are turned to year-first
+    text and cast once.
     """
-    trimmed = F.trim(text)
-    serial = _whole(text)
-    short = F.when(
-        trimmed.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$"), F.try_to_date(trimmed, "M/d/yy")
-    )
-    # The parser reads 69 to 99 as 2069 to 2099.
-    old = trimmed.rlike("/(69|[7-9][0-9])$")
-    short = F.add_months(short, F.when(old, F.lit(-1200)).otherwise(F.lit(0)))
-    full = F.when(
-        trimmed.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_date(trimmed, "M/d/yyyy")
-    )
-    year_first = F.when(
-        trimmed.rlike(r"^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}"),
-        F.regexp_replace(trimmed, r"^([0-9]{4})[-/]([0-9]{1,2})[-/]", "$1-$2-").try_cast("date"),
-    )
-    day_zero = F.lit(SERIAL_DAY_ZERO).cast("date")
-    return F.when(serial.isNotNull(), F.date_add(day_zero, serial)).otherwise(
-        F.coalesce(short, full, year_first)
-    )
+    turned = F.trim(text)
+    for shape, year_first in (
+        (r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", "$3-$1-$2"),
+        (r"^([0-9]{1,2})/([0-9]{1,2})/(69|[7-9][0-9])$", "19$3-$1-$2"),
+        (r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{2})$", "20$3-$1-$2"),
+        (r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})", "$1-$2-$3"),
+    ):
+        turned = F.regexp_replace(turned, shape, year_first)
+    # A year alone is a serial, so text must start with all three parts.
+    dated = F.regexp_extract(turned, r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:[ T].*)?$", 0)
+    serial = F.date_add(F.lit(SERIAL_DAY_ZERO).cast("date"), _whole(text))
+    return F.coalesce(serial, F.nullif(dated, F.lit("")).try_cast("date"))
 
 
 def bad_date(text: Column) -> Column:
@@ -114,26 +112,21 @@ def bad_date(text: Column) -> Column:
 def number(text: Column) -> Column:
     """Text to double: ``$`` and ``,`` dropped, ``(x)`` is ``-x``, else NULL."""
     bare = F.regexp_replace(strip(text), r"[$,]", "")
-    signed = F.when(
-        bare.startswith("(") & bare.endswith(")"),
-        F.concat(F.lit("-"), F.regexp_replace(bare, r"^[(]|[)]$", "")),
-    ).otherwise(bare)
-    trimmed = strip(signed)
-    return F.when(trimmed.rlike(NUMBER), trimmed).try_cast("double")
+    signed = F.regexp_replace(bare, r"(?s)^[(](.*)[)]$", "-$1")
+    return _number_text(signed).try_cast("double")
 
 
 def plain_number(text: Column) -> Column:
     """Text to double without any clean-up, else NULL."""
-    trimmed = strip(text)
-    return F.when(trimmed.rlike(NUMBER), trimmed).try_cast("double")
+    return _number_text(text).try_cast("double")
 
 
 def prefix_number(text: Column) -> Column:
     """The number the text starts with, else 0."""
     prefix = F.regexp_extract(
-        strip(text), r"^([+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?)", 1
+        text, r"^\s*([+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?)", 1
     )
-    return F.coalesce(F.when(prefix != "", prefix).try_cast("double"), F.lit(0.0))
+    return F.coalesce(F.nullif(prefix, F.lit("")).try_cast("double"), F.lit(0.0))
 
 
 def leading_number(text: Column) -> Column:

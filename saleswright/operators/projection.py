@@ -204,48 +204,56 @@ def _backticks(predicate: str) -> str:
     return "'".join(pieces)
 
 
-def apply_predicates(rows: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Keep rows that pass the condition of their mapping row.
+def predicate_names(mapping: DataFrame) -> tuple[list[str], list[str]]:
+    """The distinct conditions, and the column names that occur in them.
 
-    Conditions name source columns, by header text or by letter. The distinct
-    conditions are configuration and become one CASE expression; each is evaluated
-    only for the rows of its own files.
+    Conditions are configuration, so there are few; names that differ only in case are one.
     """
-    texts = mapping.filter(F.col("predicate").isNotNull()).select(
-        "predicate", "header_cells", "use_header"
+    rows = mapping.filter(F.col("predicate").isNotNull())
+    shown = F.when(F.col("use_header"), F.col("header_cells")).otherwise(
+        F.regexp_extract_all("predicate", F.lit(r"\b([A-Za-z]{1,2})\b"))
     )
-    by_text: dict[str, dict[str, str]] = {}
-    for row in texts.distinct().collect():
-        names = by_text.setdefault(row["predicate"], {})
-        lowered = row["predicate"].lower()
-        if row["use_header"]:
-            for header in row["header_cells"]:
-                if header and header.strip().lower() in lowered:
-                    names.setdefault(header.strip().lower(), header.strip())
-        else:
-            for letters in re.findall(r"\b[A-Za-z]{1,2}\b", row["predicate"]):
-                names.setdefault(letters.lower(), letters.upper())
-    if not by_text:
-        return rows
-    names = {low: shown for used in by_text.values() for low, shown in used.items()}
-    lowered = F.transform(
-        F.col("header_cells"), lambda h: F.lower(cl.clean_text(h))
+    names = rows.select("predicate", F.explode_outer(F.transform(shown, cl.clean_text)).alias("name"))
+    used = names.filter(
+        F.col("name").isNull()
+        | ((F.col("name") != "") & F.contains(F.lower("predicate"), F.lower("name")))
     )
-    columns = {}
-    for low, shown in names.items():
-        by_name = F.array_position(lowered, low).cast("int") - 1
-        by_letter = letters_to_number(F.lit(shown)) - 1
-        place = F.when(F.col("use_header"), F.when(by_name >= 0, by_name)).otherwise(by_letter)
-        columns[low] = (shown, F.get(F.col("cells"), place))
-    kept = list(rows.columns)
+    found = used.groupBy("predicate", F.lower("name").alias("low")).agg(F.min("name").alias("name"))
+    pairs = found.collect()
+    by_low = {r["low"]: r["name"] for r in pairs if r["low"]}
+    texts = {r["predicate"] for r in rows.select("predicate").distinct().collect()}
+    return sorted(texts), [by_low[low] for low in sorted(by_low)]
+
+
+def with_name_places(mapping: DataFrame, names: list[str]) -> DataFrame:
+    """Add ``name_places``: the cell index of each name in the sheet of a mapping row."""
+    lowered = F.transform("header_cells", lambda h: F.lower(cl.clean_text(h)))
+    places = [
+        F.when(F.col("use_header"), F.array_position("_low", F.lit(n.lower())).cast("int") - 1)
+        .otherwise(letters_to_number(F.lit(n)) - 1)
+        for n in names
+    ]
+    listed = F.array(*places) if places else F.array().cast("array<int>")
+    return mapping.withColumn("_low", lowered).withColumn("name_places", listed).drop("_low")
+
+
+def apply_predicates(rows: DataFrame, texts: list[str], names: list[str]) -> DataFrame:
+    """Keep rows that pass the condition of their mapping row.
+
+    Conditions name source columns, by header text or by letter. They become one
+    CASE expression; each is evaluated only for the rows of its own files.
+    """
+    if not texts:
+        return rows
+    place = [F.get("name_places", F.lit(i)) for i in range(len(names))]
     named = rows.select(
-        F.struct(*kept).alias("_row"),
-        F.col("predicate").alias("_predicate"),
-        *[value.alias(shown) for shown, value in columns.values()],
+        F.struct(*rows.columns).alias("_row"),
+        *[F.when(p >= 0, F.get("cells", p)).alias(n) for n, p in zip(names, place)],
     )
-    passes = F.when(F.col("_predicate").isNull(), F.lit(True))
-    for text in sorted(by_text):
-        passes = passes.when(F.col("_predicate") == text, F.expr(_backticks(text)))
+    condition = F.col("_row.predicate")
+    passes = F.when(condition.isNull(), F.lit(True))
+    for text in texts:
+        passes = passes.when(condition == text, F.expr(_backticks(text)))
     return named.filter(F.coalesce(passes, F.lit(False))).select("_row.*")
 
 
@@ -253,7 +261,6 @@ CLEANERS = {
     "date": cl.sales_date,
     "decimal(10,2)": cl.amount,
     "int": cl.quantity,
-    "string": lambda text: text,
 }
 BAD_VALUE = {"decimal(10,2)": cl.bad_amount, "int": cl.bad_quantity}
 
@@ -275,54 +282,62 @@ def staged_rows(grid: DataFrame, prepared: DataFrame, ledger: Ledger) -> DataFra
     all NULL, are dropped. ``bad_fields`` lists fields whose text could not be read.
     """
     usable = prepared.filter(F.size("unresolved") == 0).select(*PLAN_COLUMNS)
+    conditions, names = predicate_names(usable)
+    usable = with_name_places(usable, names).drop("use_header", "header_cells")
     rows = attach(
         grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, ["row_idx"], computed=True
     )
     rows = rows.filter(F.col("row_idx").between(F.col("from_row"), F.col("to_row")))
-    passed = apply_predicates(rows, usable)
+    passed = apply_predicates(rows, conditions, names)
     place = {name: F.lit(i) for i, name in enumerate(field_order(ledger))}
 
-    def raw(name: str) -> Column:
-        text = F.get("texts", place[name])
-        if name in ledger.static:
-            return text
-        return F.coalesce(F.trim(F.get(F.col("cells"), F.get("places", place[name]))), text)
-
-    # Each text is taken once, then cleaned, then tested.
-    keys = [MAPPING_ROW, *SHEET, "row_idx", "counted"]
-    texts = passed.select(*keys, *[raw(n).alias(n) for n in field_order(ledger)])
-    numbers = [n for n, t in ledger.mapped if t in BAD_VALUE]
-    typed = texts.select(
-        *keys,
-        *ledger.static,
-        *[CLEANERS[t](F.col(n)).alias(n) for n, t in ledger.mapped],
-        *[F.col(n).alias(f"_raw_{n}") for n in numbers],
+    # Cells are taken and cleaned in arrays, all fields of a type at once. One
+    # expression per field would make generated code too long to be compiled.
+    raw = F.zip_with(
+        "places", "texts", lambda p, t: F.coalesce(F.trim(F.get(F.col("cells"), p)), t)
     )
-    present = F.lit(False)
-    for name, _ in ledger.mapped:
-        if name not in NOT_COUNTED_FOR_BLANK:
-            present = present | (F.get("counted", place[name]) & F.col(name).isNotNull())
-    any_counted = F.array_contains("counted", True)
-    types = dict(ledger.mapped)
-    bad = F.array_compact(
-        F.array(
-            *[
-                F.when(BAD_VALUE[types[n]](F.col(f"_raw_{n}"), F.col(n)), F.lit(n))
-                for n in numbers
-            ]
-        )
+    rows = passed.select(MAPPING_ROW, *SHEET, "row_idx", "counted", raw.alias("raw"))
+    of_type = {t: [n for n, u in ledger.mapped if u == t] for t in CLEANERS}
+    cleaned = rows.select(
+        "*",
+        *[
+            F.transform(F.array(*[F.get("raw", place[n]) for n in names]), CLEANERS[t]).alias(f"_{t}")
+            for t, names in of_type.items()
+        ],
     )
-    return (
-        typed.filter(~any_counted | present)
-        .withColumn("bad_fields", bad)
-        .drop("counted", *[f"_raw_{n}" for n in numbers])
+    value = {n: F.get("raw", place[n]) for n in [*ledger.static, *ledger.text_columns]}
+    for t, names in of_type.items():
+        value |= {n: F.get(f"`_{t}`", F.lit(i)) for i, n in enumerate(names)}
+
+    # Text fields come first: one of them is mostly filled, and the rest is not evaluated.
+    is_text = F.array(*[F.lit(n in ledger.text_columns) for n in field_order(ledger)])
+    present = F.exists(
+        F.arrays_zip(F.col("raw").alias("r"), F.col("counted").alias("c"), is_text.alias("t")),
+        lambda e: e["c"] & e["t"] & e["r"].isNotNull(),
+    )
+    for names in of_type.values():
+        for n in names:
+            present = present | (F.get("counted", place[n]) & value[n].isNotNull())
+    kept = cleaned.filter(~F.array_contains("counted", True) | present)
+    bad = [
+        F.when(BAD_VALUE[t](F.get("raw", place[n]), value[n]), F.lit(n))
+        for t, names in of_type.items()
+        if t in BAD_VALUE
+        for n in names
+    ]
+    return kept.select(
+        MAPPING_ROW,
+        *SHEET,
+        "row_idx",
+        *[value[n].alias(n) for n in field_order(ledger)],
+        F.array_compact(F.array(*bad)).alias("bad_fields"),
     )
 
 
 def number_and_label(staged: DataFrame, ledger: Ledger, run_id: str = "") -> DataFrame:
     """Add the generated fields and put the ledger's columns in order."""
     # row_id counts the kept rows of a mapping row in sheet order.
-    numbered = number_rows(staged, [MAPPING_ROW, *SHEET], "row_idx", "row_id")
+    numbered = number_rows(staged, [MAPPING_ROW], "row_idx", "row_id")
     key = stable_uuid(
         F.lit(run_id), F.col("file_name"), F.col("sheet_name"),
         F.col(MAPPING_ROW).cast("string"), F.col("row_idx").cast("string"),

@@ -116,16 +116,15 @@ def number_rows(
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
-    renamed = first.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                           F.col("_block").alias("_b"), "_before")
-    same = F.col("_block") == F.col("_b")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     inside = Window.partitionBy(*keys, "_block").orderBy(order)
+    # One row per block; a key and block together are never large.
+    first = settled(first)
+    if fits_broadcast(first):
+        first = F.broadcast(first)
     return (
-        rows.join(renamed, same, "inner")
+        rows.join(first, [*keys, "_block"])
         .withColumn(out, (F.row_number().over(inside) + F.col("_before")).cast("long"))
-        .drop("_block", "_b", "_before", *[f"_k{i}" for i in range(len(keys))])
+        .drop("_block", "_before")
     )
 
 

@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from saleswright.scale import scratch_path
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -154,8 +156,26 @@ FROM (SELECT s_suppkey AS s, s_name FROM {{supplier}}) i WHERE s % 3 <> 2
 """
 
 
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
+    """A grid view as files in sheet and row order, as an ingest job would leave it.
+
+    It is written once per session to the shared folder, whole.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _LANDED:
+        path = scratch_path(spark, name)
+        rows = in_spark(spark, sf_dir, text)
+        order = ["file_name", "sheet_name", "row_idx"]
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return in_spark(spark, sf_dir, GRID)
+    return landed(spark, sf_dir, "sales_grid", GRID)
 
 
 # -- DuckDB forms of the cleaning rules, used by the oracles -------------------
