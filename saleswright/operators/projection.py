@@ -283,7 +283,9 @@ def staged_rows(grid: DataFrame, prepared: DataFrame, ledger: Ledger) -> DataFra
     """
     usable = prepared.filter(F.size("unresolved") == 0).select(*PLAN_COLUMNS)
     conditions, names = predicate_names(usable)
-    usable = with_name_places(usable, names).drop("use_header", "header_cells")
+    usable = with_blank_test(with_name_places(usable, names), ledger).drop(
+        "use_header", "header_cells"
+    )
     rows = attach(
         grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, ["row_idx"], computed=True
     )
@@ -291,36 +293,32 @@ def staged_rows(grid: DataFrame, prepared: DataFrame, ledger: Ledger) -> DataFra
     passed = apply_predicates(rows, conditions, names)
     place = {name: F.lit(i) for i, name in enumerate(field_order(ledger))}
 
-    # Cells are taken and cleaned in arrays, all fields of a type at once. One
-    # expression per field would make generated code too long to be compiled.
-    raw = F.zip_with(
-        "places", "texts", lambda p, t: F.coalesce(F.trim(F.get(F.col("cells"), p)), t)
-    )
-    rows = passed.select(MAPPING_ROW, *SHEET, "row_idx", "counted", raw.alias("raw"))
+    def raw(name: str) -> Column:
+        cell = F.get("cells", F.get("places", place[name]))
+        return F.coalesce(F.trim(cell), F.get("texts", place[name]))
+
+    # All fields of a type are cleaned by one expression over an array. One expression
+    # per field would make generated code too long to be compiled.
     of_type = {t: [n for n, u in ledger.mapped if u == t] for t in CLEANERS}
-    cleaned = rows.select(
-        "*",
-        *[
-            F.transform(F.array(*[F.get("raw", place[n]) for n in names]), CLEANERS[t]).alias(f"_{t}")
+    cleaned = passed.withColumns(
+        {
+            f"_{t}": F.transform(F.array(*[raw(n) for n in names]), CLEANERS[t])
             for t, names in of_type.items()
-        ],
+        }
     )
-    value = {n: F.get("raw", place[n]) for n in [*ledger.static, *ledger.text_columns]}
+    value = {n: raw(n) for n in ledger.text_columns}
+    value |= {n: F.get("texts", place[n]) for n in ledger.static}
     for t, names in of_type.items():
         value |= {n: F.get(f"`_{t}`", F.lit(i)) for i, n in enumerate(names)}
 
-    # Text fields come first: one of them is mostly filled, and the rest is not evaluated.
-    is_text = F.array(*[F.lit(n in ledger.text_columns) for n in field_order(ledger)])
-    present = F.exists(
-        F.arrays_zip(F.col("raw").alias("r"), F.col("counted").alias("c"), is_text.alias("t")),
-        lambda e: e["c"] & e["t"] & e["r"].isNotNull(),
-    )
+    # Text cells come first: one of them is mostly filled, and the rest is not evaluated.
+    present = F.col("always") | F.exists("text_places", lambda p: F.get("cells", p).isNotNull())
     for names in of_type.values():
         for n in names:
             present = present | (F.get("counted", place[n]) & value[n].isNotNull())
-    kept = cleaned.filter(~F.array_contains("counted", True) | present)
+    kept = cleaned.filter(present)
     bad = [
-        F.when(BAD_VALUE[t](F.get("raw", place[n]), value[n]), F.lit(n))
+        F.when(BAD_VALUE[t](raw(n), value[n]), F.lit(n))
         for t, names in of_type.items()
         if t in BAD_VALUE
         for n in names
@@ -334,6 +332,24 @@ def staged_rows(grid: DataFrame, prepared: DataFrame, ledger: Ledger) -> DataFra
     )
 
 
+def with_blank_test(prepared: DataFrame, ledger: Ledger) -> DataFrame:
+    """Add what the blank-row test needs, per mapping row.
+
+    ``always`` is true when no field is counted or a counted text field is a literal,
+    and ``text_places`` are the cells of the counted text fields.
+    """
+    is_text = F.array(*[F.lit(n in ledger.text_columns) for n in field_order(ledger)])
+    fields = F.arrays_zip(
+        F.col("places").alias("p"), F.col("texts").alias("t"), F.col("counted").alias("c"),
+        is_text.alias("is_text"),
+    )
+    texts = F.filter(fields, lambda f: f["c"] & f["is_text"])
+    return prepared.withColumn(
+        "always",
+        ~F.array_contains("counted", True) | F.exists(texts, lambda f: f["p"].isNull()),
+    ).withColumn("text_places", F.array_compact(F.transform(texts, lambda f: f["p"])))
+
+
 def number_and_label(staged: DataFrame, ledger: Ledger, run_id: str = "") -> DataFrame:
     """Add the generated fields and put the ledger's columns in order."""
     # row_id counts the kept rows of a mapping row in sheet order.

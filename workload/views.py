@@ -169,7 +169,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
         path = scratch_path(spark, name)
         rows = in_spark(spark, sf_dir, text)
         order = ["file_name", "sheet_name", "row_idx"]
-        rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 
