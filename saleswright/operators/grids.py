@@ -117,13 +117,12 @@ def alias_positions(cells: Column, aliases: dict[str, list[str]]) -> Column:
     header may serve several fields.
     """
     normal = F.transform(cells, lambda c: normal_header(F.coalesce(c, F.lit(""))))
+
+    def place(words: list[str]) -> Column:
+        return F.array_position(F.transform(normal, lambda c: c.isin(words)), True).cast("int")
+
     entries = [
-        F.struct(
-            F.lit(name).alias("key"),
-            F.array_position(F.transform(normal, lambda c, w=words: c.isin(w)), True)
-            .cast("int")
-            .alias("value"),
-        )
+        F.struct(F.lit(name).alias("key"), place(words).alias("value"))
         for name, words in aliases.items()
     ]
     found = F.filter(F.array(*entries), lambda e: e["value"] > 0)

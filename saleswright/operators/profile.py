@@ -135,7 +135,10 @@ def profile_files(
     density = row_density(grid)
     found = densest_headers(density)
     ranges = data_ranges(density, found, variant)
-    headers = F.coalesce("headers", F.array().cast("array<string>"))
+    ranges = ranges.withColumn(
+        "header_cells", F.coalesce("headers", F.array().cast("array<string>"))
+    ).drop("headers")
+    headers = F.col("header_cells")
     overrides = layout_overrides(headers, LAYOUT_RULES if rules is None else rules)
     fields = []
     for name in variant.fields:
