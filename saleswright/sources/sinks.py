@@ -27,6 +27,15 @@ def append_ledger(df: DataFrame, table: str, ledger: Ledger) -> None:
     df.select(*ledger.names).write.mode("append").insertInto(table)
 
 
+def append_ledger_files(df: DataFrame, path: str, ledger: Ledger) -> None:
+    """Append typed rows to a Parquet ledger, in the ledger's column order."""
+    df.select(*ledger.names).write.mode("append").parquet(path)
+
+
+def read_ledger_files(spark: SparkSession, path: str, ledger: Ledger) -> DataFrame:
+    return spark.read.schema(ledger.schema).parquet(path)
+
+
 def replace_table(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
 

@@ -173,14 +173,44 @@ ALL["scenario_defaults"] = (
 
 
 def scenario_text(spark, sf):
-    results = qu.qualify(*_inputs(spark, sf)).select("scenario_id", "test_id", F.round("earnings", 2).alias("earnings"))
+    results = qu.qualify(*_inputs(spark, sf)).select(
+        "scenario_id", "test_id", F.round("earnings", 2).alias("earnings")
+    )
     rows = settled(scenario_defaults(spark, sf)).withColumn("quantity", F.lit(""))
-    text = ex.scenario_text(rows.join(results, ["scenario_id", "test_id"]), "participant_000")
-    return text.select("scenario_id", "test_id", "part_no", F.length("block").alias("length"), F.substring_index("block", "\n", 12).alias("head"))
-
-
-_H = "chr(10) || '"
+    return ex.scenario_text(rows.join(results, ["scenario_id", "test_id"]), "participant_000")
+
+
+_NL = "chr(10)"
+
+
+def _line(pad: int, text: str) -> str:
+    return f"'{' ' * pad}' || {text}"
+
+
+_TXN = f" || {_NL} || ".join([
+    _line(12, "'{'"),
+    _line(16, "'\"transaction_id\": \"' || txn_id || '\"'"),
+    _line(16, "'\"transaction_type\": \"retailer_purchases_from_distribution\"'"),
+    _line(16, "'\"sku_key\": \"' || sku || '\"'"),
+    _line(16, "'\"uom_key\": \"' || uom || '\"'"),
+    _line(16, "'\"quantity\": 0'"),
+    _line(16, "'\"amount\": ' || CASE WHEN total = '' THEN '0' ELSE total END"),
+    _line(16, "'\"invoice_date\": \"' || date || '\"'"),
+    _line(16, "'\"seller\": {'"),
+    _line(20, "'\"key\": \"\"'"),
+    _line(16, "'}'"),
+    _line(16, "'\"expected_incentives\": ['"),
+    _line(20, "'{'"),
+    _line(24, "'\"offer\": ' || regexp_replace(regexp_replace(CAST(CAST(earnings AS DECIMAL(18,2)) AS VARCHAR), '0+$', ''), '[.]$', '')"),
+    _line(20, "'}'"),
+    _line(16, "']'"),
+    _line(12, "'}'"),
+])
 ALL["scenario_text"] = (
     scenario_text,
-    None,
+    in_duckdb(f"""{RESULTS}, filled AS ({ALL["scenario_defaults"][1]})
+SELECT scenario_id, test_id, CAST(0 AS BIGINT) AS part_no, '    {{' || {_NL} || '        "request_id": "' || test_id || '"' || {_NL}
+ || '        "participant_key": "participant_000"' || {_NL} || '        "transactions": [' || {_NL}
+ || string_agg({_TXN}, {_NL} ORDER BY row_idx) || {_NL} || '        ]' || {_NL} || '    }}' AS block
+FROM filled JOIN (SELECT scenario_id, test_id, round(CAST(CAST(earnings AS VARCHAR) AS DECIMAL(38,12)), 2) AS earnings FROM results) r USING (scenario_id, test_id) GROUP BY scenario_id, test_id""")
 )

@@ -1 +1,194 @@
+"""Customer lookups, and files that are written and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from saleswright.config import BASE_LEDGER
+from saleswright.functions.text import file_stem
+from saleswright.operators import customers as cu
+from saleswright.operators import documents as docs
+from saleswright.plans.template_run import with_contractor
+from saleswright.scale import scratch_path
+from saleswright.sources import files, sinks
+from saleswright.sources.grids import read_delimited_grid
+from saleswright.streaming.folder_drop import ingest_drops
+from workload import documents, ledgers, sheets
+from workload import views as v
+from workload.views import in_duckdb, in_spark, money, s
+
 ALL = {}
+
+# -- customers ---------------------------------------------------------------------
+
+_HEADER = "CASE " + " ".join(
+    f"WHEN s % 4 = {k} THEN '\"{ledgers.QUOTED[k]['desc_txt']}\"'" for k in (0, 1, 2)
+) + " ELSE 'd' END"
+_ROWS = f"""SELECT s * 2 AS pos, 'Credits' AS `Source_File`, {v.FILE} AS `File_Name `, {v.SHEET} AS sheet_name,
+ CASE WHEN s % 9 = 8 THEN ' ' WHEN s % 6 = 0 THEN ' $$ Acme ' || {s('s')} || ' $$' ELSE {_HEADER} END AS customer_name,
+ CASE WHEN s % 4 = 3 THEN '' ELSE 'A' || {s(v.HEADER_ROW)} || ':H' || {s(v.HEADER_ROW)} END AS header_range,
+ CASE WHEN s % 10 = 7 THEN 'none' ELSE 'A' || {s(v.HEADER_ROW)} || ':H{ledgers.LAST_ROW}' END AS data_range FROM {sheets.SUPPLIERS}"""
+CUSTOMERS = f"{_ROWS} UNION ALL " + _ROWS.replace("s * 2 AS pos", "s * 2 + 1 AS pos") + " WHERE s % 5 = 0"
+
+
+def _mapping(spark, sf):
+    return cu.customer_name_mapping(in_spark(spark, sf, CUSTOMERS))
+
+
+ALL["customer_mapping_split"] = (
+    lambda spark, sf: _mapping(spark, sf),
+    in_duckdb(f"""SELECT pos, Source_File AS source_file, "File_Name " AS file_name, sheet_name, header_range, data_range,
+ CASE WHEN customer_name LIKE '%$$%' THEN '' ELSE customer_name END AS customer_name,
+ CASE WHEN customer_name LIKE '%$$%' THEN trim(replace(customer_name, '$', '')) ELSE '' END AS static_value
+ FROM ({CUSTOMERS.replace('`', '"')}) c WHERE trim(customer_name) <> ''""".replace("trim(replace(customer_name, '$', ''))", "trim(replace(trim(customer_name), '$', ''))")),
+)
+
+
+def customer_values(spark, sf):
+    return cu.customer_values(_mapping(spark, sf), v.grid(spark, sf)).select("file_name", "customer_name")
+
+
+_LOOKUP = "s % 9 <> 8 AND s % 6 <> 0 AND s % 10 <> 7"
+ALL["customer_values"] = (
+    customer_values,
+    in_duckdb(f"""SELECT "File_Name " AS file_name, trim(replace(trim(customer_name), '$', '')) AS customer_name
+ FROM ({CUSTOMERS.replace('`', '"')}) c WHERE customer_name LIKE '%$$%' UNION ALL
+SELECT * FROM (SELECT DISTINCT {v.FILE} AS file_name, trim(desc_txt) AS customer_name FROM ({v.DIRTY}) d WHERE desc_txt <> '' AND {_LOOKUP}
+ UNION SELECT {v.FILE}, 'Total' FROM {sheets.SUPPLIERS} WHERE s % 4 = 1 AND {_LOOKUP}
+ UNION SELECT {v.FILE}, 'c4' FROM {sheets.SUPPLIERS} WHERE s % 4 = 3 AND {_LOOKUP}) u"""),
+)
+
+# -- overrides and file names --------------------------------------------------------
+
+
+def override_fallback(spark, sf):
+    names = v.table(spark, sf, "supplier").select(F.concat(F.lit("dist_"), "s_suppkey", F.lit(".csv")).alias("file_name"))
+    overrides = files.clean_overrides(in_spark(spark, sf, sheets.OVERRIDES))
+    found = with_contractor(names, overrides)
+    banner = sinks.template_banner(found)
+    return found.select("file_name", "contractor").join(banner, "file_name").withColumn("stem", file_stem(F.col("file_name")))
+
+
+ALL["override_fallback"] = (
+    override_fallback,
+    in_duckdb(f"""SELECT {v.FILE} AS file_name, {sheets._CONTRACTOR} AS contractor, 'POS Transactional Detail Report' AS title,
+ 'Submitted by: ' || CASE WHEN s % 5 = 3 THEN s_name ELSE '' END AS submitted_by, '' AS address,
+ CASE WHEN s % 5 = 3 THEN '2024-05-01' ELSE '' END AS report_date, 'dist ' || CAST(s AS VARCHAR) AS stem FROM {sheets.SUPPLIERS}"""),
+)
+
+# -- files written and read back -----------------------------------------------------
+
+
+def source_delimited(spark, sf):
+    """A report with a header, read by name."""
+    path = scratch_path(spark, "report") + ".csv"
+    sinks.write_report(in_spark(spark, sf, f"SELECT p_partkey, p_name || ', \"' || p_brand || '\"' AS description, {money('p_retailprice')} AS price FROM {{part}}"), path)
+    return files.read_transactions(spark, path).withColumn("price", F.col("price").cast("double"))
+
+
+ALL["source_delimited"] = (
+    source_delimited,
+    in_duckdb("SELECT CAST(p_partkey AS INT) AS p_partkey, p_name || ', \"' || p_brand || '\"' AS description, CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS price FROM {part}"),
+)
+
+
+def _grid_of_files(whole_file_bytes):
+    def query(spark, sf):
+        path = scratch_path(spark, "grids")
+        rows = in_spark(spark, sf, f"SELECT {s('o_orderkey')} AS a, '' AS b, o_orderpriority || ', é \"x\"' AS c, {money('o_totalprice')} AS d FROM {{orders}}")
+        rows.write.option("escape", '"').option("emptyValue", "").csv(path)
+        grid = read_delimited_grid(spark, path, whole_file_bytes=whole_file_bytes)
+        per_file = grid.groupBy("file_name").agg(F.max("row_idx").alias("last"), F.count(F.lit(1)).alias("n"))
+        # Numbers run from 1 to the number of rows in every file.
+        dense = per_file.select("file_name", (F.col("last") == F.col("n")).alias("dense"))
+        return grid.join(dense, "file_name").select(
+            F.get("cells", F.lit(0)).alias("a"), F.get("cells", F.lit(1)).alias("b"), F.get("cells", F.lit(2)).alias("c"),
+            F.get("cells", F.lit(3)).alias("d"), "dense",
+        )
+    return query
+
+
+_GRID_ORACLE = in_duckdb(f"SELECT {s('o_orderkey')} AS a, CAST(NULL AS VARCHAR) AS b, o_orderpriority || ', é \"x\"' AS c, {money('o_totalprice')} AS d, TRUE AS dense FROM {{orders}}")
+ALL["source_grid_whole_files"] = (_grid_of_files(1 << 26), _GRID_ORACLE)
+ALL["source_grid_by_line"] = (_grid_of_files(0), _GRID_ORACLE)
+
+
+def source_snapshot(spark, sf):
+    path = scratch_path(spark, "snapshot")
+    sinks.write_documents(documents._records(spark, sf, documents.NEW).drop("pos"), path)
+    return files.read_snapshot_lines(spark, path).drop("pos").distinct()
+
+
+ALL["source_snapshot"] = (
+    source_snapshot,
+    in_duckdb(f"SELECT DISTINCT key, product_key, superseded_by FROM ({documents.NEW}) x"),
+)
+
+
+def source_documents(spark, sf):
+    path = scratch_path(spark, "documents")
+    sinks.write_documents(docs.nest_transactions(in_spark(spark, sf, documents.FLAT)), path)
+    return docs.flatten_transactions(files.read_documents(spark, path)).withColumns(
+        {c: F.col(c).cast("double") for c in ("quantity", "amount")}
+    )
+
+
+ALL["source_documents"] = (source_documents, documents.ALL["flatten_transactions"][1])
+
+
+def sink_ledger(spark, sf):
+    """Two runs appended to one ledger; keys of different runs differ."""
+    path = scratch_path(spark, "ledger")
+    for run_id in ("first", "second"):
+        run = ledgers.normalize_transactions(v.grid(spark, sf), in_spark(spark, sf, ledgers.BASE_MAPPING), run_id=run_id)
+        sinks.append_ledger_files(run.ledger, path, BASE_LEDGER)
+    ledger = sinks.read_ledger_files(spark, path, BASE_LEDGER)
+    return ledger.groupBy("archive_file_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("transaction_id").alias("n_keys"), F.max("row_id").alias("last_row")
+    )
+
+
+ALL["sink_ledger"] = (
+    sink_ledger,
+    in_duckdb(f"SELECT archive_file_name, count(*) * 2 AS n, count(*) * 2 AS n_keys, CAST(count(*) AS INT) AS last_row FROM {ledgers.LOADED} l GROUP BY archive_file_name"),
+)
+
+
+def sink_saved_mappings(spark, sf):
+    """Mappings of every part brand and type, then new ones for some sizes."""
+    path = scratch_path(spark, "mappings")
+    old = in_spark(spark, sf, "SELECT DISTINCT p_brand || p_type AS signature, 'field_' || CAST(p_size % 3 AS STRING) AS field, 'old' AS header, TIMESTAMP '2024-01-01 00:00:00' AS saved_at FROM {part}")
+    new = in_spark(spark, sf, "SELECT DISTINCT p_brand || p_type AS signature, 'field_9' AS field, 'new' AS header, TIMESTAMP '2024-02-01 00:00:00' AS saved_at FROM {part} WHERE p_type = 'PROMO'")
+    sinks.save_mappings(old, old.limit(0), path)
+    sinks.save_mappings(files.read_saved_mappings(spark, path), new, path)
+    return files.read_saved_mappings(spark, path).drop("saved_at")
+
+
+ALL["sink_saved_mappings"] = (
+    sink_saved_mappings,
+    in_duckdb("""SELECT DISTINCT p_brand || p_type AS signature, 'field_' || CAST(p_size % 3 AS VARCHAR) AS field, 'old' AS header FROM {part} WHERE p_type <> 'PROMO'
+ UNION SELECT DISTINCT p_brand || p_type, 'field_9', 'new' FROM {part} WHERE p_type = 'PROMO'"""),
+)
+
+
+def stream_folder_drop(spark, sf):
+    """Events land as files in two drops; each drop is cleaned and stored once."""
+    folder, target, marks = (scratch_path(spark, n) for n in ("drop", "stored", "marks"))
+    events = v.table(spark, sf, "events").select("event_id", "event_type", F.concat(F.lit("$"), F.col("value").cast("decimal(18,2)")).alias("amount"))
+    schema = "event_id bigint, event_type string, amount string"
+
+    def clean(batch):
+        from saleswright.functions.cleaning import number
+        return batch.withColumn("amount", number(F.col("amount"))).drop("source_file")
+
+    for is_error in (True, False):
+        part = events.filter((F.col("event_type") == "error") == F.lit(is_error))
+        part.write.mode("append").json(folder)
+        ingest_drops(spark, folder, schema, target, marks, clean, max_files=4)
+    return spark.read.parquet(target).drop("batch_id")
+
+
+ALL["stream_folder_drop"] = (
+    stream_folder_drop,
+    in_duckdb("SELECT event_id, event_type, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM {events}"),
+)
