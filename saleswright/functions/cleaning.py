@@ -85,23 +85,27 @@ def bad_quantity(text: Column, value: Column | None = None) -> Column:
     return unread(text, quantity(text) if value is None else value)
 
 
-def sales_date(text: Column) -> Column:
-    """Text to date: spreadsheet serial, then m/d/yy, then m/d/yyyy, then year first.
+def _year_first(parts: Column) -> Column:
+    """Month, day and year texts to year-first text; years 69 to 99 are 1969 to 1999."""
+    month, day, year = (F.get(parts, F.lit(i)) for i in range(3))
+    century = F.when(year >= "69", F.lit("19")).otherwise(F.lit("20"))
+    full = F.when(F.length(year) == 2, F.concat(century, year)).when(F.length(year) == 4, year)
+    shaped = (F.size(parts) == 3) & (F.length(month) <= 2) & (F.length(day) <= 2)
+    return F.when(shaped, F.concat_ws("-", full, month, day))
 
-    Two-digit years 69 to 99 are 1969 to 1999. All forms are turned to year-first
-    text and cast once.
-    """
-    turned = F.trim(text)
-    for shape, year_first in (
-        (r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", "$3-$1-$2"),
-        (r"^([0-9]{1,2})/([0-9]{1,2})/(69|[7-9][0-9])$", "19$3-$1-$2"),
-        (r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{2})$", "20$3-$1-$2"),
-        (r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})", "$1-$2-$3"),
-    ):
-        turned = F.regexp_replace(turned, shape, year_first)
-    # A year alone is a serial, so text must start with all three parts.
-    dated = F.regexp_extract(turned, r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:[ T].*)?$", 0)
+
+def sales_date(text: Column) -> Column:
+    """Text to date: spreadsheet serial, then m/d/yy, then m/d/yyyy, then year first."""
+    trimmed = F.trim(text)
     serial = F.date_add(F.lit(SERIAL_DAY_ZERO).cast("date"), _whole(text))
+    # A one-element array names the split text, which is used several times.
+    turned = F.get(F.transform(F.array(F.split(trimmed, "/")), _year_first), F.lit(0))
+    # A year alone is a serial, so text must start with all three parts.
+    dated = F.regexp_extract(
+        F.coalesce(turned, F.translate(trimmed, "/", "-")),
+        r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:[ T].*)?$",
+        0,
+    )
     return F.coalesce(serial, F.nullif(dated, F.lit("")).try_cast("date"))
 
 
@@ -149,10 +153,9 @@ def iso_text(text: Column) -> Column:
 
 def strict_us_date(text: Column) -> Column:
     """``m/d/yy`` to date; any other text stops the job, NULL stays NULL."""
-    shaped = text.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$")
-    value = F.when(shaped, sales_date(text))
+    shaped = F.regexp_extract(text, r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$", 0)
     refused = F.raise_error(F.concat(F.lit("not a m/d/yy date: "), text)).cast("date")
-    return F.when(text.isNull() | value.isNotNull(), value).otherwise(refused)
+    return F.coalesce(sales_date(shaped), F.when(text.isNotNull(), refused))
 
 
 def is_no_value(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,50 +27,57 @@ from saleswright.scale import attach, settled
 # -- category keywords ------------------------------------------------------
 
 
-def keyword_matches(text: Column, keywords: list[tuple[str, str, int]]) -> Column:
-    """Matched keywords as structs, best first.
+def keyword_matches(lowered: Column, keywords: list[tuple[str, str, int]]) -> Column:
+    """Keywords found in lower-case text as structs, best first.
 
     Order: priority from high to low, then position in the text, then keyword.
     The keywords are part of the expression, so the rows are neither multiplied
     nor shuffled.
     """
-    lowered = F.lower(text)
-    tests = [
-        F.when(
-            lowered.contains(word.lower()),
+    table = F.array(
+        *[
             F.struct(
-                F.lit(-priority).alias("rank"),
-                F.instr(lowered, F.lit(word.lower())).alias("position"),
-                F.lit(word).alias("keyword"),
-                F.lit(category).alias("category"),
+                F.lit(-priority).alias("rank"), F.lit(word).alias("keyword"),
+                F.lit(word.lower()).alias("word"), F.lit(category).alias("category"),
+            )
+            for word, category, priority in keywords
+        ]
+    )
+    found = F.filter(table, lambda k: F.contains(lowered, k["word"]))
+    return F.array_sort(
+        F.transform(
+            found,
+            lambda k: F.struct(
+                k["rank"].alias("rank"), F.instr(lowered, k["word"]).alias("position"),
+                k["keyword"].alias("keyword"), k["category"].alias("category"),
             ),
         )
-        for word, category, priority in keywords
-    ]
-    return F.array_sort(F.array_compact(F.array(*tests)))
+    )
 
 
 def with_category(
     df: DataFrame, text: str = "item_description",
     keywords: list[tuple[str, str, int]] | None = None,
 ) -> DataFrame:
-    """Add ``keywords_found`` (in text order of the keyword) and ``final_category``.
+    """Add ``keywords_found``, ``final_category`` and ``highest_priority``.
 
-    Rows without any keyword are dropped.
+    Rows without any keyword are dropped, by one search for all of them.
     """
     keywords = keywords or CATEGORY_KEYWORDS
+    any_word = "|".join(re.escape(word.lower()) for word, _, _ in keywords)
     lowered = F.lower(text)
-    matched_rows = F.lit(False)
-    for word, _, _ in keywords:
-        matched_rows = matched_rows | lowered.contains(word.lower())
     return (
-        df.filter(matched_rows)
-        .withColumn("_m", keyword_matches(F.col(text), keywords))
-        .withColumn(
-            "keywords_found", F.array_join(F.array_sort(F.transform("_m", lambda m: m["keyword"])), ", ")
+        df.filter(lowered.rlike(any_word))
+        .withColumn("_m", keyword_matches(lowered, keywords))
+        .withColumns(
+            {
+                "keywords_found": F.array_join(
+                    F.array_sort(F.transform("_m", lambda m: m["keyword"])), ", "
+                ),
+                "final_category": F.get("_m", F.lit(0))["category"],
+                "highest_priority": -F.get("_m", F.lit(0))["rank"],
+            }
         )
-        .withColumn("final_category", F.get("_m", F.lit(0))["category"])
-        .withColumn("highest_priority", -F.get("_m", F.lit(0))["rank"])
         .drop("_m")
     )
 

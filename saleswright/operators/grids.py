@@ -110,14 +110,16 @@ def first_row_where(grid: DataFrame, test: Callable[[DataFrame], DataFrame]) ->
     return near.unionByName(first(attach(far, left, SHEET, ["row_idx"])))
 
 
-def alias_positions(cells: Column, aliases: dict[str, list[str]]) -> Column:
+def normal_cells(cells: Column) -> Column:
+    return F.transform(cells, lambda c: normal_header(F.coalesce(c, F.lit(""))))
+
+
+def alias_positions(normal: Column, aliases: dict[str, list[str]]) -> Column:
     """Field -> 0-based index of its first header cell, as a map of the fields found.
 
     The dictionary is part of the expression, so no rows are multiplied. One
     header may serve several fields.
     """
-    normal = F.transform(cells, lambda c: normal_header(F.coalesce(c, F.lit(""))))
-
     def place(words: list[str]) -> Column:
         return F.array_position(F.transform(normal, lambda c: c.isin(words)), True).cast("int")
 
@@ -134,9 +136,14 @@ def alias_positions(cells: Column, aliases: dict[str, list[str]]) -> Column:
 
 def alias_headers(grid: DataFrame, aliases: dict[str, list[str]], least: int = 2) -> DataFrame:
     """Per sheet, the first row that names at least two fields, with their positions."""
+    known = sorted({w for words in aliases.values() for w in words})
+
     def test(rows: DataFrame) -> DataFrame:
+        # Data rows rarely hold any header word; one set lookup per cell drops them.
+        normal = rows.withColumn("normal", normal_cells(F.col("cells")))
+        named = normal.filter(F.exists("normal", lambda c: c.isin(known)))
         return (
-            rows.withColumn("col_map", alias_positions(F.col("cells"), aliases))
+            named.withColumn("col_map", alias_positions(F.col("normal"), aliases))
             .filter(F.size("col_map") >= least)
             .select(*SHEET, "row_idx", F.struct("col_map", "cells").alias("found"))
         )

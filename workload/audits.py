@@ -24,7 +24,7 @@ FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey"""
 
 
 def transactions(spark, sf):
-    return in_spark(spark, sf, TRANSACTIONS)
+    return v.raw_table(spark, sf, TRANSACTIONS)
 
 
 def category_discrepancies(spark, sf):

@@ -49,7 +49,7 @@ FROM (SELECT *, CAST(o_orderdate AS DATE) AS d FROM {{orders}}) o"""
 
 
 def cleaned(view, keys, columns):
-    return lambda spark, sf: in_spark(spark, sf, view).select(
+    return lambda spark, sf: v.raw_table(spark, sf, view).select(
         *keys, *[c.alias(n) for n, c in columns(F.col("raw")).items()]
     )
 

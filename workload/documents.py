@@ -84,7 +84,7 @@ FLAT = f"""SELECT o_orderkey AS row_idx, 'cust-' || {s('o_custkey')} AS particip
 
 
 def nest_transactions(spark, sf):
-    nested = docs.nest_transactions(in_spark(spark, sf, FLAT))
+    nested = docs.nest_transactions(v.raw_table(spark, sf, FLAT))
     entity = F.explode("entities").alias("e")
     return nested.select("participant_key", "part_no", entity).select(
         "participant_key", "part_no", F.col("e.id").alias("entity_id"),
@@ -109,7 +109,7 @@ ALL["nest_transactions"] = (
 
 def flatten_transactions(spark, sf):
     """Nest, cut hot participants into parts of 8 rows, and flatten again."""
-    nested = docs.nest_transactions(in_spark(spark, sf, FLAT), max_rows=8)
+    nested = docs.nest_transactions(v.raw_table(spark, sf, FLAT), max_rows=8)
     return docs.flatten_transactions(nested).withColumns(
         {c: F.col(c).cast("double") for c in ("quantity", "amount")}
     )
@@ -144,7 +144,7 @@ _CLEAN = f"""(SELECT row_idx, trim(request_id) AS request_id, transaction_id, sk
 
 
 def export_fields(spark, sf):
-    rows = ex.clean_transactions(ex.pending_rows(in_spark(spark, sf, EXPORT)))
+    rows = ex.clean_transactions(ex.pending_rows(v.raw_table(spark, sf, EXPORT)))
     return rows.select(
         "row_idx", "request_id", "transaction_id", "sku_key", "quantity", "amount", "earnings",
         "purchaser_id", "offer_key", "participant_key", "invoice_date",
@@ -155,7 +155,7 @@ ALL["export_fields"] = (export_fields, in_duckdb(f"SELECT * FROM {_CLEAN} c"))
 
 
 def export_request_text(spark, sf):
-    return ex.request_text(ex.pending_rows(in_spark(spark, sf, EXPORT)))
+    return ex.request_text(ex.pending_rows(v.raw_table(spark, sf, EXPORT)))
 
 
 def _num(x):
@@ -181,7 +181,7 @@ ALL["export_request_text"] = (
 
 
 def export_documents(spark, sf):
-    made = ex.request_documents(ex.pending_rows(in_spark(spark, sf, EXPORT)))
+    made = ex.request_documents(ex.pending_rows(v.raw_table(spark, sf, EXPORT)))
     rows = made.select("participant_key", "request_id", "part_no", F.explode(F.col("entities")[0]["transactions"]).alias("t"))
     return rows.select(
         "participant_key", "request_id", "part_no", "t.transaction_id", "t.quantity", "t.amount",
@@ -196,7 +196,7 @@ ALL["export_documents"] = (
  transaction_id, quantity, amount, invoice_date, purchaser_id FROM {_CLEAN} c"""),
 )
 ALL["count_requests"] = (
-    lambda spark, sf: ex.count_requests(ex.pending_rows(in_spark(spark, sf, EXPORT))),
+    lambda spark, sf: ex.count_requests(ex.pending_rows(v.raw_table(spark, sf, EXPORT))),
     in_duckdb(f"SELECT count(DISTINCT request_id) AS n_requests FROM {_CLEAN} c"),
 )
 
@@ -204,7 +204,7 @@ ALL["count_requests"] = (
 def export_by_request(spark, sf):
     """Rows of the requests that a table of comma lists names: those of each user's first event type."""
     wanted = in_spark(spark, sf, f"SELECT ' R' || {s('c_custkey')} || ' ,, R' || {s('c_custkey + 1')} || 'x' AS request_id FROM {{customer}} WHERE c_mktsegment = 'BUILDING'")
-    rows = ex.rows_of_request_table(in_spark(spark, sf, EXPORT), wanted)
+    rows = ex.rows_of_request_table(v.raw_table(spark, sf, EXPORT), wanted)
     return rows.select("row_idx", "request_id", "status")
 
 
@@ -216,7 +216,7 @@ ALL["export_by_request"] = (
 
 
 def set_status(spark, sf):
-    rows = in_spark(spark, sf, EXPORT)
+    rows = v.raw_table(spark, sf, EXPORT)
     exported = ex.mark_exported(rows)
     failed = v.table(spark, sf, "events").filter("event_type = 'error'").select(F.col("event_id").alias("row_idx"))
     reset = ex.set_status_of(exported, failed, "row_idx", "")
@@ -237,7 +237,7 @@ PAYLOADS = """SELECT event_id, CASE WHEN event_id % 4 = 0 THEN '[' || props || '
 
 
 def tabulate_records(spark, sf):
-    records = unpack_envelope(in_spark(spark, sf, PAYLOADS), "payload")
+    records = unpack_envelope(v.raw_table(spark, sf, PAYLOADS), "payload")
     return tabulate(records, keep=["event_id"])
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from saleswright.config import BASE_LEDGER, CREDIT_LEDGER
 from saleswright.operators import ledger_checks as lc
 from saleswright.plans.payment_run import normalize_transactions
-from saleswright.scale import settled
 from workload import views as v
 from workload.views import in_duckdb, in_spark, s
 
@@ -137,35 +136,36 @@ WHERE ext_txt <> '' AND ext_txt <> '#VALUE!' AND extended_price IS NULL GROUP BY
 # -- checks on the loaded ledger -----------------------------------------------
 
 
-def _checked(spark, sf):
-    run = _run(spark, sf)
-    return settled(run.ledger), run.metadata
+def _ledger(spark, sf):
+    """The loaded ledger as a table, which the checks read after the load."""
+    return v.stored(spark, sf, "ledger", lambda: _run(spark, sf).ledger)
+
+
+def _metadata(spark, sf):
+    return v.stored(spark, sf, "metadata", lambda: _run(spark, sf).metadata)
 
 
 def qc_issues(spark, sf):
-    ledger, metadata = _checked(spark, sf)
-    return lc.issues(ledger, BASE_LEDGER, metadata).select(
-        lc.FILE, "check", "severity", "detail", "samples"
-    )
+    found = lc.issues(_ledger(spark, sf), BASE_LEDGER, _metadata(spark, sf))
+    return found.select(lc.FILE, "check", "severity", "detail", "samples")
 
 
 def qc_column_profile(spark, sf):
-    return lc.column_profile(_run(spark, sf).ledger)
+    return lc.column_profile(_ledger(spark, sf))
 
 
 def qc_samples(spark, sf):
-    return lc.samples(_run(spark, sf).ledger)
+    return lc.samples(_ledger(spark, sf))
 
 
 def qc_summary(spark, sf):
-    ledger, metadata = _checked(spark, sf)
+    ledger, metadata = _ledger(spark, sf), _metadata(spark, sf)
     found = lc.issues(ledger, BASE_LEDGER, metadata, with_samples=False)
     return lc.run_summary(ledger, found, metadata)
 
 
 def key_violations(spark, sf):
-    ledger = _run(spark, sf).ledger
-    return lc.key_violations(ledger).agg(F.count(F.lit(1)).alias("violations"))
+    return lc.key_violations(_ledger(spark, sf)).agg(F.count(F.lit(1)).alias("violations"))
 
 
 _T = f"(SELECT * FROM ({BASE_TYPED}) bt)"

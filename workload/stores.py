@@ -127,7 +127,7 @@ ALL["source_snapshot"] = (
 
 def source_documents(spark, sf):
     path = scratch_path(spark, "documents")
-    sinks.write_documents(docs.nest_transactions(in_spark(spark, sf, documents.FLAT)), path)
+    sinks.write_documents(docs.nest_transactions(v.raw_table(spark, sf, documents.FLAT)), path)
     return docs.flatten_transactions(files.read_documents(spark, path)).withColumns(
         {c: F.col(c).cast("double") for c in ("quantity", "amount")}
     )

@@ -7,6 +7,7 @@ and SERIAL( a spreadsheet day number. Every view covers its whole tables.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -159,22 +160,43 @@ FROM (SELECT s_suppkey AS s, s_name FROM {{supplier}}) i WHERE s % 3 <> 2
 _LANDED: dict[tuple[str, str, str], str] = {}
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
-    """A grid view as files in sheet and row order, as an ingest job would leave it.
-
-    It is written once per session to the shared folder, whole.
-    """
+def _once(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = scratch_path(spark, name)
-        rows = in_spark(spark, sf_dir, text)
-        order = ["file_name", "sheet_name", "row_idx"]
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).write.parquet(path)
+        write(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 
 
+def landed(spark: SparkSession, sf_dir: str, name: str, text: str, in_order: bool = True) -> DataFrame:
+    """A view as files, as an ingest job would leave them: written once per session, whole.
+
+    Grids are kept in sheet and row order.
+    """
+    def write(path: str) -> None:
+        rows = in_spark(spark, sf_dir, text)
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if in_order:
+            order = ["file_name", "sheet_name", "row_idx"]
+            rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        else:
+            rows = rows.repartition(parts)
+        rows.write.parquet(path)
+
+    return _once(spark, sf_dir, name, write)
+
+
+def raw_table(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """Dirty text rows as files."""
+    return landed(spark, sf_dir, f"raw_{hashlib.md5(text.encode()).hexdigest()[:10]}", text, False)
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """A result that later steps read as a table, such as a loaded ledger."""
+    return _once(spark, sf_dir, name, lambda path: make().write.parquet(path))
+
+
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, sf_dir, "sales_grid", GRID)
 
