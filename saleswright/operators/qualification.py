@@ -81,7 +81,6 @@ def frame_totals(scenarios: DataFrame, frames: DataFrame, transactions: DataFram
     """
     facts = scenario_facts(scenarios, frames)
     rows = _with_facts(transactions, facts)
-    # One extra entry without a frame keeps tests that sold nothing in any frame.
     hits = F.filter(
         "frames", lambda f: F.col("_q") & _inside(F.col("_day"), f)
     )
@@ -92,8 +91,9 @@ def frame_totals(scenarios: DataFrame, frames: DataFrame, transactions: DataFram
     )
     tests = transactions.select(*KEYS).distinct()
     listed = frames.select("scenario_id", "ordinal", "label", "is_current")
+    # One scenario may hold many of the tests, so both joins spread them.
     return (
-        tests.join(listed, "scenario_id")
+        attach(tests, listed, ["scenario_id"], ["test_id"])
         .join(per_frame, [*KEYS, "ordinal"], "left")
         .withColumn("total", F.coalesce("total", F.lit(0.0)))
     )
@@ -126,7 +126,7 @@ def qualify(scenarios: DataFrame, frames: DataFrame, transactions: DataFrame) ->
     known = F.col("test_type").isin("minQual", "earningsOnly")
     qualified = F.when(yoy, reached >= F.col("target")).otherwise(known)
     return (
-        sums.join(rules, "scenario_id")
+        attach(sums, rules, ["scenario_id"], ["test_id"])
         .withColumn("qualified", qualified)
         .select(
             *KEYS,

@@ -23,16 +23,11 @@ def unpack_envelope(payloads: DataFrame, column: str, names: list[str] | None =
     return payloads.withColumn("record", F.explode(records))
 
 
-def _path(name: str) -> str:
-    return "$['" + name.replace("'", "\\'") + "']"
-
-
-def cell_text(record: Column, name: str) -> Column:
-    """The value of a name as text: nothing is empty, lists and objects are JSON,
+def cell_text(value: Column) -> Column:
+    """A variant value as text: nothing is empty, lists and objects are JSON,
     booleans are TRUE or FALSE."""
-    value = F.try_variant_get(record, _path(name), "variant")
     kind = F.schema_of_variant(value)
-    text = F.try_variant_get(record, _path(name), "string")
+    text = F.try_variant_get(value, "$", "string")
     return (
         F.when(value.isNull() | F.is_variant_null(value), F.lit(""))
         .when(kind == "BOOLEAN", F.upper(text))
@@ -54,6 +49,8 @@ def tabulate(
 ) -> DataFrame:
     """Records as text columns, one per name in sorted order, after the ``keep`` columns."""
     columns = names if names is not None else record_names(records, column)
-    return records.select(
-        *(keep or []), *[cell_text(F.col(column), c).alias(c) for c in columns]
+    kept = keep or []
+    fields = F.try_variant_get(F.col(column), "$", "map<string,variant>")
+    return records.select(*kept, fields.alias("_f")).select(
+        *kept, *[cell_text(F.try_element_at("_f", F.lit(c))).alias(c) for c in columns]
     )
