@@ -197,7 +197,8 @@ def file_totals(
     chosen = settled(first_usable_sheet(sheet_list(grid)))
     usable = chosen.filter(F.col("sheet_name").isNotNull())
     rows = attach(
-        grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, ["row_idx"], how="left_semi"
+        grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, ["row_idx"], how="left_semi",
+        computed=True,
     )
     place = F.array_position(
         F.transform("cells", lambda c: F.lower(clean_text(c))), amount_header

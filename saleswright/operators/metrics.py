@@ -48,7 +48,7 @@ def two_program_lines(program_a: str, program_b: str) -> list[ReportLine]:
     ]
 
 
-def matched_lines(first: str = "Seed", second: str = "Warrant") -> list[ReportLine]:
+def matched_lines(first: str, second: str) -> list[ReportLine]:
     """Lines of the report on two matched products, whose metrics carry their names."""
     # Line label, per-product metric keys, matched metric key, display pattern.
     lines = [

@@ -62,10 +62,9 @@ def scan_files(
     """
     aliases = aliases or TEMPLATE_ALIASES
     required = REQUIRED_TWO if required is None else required
-    sheets = settled(sheet_list(grid))
-    chosen = settled(choose_sheet(sheets, sheet))
+    chosen = settled(choose_sheet(sheet_list(grid), sheet))
     # Rows of other sheets are dropped before the header search.
-    wanted = attach(grid, chosen, SHEET, ["row_idx"], how="left_semi") if _several(sheets, chosen) else grid
+    wanted = attach(grid, chosen, SHEET, ["row_idx"], how="left_semi", computed=True)
     found = alias_headers(wanted, aliases)
     fallback = fullest_headers(wanted).withColumnsRenamed(
         {"header_row": "fallback_row", "header_cells": "fallback_cells"}
@@ -115,16 +114,17 @@ def scan_files(
     return files
 
 
-def _several(sheets: DataFrame, chosen: DataFrame) -> bool:
-    return sheets.count() > chosen.count()
+def template_records(grid: DataFrame, files: DataFrame, computed: bool = False) -> DataFrame:
+    """Records of the ready files, ten columns after the file and row.
 
-
-def template_records(grid: DataFrame, files: DataFrame) -> DataFrame:
-    """Records of the ready files, ten columns after the file and row."""
+    ``computed`` says that ``files`` comes from ``settled``.
+    """
     ready = files.filter(F.col("status") == "ready").select(
         *SHEET, "col_map", "map_row", "contractor"
     )
-    rows = attach(grid.select(*SHEET, "row_idx", "cells"), ready, SHEET, ["row_idx"])
+    rows = attach(
+        grid.select(*SHEET, "row_idx", "cells"), ready, SHEET, ["row_idx"], computed=computed
+    )
     rows = rows.filter((F.col("row_idx") > F.col("map_row")) & is_data_row(F.col("cells")))
 
     def cell(name: str):
@@ -151,4 +151,4 @@ def template_records(grid: DataFrame, files: DataFrame) -> DataFrame:
 def convert_template(grid: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     """Records and file status; see ``scan_files`` for the options."""
     files = settled(scan_files(grid, **options))
-    return template_records(grid, files), files
+    return template_records(grid, files, computed=True), files

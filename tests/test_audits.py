@@ -147,7 +147,7 @@ def test_reports(spark):
     assert (got[1]["a"], got[1]["a_text"]) == (0.0, "0")
     keys = spark.createDataFrame([("# Growers with Net Positive Invoiced Seed Acres", 3.0, 1), ("# Growers with Net Negative Invoiced Seed Acres", 2.0, 2), ("Earned Amount to Date", 7.0, 3)],
                                  "metric_key string, metric_value double, row_idx int")
-    matched = {r["line_no"]: r for r in metrics.program_report(keys, metrics.matched_lines()).collect()}
+    matched = {r["line_no"]: r for r in metrics.program_report(keys, metrics.matched_lines("Seed", "Spray")).collect()}
     assert (matched[3]["a"], matched[3]["b"], matched[3]["matched"]) == (5.0, 0.0, 0.0)
     assert (matched[5]["a"], matched[5]["b"]) == (7.0, None)
 

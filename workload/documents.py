@@ -69,7 +69,7 @@ SELECT product_key, key, 'change', key, superseded_by, 'superseded' FROM new WHE
 )
 ALL["product_changes"] = (
     product_changes,
-    in_duckdb(f"""{_SIDES} SELECT product_key, sum(l) AS lost, sum(g) AS gained FROM (SELECT product_key, 1 AS l, 0 AS g FROM lost
+    in_duckdb(f"""{_SIDES} SELECT product_key, CAST(sum(l) AS BIGINT) AS lost, CAST(sum(g) AS BIGINT) AS gained FROM (SELECT product_key, 1 AS l, 0 AS g FROM lost
  UNION ALL SELECT product_key, 0, 1 FROM gained) x GROUP BY product_key"""),
 )
 

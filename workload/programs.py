@@ -19,7 +19,7 @@ TWO = me.two_program_lines("HOUSEHOLD", "MACHINERY")
 _KEYS_TWO = ["# Growers with Bookings or Invoices", "Booked Gallons to Date", "Booked Gallons Pre-Deadline",
              "Net Positive Invoiced Gallons to Date", "Earned Amount to Date", "Remaining Earnable Amount to Date",
              "Not reported", ""]
-MATCHED = me.matched_lines()
+MATCHED = me.matched_lines("Seed", "Spray")
 _KEYS_MATCHED = sorted({k for line in MATCHED for _, ks in line.columns.values() for k in ks}) + ["Other", ""]
 
 

@@ -243,7 +243,7 @@ ALL["template_files"] = (
 
 def _records(spark, sf, **options):
     files = settled(_scan(spark, sf, **options))
-    return template_records(v.grid(spark, sf), files)
+    return template_records(v.grid(spark, sf), files, computed=True)
 
 
 def convert_template(spark, sf):
