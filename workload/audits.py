@@ -35,12 +35,12 @@ def category_discrepancies(spark, sf):
 
 
 _KEYWORDS = ", ".join(f"('{w}', '{c}', {p})" for w, c, p in CATEGORY_KEYWORDS)
-CATEGORY = f"""WITH k(keyword, category, priority) AS (VALUES {_KEYWORDS}), t AS ({TRANSACTIONS}),
-found AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, item_description, pipe, fittings,
+CATEGORY = f"""WITH k(keyword, category, priority) AS (VALUES {_KEYWORDS}), t AS (SELECT *, row_number() OVER () AS rid FROM ({TRANSACTIONS}) x),
+found AS (SELECT rid, l_orderkey, l_partkey, l_suppkey, l_linenumber, item_description, pipe, fittings,
  string_agg(keyword, ', ' ORDER BY keyword) AS keywords_found, max(priority) AS highest_priority,
  first(category ORDER BY priority DESC, position(keyword IN lower(item_description)), keyword) AS final_category
  FROM t JOIN k ON position(keyword IN lower(item_description)) > 0 GROUP BY ALL)
-SELECT * FROM (SELECT *, CASE
+SELECT * EXCLUDE (rid) FROM (SELECT *, CASE
  WHEN final_category = 'pipe' AND lower(pipe) NOT IN ('y','1','true') THEN 'Should be marked as pipe but pipe column is not true'
  WHEN final_category = 'fitting' AND lower(fittings) NOT IN ('y','1','true') THEN 'Should be marked as fitting but fittings column is not true'
  END AS discrepancy_type FROM found) x WHERE discrepancy_type IS NOT NULL"""
