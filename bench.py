@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR names the data folder, BENCH_CPUS the number of cores. Each query runs
-once to warm up, then its time is the median of three runs. A run computes every row and
+once to warm up, then its time is the median of BENCH_RUNS (2) runs. A run computes every row and
 column and throws them away. Grids are landed as files during the warm-up, as an ingest job would.
 """
 
@@ -47,7 +47,7 @@ HEADLINE = [
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     wanted = sys.argv[1:] or HEADLINE
     spark = local_session("bench", os.environ.get("BENCH_CPUS", "8"))
     times: dict[str, float] = {}

@@ -213,16 +213,18 @@ def predicate_names(mapping: DataFrame) -> tuple[list[str], list[str]]:
     shown = F.when(F.col("use_header"), F.col("header_cells")).otherwise(
         F.regexp_extract_all("predicate", F.lit(r"\b([A-Za-z]{1,2})\b"))
     )
-    names = rows.select("predicate", F.explode_outer(F.transform(shown, cl.clean_text)).alias("name"))
-    used = names.filter(
-        F.col("name").isNull()
-        | ((F.col("name") != "") & F.contains(F.lower("predicate"), F.lower("name")))
+    used = F.filter(
+        F.transform(shown, cl.clean_text),
+        lambda n: (n != "") & F.contains(F.lower("predicate"), F.lower(n)),
     )
-    found = used.groupBy("predicate", F.lower("name").alias("low")).agg(F.min("name").alias("name"))
-    pairs = found.collect()
-    by_low = {r["low"]: r["name"] for r in pairs if r["low"]}
-    texts = {r["predicate"] for r in rows.select("predicate").distinct().collect()}
-    return sorted(texts), [by_low[low] for low in sorted(by_low)]
+    found = (
+        rows.select("predicate", F.explode_outer(used).alias("name"))
+        .groupBy("predicate")
+        .agg(F.collect_set("name").alias("names"))
+        .collect()
+    )
+    by_low = {n.lower(): n for n in sorted((n for r in found for n in r["names"]), reverse=True)}
+    return sorted(r["predicate"] for r in found), [by_low[low] for low in sorted(by_low)]
 
 
 def with_name_places(mapping: DataFrame, names: list[str]) -> DataFrame:
