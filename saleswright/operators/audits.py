@@ -197,7 +197,7 @@ def file_totals(
     chosen = settled(first_usable_sheet(sheet_list(grid)))
     usable = chosen.filter(F.col("sheet_name").isNotNull())
     rows = attach(
-        grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, ["row_idx"], how="left_semi",
+        grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, how="left_semi",
         computed=True,
     )
     place = F.array_position(
@@ -216,7 +216,7 @@ def file_totals(
     )
     amount = plain_number(F.get(F.col("cells"), F.col("place") - 1)).cast("decimal(28,6)")
     totals = (
-        attach(rows, headers, SHEET, ["row_idx"])
+        attach(rows, headers, SHEET)
         .filter(F.col("row_idx") > F.col("header_row"))
         .groupBy("file_name")
         .agg(

@@ -92,7 +92,7 @@ def locate_columns(tasks: DataFrame, grid: DataFrame) -> DataFrame:
     )
     at = F.array_position(F.transform(names, lambda c: strip_quotes(c)), F.col("wanted")).cast("int")
     found = (
-        attach(near, by_name, SHEET, ["row_idx"])
+        attach(near, by_name, SHEET)
         .filter(F.col("row_idx").between(F.col("h.start_row"), F.col("h.end_row")))
         .withColumn("at", at)
         .filter(F.col("at") > 0)
@@ -117,7 +117,7 @@ def customer_values(mapping: DataFrame, grid: DataFrame) -> DataFrame:
     )
     value = clean_text(F.get(F.col("cells"), F.col("place")))
     found = (
-        attach(grid.select(*SHEET, "row_idx", "cells"), tasks, SHEET, ["row_idx"])
+        attach(grid.select(*SHEET, "row_idx", "cells"), tasks, SHEET)
         .filter(F.col("row_idx").between(F.col("from_row"), F.col("to_row")))
         .select(*SHEET, F.col("customer_name").alias("_column"), "wanted", "row_idx", value.alias("customer_name"))
         .filter((F.col("customer_name") != "") & (F.col("customer_name") != F.col("wanted")))

@@ -48,7 +48,7 @@ def rows_of_request_table(df: DataFrame, requests: DataFrame, column: str = "req
     """Rows whose request id occurs in a table of comma lists."""
     ids = requests.select(F.explode(comma_list(F.col(column))).alias("_id")).distinct()
     rows = eligible_rows(df).withColumn("_id", clean_text(F.col("request_id")))
-    return attach(rows, ids, ["_id"], ["row_idx"], how="left_semi").drop("_id")
+    return attach(rows, ids, ["_id"], how="left_semi").drop("_id")
 
 
 def set_status(df: DataFrame, selected: Column, status: str) -> DataFrame:
@@ -59,7 +59,7 @@ def set_status(df: DataFrame, selected: Column, status: str) -> DataFrame:
 def set_status_of(df: DataFrame, ids: DataFrame, key: str, status: str) -> DataFrame:
     """Set the status of the rows whose key is in a table."""
     marks = ids.select(key).distinct().withColumn("_picked", F.lit(True))
-    picked = attach(df, marks, [key], [key], how="left")
+    picked = attach(df, marks, [key], how="left")
     return set_status(picked, F.col("_picked"), status).drop("_picked")
 
 

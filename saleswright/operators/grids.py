@@ -107,7 +107,7 @@ def first_row_where(grid: DataFrame, test: Callable[[DataFrame], DataFrame]) ->
     if left.isEmpty():
         return near
     far = grid.filter(F.col("row_idx") > NEAR_ROWS)
-    return near.unionByName(first(attach(far, left, SHEET, ["row_idx"], computed=True)))
+    return near.unionByName(first(attach(far, left, SHEET, computed=True)))
 
 
 def normal_cells(cells: Column) -> Column:

@@ -111,7 +111,7 @@ def with_header_cells(mapping: DataFrame, grid: DataFrame) -> DataFrame:
         return wanted.withColumn("header_cells", F.array().cast("array<string>"))
     places = wanted.select(*SHEET, F.col("header_row").alias("row_idx")).distinct()
     near = grid.filter(F.col("row_idx") <= last).select(*SHEET, "row_idx", "cells")
-    cells = attach(near, places.dropna(), [*SHEET, "row_idx"], ["row_idx"]).withColumnsRenamed(
+    cells = attach(near, places.dropna(), [*SHEET, "row_idx"]).withColumnsRenamed(
         {"row_idx": "header_row", "cells": "header_cells"}
     )
     return wanted.join(cells, [*SHEET, "header_row"], "left").withColumn(
@@ -289,7 +289,7 @@ def staged_rows(grid: DataFrame, prepared: DataFrame, ledger: Ledger) -> DataFra
         "use_header", "header_cells"
     )
     rows = attach(
-        grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, ["row_idx"], computed=True
+        grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, computed=True
     )
     rows = rows.filter(F.col("row_idx").between(F.col("from_row"), F.col("to_row")))
     passed = apply_predicates(rows, conditions, names)
@@ -378,7 +378,7 @@ def load_metadata(grid: DataFrame, prepared: DataFrame, staged: DataFrame) -> Da
     """
     bounds = prepared.select(MAPPING_ROW, *SHEET, "from_row", "to_row")
     inside = attach(
-        grid.select(*SHEET, "row_idx"), bounds, SHEET, ["row_idx"], computed=True
+        grid.select(*SHEET, "row_idx"), bounds, SHEET, computed=True
     ).filter(
         F.col("row_idx").between(F.col("from_row"), F.col("to_row"))
     )

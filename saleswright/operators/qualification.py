@@ -58,7 +58,7 @@ def _inside(day: Column, frame: Column) -> Column:
 
 def _with_facts(transactions: DataFrame, facts: DataFrame) -> DataFrame:
     columns = [c for c in transactions.columns if c != "scenario_id"]
-    rows = attach(transactions, facts, ["scenario_id"], columns)
+    rows = attach(transactions, facts, ["scenario_id"])
     text = F.col("total").cast("string")
     return rows.withColumns(
         {
@@ -93,7 +93,7 @@ def frame_totals(scenarios: DataFrame, frames: DataFrame, transactions: DataFram
     listed = frames.select("scenario_id", "ordinal", "label", "is_current")
     # One scenario may hold many of the tests, so both joins spread them.
     return (
-        attach(tests, listed, ["scenario_id"], ["test_id"])
+        attach(tests, listed, ["scenario_id"])
         .join(per_frame, [*KEYS, "ordinal"], "left")
         .withColumn("total", F.coalesce("total", F.lit(0.0)))
     )
@@ -126,7 +126,7 @@ def qualify(scenarios: DataFrame, frames: DataFrame, transactions: DataFrame) ->
     known = F.col("test_type").isin("minQual", "earningsOnly")
     qualified = F.when(yoy, reached >= F.col("target")).otherwise(known)
     return (
-        attach(sums, rules, ["scenario_id"], ["test_id"])
+        attach(sums, rules, ["scenario_id"])
         .withColumn("qualified", qualified)
         .select(
             *KEYS,

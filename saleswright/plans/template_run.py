@@ -64,7 +64,7 @@ def scan_files(
     required = REQUIRED_TWO if required is None else required
     chosen = settled(choose_sheet(sheet_list(grid), sheet))
     # Rows of other sheets are dropped before the header search.
-    wanted = attach(grid, chosen, SHEET, ["row_idx"], how="left_semi", computed=True)
+    wanted = attach(grid, chosen, SHEET, how="left_semi", computed=True)
     found = alias_headers(wanted, aliases)
     fallback = fullest_headers(wanted).withColumnsRenamed(
         {"header_row": "fallback_row", "header_cells": "fallback_cells"}
@@ -123,7 +123,7 @@ def template_records(grid: DataFrame, files: DataFrame, computed: bool = False)
         *SHEET, "col_map", "map_row", "contractor"
     )
     rows = attach(
-        grid.select(*SHEET, "row_idx", "cells"), ready, SHEET, ["row_idx"], computed=computed
+        grid.select(*SHEET, "row_idx", "cells"), ready, SHEET, computed=computed
     )
     rows = rows.filter((F.col("row_idx") > F.col("map_row")) & is_data_row(F.col("cells")))
 

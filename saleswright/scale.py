@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 # A side is broadcast only below both bounds; they are checked on the computed rows.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Copies of the smaller side when it is too large to broadcast.
+# Parts into which the pairs of a product are dealt.
 SALTS = 32
 # Rows that one task numbers, or one document holds, at most.
 BLOCK_ROWS = 100_000
@@ -65,28 +65,21 @@ def attach(
     big: DataFrame,
     small: DataFrame,
     keys: Sequence[str],
-    spread: Sequence[str],
     how: str = "inner",
     computed: bool = False,
 ) -> DataFrame:
     """Join per-key facts to many rows.
 
     The facts are computed once and measured. Small ones are broadcast, so the
-    rows are not shuffled. Larger ones are copied ``SALTS`` times and joined on
-    the keys and a salt taken from the ``spread`` columns, so a key that holds a
-    third of the rows meets ``SALTS`` tasks and not one. ``computed`` says that the
-    facts already come from ``settled``.
+    rows are not shuffled. Larger ones meet the rows in a plain shuffle join, in which
+    adaptive execution cuts the partition of a hot key into several tasks and copies
+    only the facts of that partition. ``computed`` says that the facts already come
+    from ``settled``.
     """
     facts = small if computed else settled(small)
     if fits_broadcast(facts):
         return big.join(F.broadcast(facts), list(keys), how)
-    copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = big.withColumn("_salt", salt_of(spread))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
-
-
-def salt_of(columns: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+    return big.join(facts, list(keys), how)
 
 
 def number_rows(
@@ -151,7 +144,7 @@ def split_hot(
     )
     part = F.when(F.col("_hot"), F.floor(F.col(order) / F.lit(size))).otherwise(F.lit(0))
     return (
-        attach(df, hot, keys, [order], how="left")
+        attach(df, hot, keys, how="left")
         .withColumn(out, part.cast("long"))
         .drop("_hot")
     )

@@ -3,15 +3,18 @@
 import pytest
 
 import __spark_entry__ as registry
+from workload import catalog
 from workload.check import connect, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 def test_every_query_has_an_oracle():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == set()
+    assert set(QUERIES) <= set(registry.queries())
+    assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from saleswright import scale
 
 
-@pytest.fixture(params=[True, False], ids=["broadcast", "salted"])
+@pytest.fixture(params=[True, False], ids=["broadcast", "shuffled"])
 def way(request, monkeypatch):
     if not request.param:
         monkeypatch.setattr(scale, "BROADCAST_ROWS", 0)
@@ -22,11 +22,11 @@ def skewed(spark):
 def test_attach(spark, way, rows):
     big = skewed(spark)
     facts = big.select("key").distinct().withColumn("fact", F.length("key"))
-    joined = scale.attach(big, facts, ["key"], ["row_idx"])
+    joined = scale.attach(big, facts, ["key"])
     assert rows(joined.select("row_idx", "fact")) == rows(big.select("row_idx", F.length("key")))
     some = facts.filter("key = 'hot'")
-    assert scale.attach(big, some, ["key"], ["row_idx"], how="left").count() == 3000
-    assert scale.attach(big, some, ["key"], ["row_idx"], how="left_semi").count() == 1000
+    assert scale.attach(big, some, ["key"], how="left").count() == 3000
+    assert scale.attach(big, some, ["key"], how="left_semi").count() == 1000
 
 
 @pytest.mark.parametrize("block", [1, 7, 100_000])
@@ -48,7 +48,7 @@ def test_split_hot(spark, way):
 
 
 def test_first_examples_limits_before_the_shuffle(spark):
-    first = scale.first_examples(skewed(spark), ["key"], ["row_idx"], 5)
+    first = scale.first_examples(skewed(spark), ["key"], 5)
     assert first.groupBy("key").count().agg(F.max("count")).first()[0] == 5
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
