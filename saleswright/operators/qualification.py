@@ -57,7 +57,6 @@ def _inside(day: Column, frame: Column) -> Column:
 
 
 def _with_facts(transactions: DataFrame, facts: DataFrame) -> DataFrame:
-    columns = [c for c in transactions.columns if c != "scenario_id"]
     rows = attach(transactions, facts, ["scenario_id"])
     text = F.col("total").cast("string")
     return rows.withColumns(
