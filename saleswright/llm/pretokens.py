@@ -43,18 +43,22 @@ class PretokenEncoder:
         return known
 
     def _learn_chunks(self, wanted: set[str]) -> None:
-        """Chunks are remembered without the space before them."""
+        """Chunks are remembered without the space before them.
+
+        One of letters only is a single pre-token with its space.
+        """
         new = [c for c in wanted if c not in self.chunks]
         if not new:
             return
         if len(self.chunks) + len(new) > REMEMBERED:
             self.chunks = {c: self.chunks[c] for c in wanted if c in self.chunks}
-        cut = [self.find(" " + c) for c in new]
+        words = [c for c in new if c.isalpha()]
+        self.chunks.update(zip(words, self.encode([" " + c for c in words]), strict=True))
+        others = [c for c in new if not c.isalpha()]
+        cut = [self.find(" " + c) for c in others]
         known = self._learn_pieces({p for pieces in cut for p in pieces})
-        for chunk, pieces in zip(new, cut, strict=True):
-            self.chunks[chunk] = (
-                known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
-            )
+        for chunk, pieces in zip(others, cut, strict=True):
+            self.chunks[chunk] = b"".join([known[p] for p in pieces])
 
     def _whole(self, text: str) -> bytes:
         pieces = self.find(text)

@@ -1,4 +1,4 @@
-"""Queries of the operators that work on rows, ids and turns (1, 4, 8, 10)."""
+"""Queries of the operators that work on rows, ids and turns (1, 4, 6, 8, 9, 10)."""
 
 from __future__ import annotations
 
@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm import bpe, chat, exact_dedup, sharding
+from saleswright.llm import bpe, chat, exact_dedup, packing, sharding, token_store
 from saleswright.llm.common import table, text_of
+from saleswright.scale import scratch_path
 
 N_SHARDS, SHARD_SEED = 24, 20240607
 
@@ -46,6 +47,14 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    store = scratch_path(spark, "token-store")
+    token_store.write_store(
+        table(spark, folder, "documents"), store, public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return token_store.read_store(spark, store).withColumnRenamed("key", "doc_id")
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.copies(table(spark, folder, "documents"))
 
@@ -66,6 +75,16 @@ WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.token_pieces(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    # The ids stay where they are; the packing moves lengths and checksums.
+    return packing.pack(
+        pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    )
+
+
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     rendered = chat.perspectives(table(spark, folder, "conversations"))
     return rendered.select(
@@ -116,6 +135,8 @@ GROUP BY conv_id, speaker, page
 ALL = {
     "op1_bpe": (op1_bpe, None),
     "op4_sharding": (op4_sharding, None),
+    "op6_token_store": (op6_token_store, None),
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
+    "op9_packing": (op9_packing, None),
     "op10_chat": (op10_chat, OP10_SQL),
 }
