@@ -1,11 +1,13 @@
-"""Queries of the operators that judge and compare texts (2)."""
+"""Queries of the operators that judge and compare texts (2, 5)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from saleswright.llm import quality_rules
+from saleswright.llm import line_dedup, quality_rules
 from saleswright.llm.common import table
+from saleswright.scale import scratch_path
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,4 +72,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM r
 """
 
-ALL = {"op2_quality_rules": (op2_quality_rules, OP2_SQL)}
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    index = line_dedup.LineIndex(spark, scratch_path(spark, "line-index")).insert(docs)
+    return index.clean(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+OP5_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, line, i,
+           translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
+),
+frequent AS (
+    SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+),
+marked AS (SELECT lines.*, frequent.key IS NOT NULL AS gone FROM lines LEFT JOIN frequent USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ALL = {
+    "op2_quality_rules": (op2_quality_rules, OP2_SQL),
+    "op5_line_dedup": (op5_line_dedup, OP5_SQL),
+}
