@@ -1,11 +1,11 @@
-"""Queries of the operators that judge and compare texts (2, 5)."""
+"""Queries of the operators that judge and compare texts (2, 5, 7)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm import line_dedup, quality_rules
+from saleswright.llm import jaccard_join, line_dedup, quality_rules
 from saleswright.llm.common import table
 from saleswright.scale import scratch_path
 
@@ -97,7 +97,12 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_classes(table(spark, folder, "documents"))
+
+
 ALL = {
     "op2_quality_rules": (op2_quality_rules, OP2_SQL),
     "op5_line_dedup": (op5_line_dedup, OP5_SQL),
+    "op7_jaccard_join": (op7_jaccard_join, None),
 }
