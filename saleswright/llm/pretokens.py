@@ -12,12 +12,12 @@ from collections.abc import Callable, Iterator
 
 import regex
 
-# Entries that one worker remembers, and characters of the longest chunk it remembers.
-# They bound a worker's memory and change no result.
-REMEMBERED = 500_000
+# Entries that one worker remembers, twice, and characters of the longest chunk it
+# remembers. They bound a worker's memory and change no result.
+REMEMBERED = 120_000
 LONGEST = 48
 # Characters of text whose chunks are held at once.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 
 _odd_space = re.compile(r" (?=\s|\Z)")
 
@@ -29,7 +29,9 @@ class PretokenEncoder:
         self.find = regex.compile(pattern).findall
         self.encode = encode
         self.pieces: dict[str, bytes] = {}
+        # What was used since the last change of generation, and before it.
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn_pieces(self, pieces: set[str]) -> dict[str, bytes]:
         known = self.pieces
@@ -51,7 +53,11 @@ class PretokenEncoder:
         if not new:
             return
         if len(self.chunks) + len(new) > REMEMBERED:
-            self.chunks = {c: self.chunks[c] for c in wanted if c in self.chunks}
+            self.older = self.chunks
+            self.chunks = {c: self.older[c] for c in wanted if c in self.older}
+        again = {c: self.older[c] for c in new if c in self.older}
+        self.chunks.update(again)
+        new = [c for c in new if c not in again]
         words = [c for c in new if c.isalpha()]
         self.chunks.update(zip(words, self.encode([" " + c for c in words]), strict=True))
         others = [c for c in new if not c.isalpha()]
