@@ -134,21 +134,27 @@ def compiled(rules: tuple[Rule, ...] = RULES) -> Column:
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def judged(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Add all measures, ``base_failed`` and ``kept``."""
+def verdicts(measures: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Add ``base_failed`` and ``kept`` to measured rows."""
     base = (F.col("n_words") < BASE_WORDS) | (
         100 * F.col("n_repeat_words") > BASE_REPEATED_PERCENT * F.col("n_words")
     )
-    return (
-        measured(df, text)
-        .withColumn("base_failed", base)
-        .withColumn("kept", ~F.col("base_failed") & ~compiled(rules))
+    return measures.withColumn("base_failed", base).withColumn(
+        "kept", ~F.col("base_failed") & ~compiled(rules)
     )
 
 
+def judged(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Add all measures, ``base_failed`` and ``kept``."""
+    return verdicts(measured(df, text), rules)
+
+
 def passing(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that the rules keep, with the columns they came with."""
-    own = F.struct(*(column(c) for c in df.columns))
-    row = fresh([text], "row")
-    narrow = df.select(own.alias(row), column(text).alias(text))
-    return judged(narrow, text, rules).filter("kept").select(f"`{row}`.*")
+    row, at = fresh([text], "row"), fresh([text], "at")
+    whole = F.struct(*(column(c) for c in df.columns))
+    measures = measured(df.select(whole.alias(row), column(text).alias(text)), text)
+    # A filter that needs the row's number stays above the measures; below them, it would
+    # compute them again for every use.
+    counted = measures.withColumn(at, F.monotonically_increasing_id())
+    return verdicts(counted, rules).filter(F.col("kept") & (F.col(at) >= 0)).select(f"`{row}`.*")

@@ -1,11 +1,11 @@
-"""Queries of the operators that judge and compare texts (2, 5, 7)."""
+"""Queries of the operators that judge and compare texts (2, 3, 5, 7)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm import jaccard_join, line_dedup, quality_rules
+from saleswright.llm import jaccard_join, line_dedup, quality_rules, site_quality
 from saleswright.llm.common import table
 from saleswright.scale import scratch_path
 
@@ -72,6 +72,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM r
 """
 
+# A good document is of good quality and not toxic.
+GOOD = "quality = 1 AND toxic = 0"
+
+
+def fitted(spark: SparkSession, folder: str) -> site_quality.Evidence:
+    """The classifier from the labelled documents of a data folder."""
+    docs = table(spark, folder, "documents")
+    return site_quality.fit_evidence(docs, table(spark, folder, "labels"), GOOD)
+
+
+def op3_site_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
+    scored = site_quality.site_scores(docs, fitted(spark, folder), settle=True)
+    return scored.select("doc_id", "evidence", "site_share", "score", "kept")
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     index = line_dedup.LineIndex(spark, scratch_path(spark, "line-index")).insert(docs)
@@ -103,6 +119,7 @@ def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 ALL = {
     "op2_quality_rules": (op2_quality_rules, OP2_SQL),
+    "op3_site_quality": (op3_site_quality, None),
     "op5_line_dedup": (op5_line_dedup, OP5_SQL),
     "op7_jaccard_join": (op7_jaccard_join, None),
 }
