@@ -12,11 +12,11 @@ from collections.abc import Callable, Iterator
 
 import regex
 
-# Entries that one worker remembers, twice, and characters of the longest chunk it
-# remembers. They bound a worker's memory and change no result.
+# Entries that one worker remembers, twice; characters of the longest chunk it remembers;
+# characters of text whose chunks are held at once. They bound a worker's memory and
+# change no result.
 REMEMBERED = 120_000
 LONGEST = 48
-# Characters of text whose chunks are held at once.
 SLICE_CHARS = 500_000
 
 _odd_space = re.compile(r" (?=\s|\Z)")
@@ -25,7 +25,14 @@ _odd_space = re.compile(r" (?=\s|\Z)")
 class PretokenEncoder:
     """Turns texts into the ids of their pre-tokens, packed as bytes."""
 
-    def __init__(self, pattern: str, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(
+        self,
+        pattern: str,
+        encode: Callable[[list[str]], list[bytes]],
+        remembered: int = REMEMBERED,
+        slice_chars: int = SLICE_CHARS,
+    ):
+        self.remembered, self.slice_chars = remembered, slice_chars
         self.find = regex.compile(pattern).findall
         self.encode = encode
         self.pieces: dict[str, bytes] = {}
@@ -37,7 +44,7 @@ class PretokenEncoder:
         known = self.pieces
         new = [p for p in pieces if p not in known]
         ids = self.encode(new)
-        if len(known) + len(new) > REMEMBERED:
+        if len(known) + len(new) > self.remembered:
             kept = {p: known[p] for p in pieces if p in known}
             known.clear()
             known.update(kept)
@@ -52,7 +59,7 @@ class PretokenEncoder:
         new = [c for c in wanted if c not in self.chunks]
         if not new:
             return
-        if len(self.chunks) + len(new) > REMEMBERED:
+        if len(self.chunks) + len(new) > self.remembered:
             self.older = self.chunks
             self.chunks = {c: self.older[c] for c in wanted if c in self.older}
         again = {c: self.older[c] for c in new if c in self.older}
@@ -72,23 +79,22 @@ class PretokenEncoder:
         return b"".join([known[p] for p in pieces])
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
+        # The first chunk of a text, which no space stands before, and the others.
+        heads: list[str] = []
+        cut: list[list[str]] = []
         wanted: set[str] = set()
         for text in texts:
-            if _odd_space.search(text):
-                cut.append(None)
-                continue
-            parts = text.split(" ")
+            parts = [text] if _odd_space.search(text) else text.split(" ")
+            heads.append(parts[0])
+            del parts[0]
             cut.append(parts)
-            wanted.update(parts[1:])
+            wanted.update(parts)
         long = {c: self._whole(" " + c) for c in wanted if len(c) > LONGEST}
         self._learn_chunks(wanted - long.keys() if long else wanted)
         known = self.chunks | long if long else self.chunks
         return [
-            self._whole(text)
-            if parts is None
-            else self._whole(parts[0]) + b"".join([known[c] for c in parts[1:]])
-            for text, parts in zip(texts, cut, strict=True)
+            self._whole(head) + b"".join(map(known.__getitem__, parts))
+            for head, parts in zip(heads, cut, strict=True)
         ]
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
@@ -97,7 +103,7 @@ class PretokenEncoder:
         for text in texts:
             some.append(text or "")
             chars += len(some[-1])
-            if chars >= SLICE_CHARS:
+            if chars >= self.slice_chars:
                 yield from self._some(some)
                 some, chars = [], 0
         yield from self._some(some)

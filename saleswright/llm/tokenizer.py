@@ -23,6 +23,9 @@ BYTE_LEVEL = (
 # The file is sent to every executor, so it must not be larger than this.
 TOKENIZER_BYTES = 64 * 1024 * 1024
 BATCH = 256
+# What a worker remembers and holds at once; no other worker runs beside it in a task.
+REMEMBERED = 400_000
+SLICE_CHARS = 2_000_000
 
 
 class TextEncoder:
@@ -31,6 +34,7 @@ class TextEncoder:
     def __init__(self, data: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
@@ -46,7 +50,10 @@ class TextEncoder:
             and cut.get("use_regex", True)
             and (parts.get("model") or {}).get("type") == "BPE"
         )
-        self.encode = PretokenEncoder(BYTE_LEVEL, self._encode_pieces)
+        if self.by_piece:
+            # Pieces are cut already.
+            self.tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.encode = PretokenEncoder(BYTE_LEVEL, self._encode_pieces, REMEMBERED, SLICE_CHARS)
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
