@@ -32,6 +32,8 @@ from saleswright.scale import settled
 # Pieces that one task packs, about. A group wastes less than one sequence.
 GROUP_PIECES = 20_000
 GROUP_SHIFT = 32
+# Pieces that a task hands on at once.
+OUT_ROWS = 2048
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -204,6 +206,20 @@ def pack(
     return rows.drop(size).join(placed.unionByName(alone), at).drop(at)
 
 
+def _piece_rows(keys: pa.Array, pieces: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
+    row, piece, start, length, ids = zip(*pieces, strict=True)
+    return pa.record_batch(
+        [
+            keys.take(pa.array(row, pa.int64())),
+            pa.array(piece, pa.int32()),
+            pa.array(start, pa.int64()),
+            pa.array(length, pa.int64()),
+            pa.array(ids, pa.binary()),
+        ],
+        ["key", "piece", "start", "length", "ids"],
+    )
+
+
 def token_pieces(
     df: DataFrame,
     tokenizer_file: str,
@@ -225,30 +241,19 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = encoder(data.value), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows, piece, start, length, ids = [], [], [], [], []
-                texts = batch.column(1).slice(at, 512).to_pylist()
-                for row, packed in enumerate(own.packed(texts)):
-                    packed += end
-                    n = len(packed) // 4
-                    first = n % capacity or min(n, capacity)
-                    edges = [0, *range(first, n + 1, capacity)]
-                    for number, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-                        rows.append(at + row)
-                        piece.append(number)
-                        start.append(a)
-                        length.append(b - a)
-                        ids.append(packed[4 * a : 4 * b])
-                yield pa.record_batch(
-                    [
-                        batch.column(0).take(pa.array(rows, pa.int64())),
-                        pa.array(piece, pa.int32()),
-                        pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()),
-                        pa.array(ids, pa.binary()),
-                    ],
-                    ["key", "piece", "start", "length", "ids"],
-                )
+            held: list[tuple[int, int, int, int, bytes]] = []
+            for row, packed in enumerate(own.packed(batch.column(1).to_pylist())):
+                packed += end
+                n = len(packed) // 4
+                first = n % capacity or min(n, capacity)
+                edges = [0, *range(first, n + 1, capacity)]
+                for number, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+                    held.append((row, number, a, b - a, packed[4 * a : 4 * b]))
+                if len(held) >= OUT_ROWS:
+                    yield _piece_rows(batch.column(0), held)
+                    held = []
+            if held:
+                yield _piece_rows(batch.column(0), held)
 
     schema = f"key {key_type}, piece int, start long, length long, ids binary"
     return docs.mapInArrow(cut, schema).withColumnRenamed("key", key)

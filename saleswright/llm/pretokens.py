@@ -51,27 +51,27 @@ class PretokenEncoder:
         known.update(zip(new, ids, strict=True))
         return known
 
-    def _learn_chunks(self, wanted: set[str]) -> None:
-        """Chunks are remembered without the space before them.
+    def _learn_chunks(self, wanted: set[str]) -> dict[str, bytes]:
+        """The ids of all wanted chunks, which are named without the space before them.
 
         One of letters only is a single pre-token with its space.
         """
-        new = [c for c in wanted if c not in self.chunks]
-        if not new:
-            return
+        new = wanted.difference(self.chunks)
         if len(self.chunks) + len(new) > self.remembered:
             self.older = self.chunks
-            self.chunks = {c: self.older[c] for c in wanted if c in self.older}
-        again = {c: self.older[c] for c in new if c in self.older}
-        self.chunks.update(again)
-        new = [c for c in new if c not in again]
-        words = [c for c in new if c.isalpha()]
+            self.chunks = {c: self.older[c] for c in wanted.difference(new)}
+        unknown = new.difference(self.older)
+        self.chunks.update({c: self.older[c] for c in new.difference(unknown)})
+        words, others, long = [], [], []
+        for chunk in unknown:
+            kind = long if len(chunk) > LONGEST else words if chunk.isalpha() else others
+            kind.append(chunk)
         self.chunks.update(zip(words, self.encode([" " + c for c in words]), strict=True))
-        others = [c for c in new if not c.isalpha()]
         cut = [self.find(" " + c) for c in others]
         known = self._learn_pieces({p for pieces in cut for p in pieces})
         for chunk, pieces in zip(others, cut, strict=True):
             self.chunks[chunk] = b"".join([known[p] for p in pieces])
+        return self.chunks | {c: self._whole(" " + c) for c in long} if long else self.chunks
 
     def _whole(self, text: str) -> bytes:
         pieces = self.find(text)
@@ -89,9 +89,7 @@ class PretokenEncoder:
             del parts[0]
             cut.append(parts)
             wanted.update(parts)
-        long = {c: self._whole(" " + c) for c in wanted if len(c) > LONGEST}
-        self._learn_chunks(wanted - long.keys() if long else wanted)
-        known = self.chunks | long if long else self.chunks
+        known = self._learn_chunks(wanted)
         return [
             self._whole(head) + b"".join(map(known.__getitem__, parts))
             for head, parts in zip(heads, cut, strict=True)

@@ -45,6 +45,8 @@ MAGIC = b"IDSHARD1"
 FOOTER = 9 * 8
 # Ids that a reader holds at once.
 READ_IDS = 1 << 21
+# Bytes of ids that a writer gathers before it writes them.
+WRITE_BYTES = 1 << 20
 KEY_SALT, FINGERPRINT_SALT = 101, 202
 
 
@@ -83,13 +85,24 @@ class ShardWriter:
         self.out.write(data)
         self.at += len(data)
 
-    def add(self, keys: pa.Array, packed: list[bytes]) -> None:
+    def add(self, keys: pa.Array, packed: Iterator[bytes]) -> None:
         """Documents by key and their 32-bit ids."""
+        sizes, held, waiting = [], [], 0
         for ids in packed:
-            numbers = np.frombuffer(ids, "<u4")
-            self._write(ids if self.width == 4 else numbers.astype("<u2").tobytes())
+            sizes.append(len(ids) // 4)
+            held.append(ids)
+            waiting += len(ids)
+            if waiting >= WRITE_BYTES:
+                self._write_ids(b"".join(held))
+                held, waiting = [], 0
+        self._write_ids(b"".join(held))
         self.keys.append(keys)
-        self.sizes.append(np.array([len(ids) // 4 for ids in packed], np.int64))
+        self.sizes.append(np.array(sizes, np.int64))
+
+    def _write_ids(self, ids: bytes) -> None:
+        if self.width == 2:
+            ids = np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+        self._write(ids)
 
     def close(self) -> tuple[pa.Array, int]:
         """The keys and the number of ids."""
@@ -204,10 +217,8 @@ def write_store(
                 continue
             if writer is None:
                 writer = ShardWriter(folder, name, 2 if max(own.size, end_id + 1) <= 65536 else 4)
-            texts = batch.column(1)
-            for at in range(0, batch.num_rows, 256):
-                packed = own.packed(texts.slice(at, 256).to_pylist())
-                writer.add(batch.column(0).slice(at, 256), [ids + end for ids in packed])
+            packed = own.packed(batch.column(1).to_pylist())
+            writer.add(batch.column(0), (ids + end for ids in packed))
         if writer is not None:
             keys, ids = writer.close()
             yield pa.record_batch(
