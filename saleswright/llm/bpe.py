@@ -152,12 +152,12 @@ def n_ids(ids: Column) -> Column:
 
 def unpacked(ids: Column) -> Column:
     """Packed ids as an array of integers, on the JVM."""
-    digits = F.hex(ids)
     at = F.sequence(F.lit(0), n_ids(ids).cast("int") - 1)
 
     def one(i: Column) -> Column:
         # The bytes of an id stand lowest first.
-        pairs = [F.substring(digits, i * 8 + 1 + 2 * k, F.lit(2)) for k in (3, 2, 1, 0)]
+        digits = F.hex(F.substring(ids, i * 4 + 1, F.lit(4)))
+        pairs = [F.substring(digits, 2 * k + 1, 2) for k in (3, 2, 1, 0)]
         return F.conv(F.concat(*pairs), 16, 10).cast("long")
 
     return F.when(n_ids(ids) == 0, F.array().cast("array<bigint>")).otherwise(F.transform(at, one))
