@@ -7,6 +7,7 @@ before white space or at the end are matched whole instead. Both give the same p
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -79,6 +80,16 @@ class PretokenEncoder:
         return b"".join([known[p] for p in pieces])
 
     def _some(self, texts: list[str]) -> list[bytes]:
+        # Nothing here makes reference cycles, and looking for them costs a quarter of the time.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encoded(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
         # The first chunk of a text, which no space stands before, and the others.
         heads: list[str] = []
         cut: list[list[str]] = []
