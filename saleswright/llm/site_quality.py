@@ -13,8 +13,8 @@ The classifier is fitted on at most ``SAMPLE_ROWS`` labelled rows, chosen by has
 counted over all documents by grouped sums, which tasks add up first.
 
 Null and empty texts are scored by their shape. Null hosts and paths are a site of their own.
-Labels that are null or without a document are not used; with none left, or of one class
-alone, every document's evidence is that class's share. Ties, repeated rows and other
+Labels that are null or without a document are not used; with too few left, or of one
+class alone, every document's evidence is the share of good ones (all, without labels). Ties, repeated rows and other
 columns change nothing; columns named like the results are replaced. An empty table gives
 an empty table.
 """
@@ -25,7 +25,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +34,13 @@ from saleswright.llm.common import SPACE, column, fresh, text_of
 from saleswright.scale import attach, settled
 
 SAMPLE_ROWS = 20_000
-FEATURES = 1 << 18
+# The most frequent words of the sample that at least so many of its documents have.
+VOCABULARY = 1 << 15
+MIN_DOCS = 3
+# With fewer labelled documents nothing is fitted.
+LEAST_ROWS = 10
+# The sample is small, so few tasks share it; their sums go straight to the driver.
+FIT_TASKS = 4
 # The L1 penalty leaves the words that tell in general, not those of single documents.
 REGULARISATION = 5e-4
 ITERATIONS = 50
@@ -71,6 +77,7 @@ def evidence(text: Column) -> Column:
 class Evidence:
     """The fitted classifier, or the share of good labels where nothing could be fitted."""
 
+    words: CountVectorizerModel | None
     model: LogisticRegressionModel | None
     share: float
 
@@ -80,17 +87,14 @@ class Evidence:
             return df.withColumn(out, F.lit(self.share))
         names = [fresh(df.columns, n) for n in ("words", "counts", "raw", "chances", "guess")]
         words, counts, raw, chances, guess = names
+        self.words.setInputCol(words).setOutputCol(counts)
         self.model.setFeaturesCol(counts).setRawPredictionCol(raw)
         self.model.setProbabilityCol(chances).setPredictionCol(guess)
-        hashed = _hashing(words, counts).transform(df.withColumn(words, evidence(text_of(text))))
-        scored = self.model.transform(hashed)
+        counted = self.words.transform(df.withColumn(words, evidence(text_of(text))))
+        scored = self.model.transform(counted)
         return scored.withColumn(out, vector_to_array(F.col(chances))[1]).drop(*names)
 
 
-def _hashing(words: str, counts: str) -> HashingTF:
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol=words, outputCol=counts)
-
-
 def fit_evidence(
     df: DataFrame,
     labels: DataFrame,
@@ -110,15 +114,22 @@ def fit_evidence(
     some = settled(some.dropDuplicates(["id"]))
     # At most sample_rows rows of two numbers.
     docs = df.select(column(key).alias("id"), column(text).alias("text"))
-    chosen = docs.join(F.broadcast(some), "id").withColumn("words", evidence(text_of("text")))
-    rows = settled(_hashing("words", "features").transform(chosen).select("label", "features"))
-    found, share = rows.agg(F.count_distinct("label"), F.avg("label")).first()
-    if found < 2:
-        return Evidence(None, 1.0 if share is None else float(share))
+    chosen = settled(
+        docs.join(F.broadcast(some), "id").select("label", evidence(text_of("text")).alias("words"))
+    )
+    rows, found, share = chosen.agg(
+        F.count(F.lit(1)), F.count_distinct("label"), F.avg("label")
+    ).first()
+    if found < 2 or rows < LEAST_ROWS:
+        return Evidence(None, None, 1.0 if share is None else float(share))
+    words = CountVectorizer(
+        vocabSize=VOCABULARY, minDF=MIN_DOCS, binary=True, inputCol="words", outputCol="features"
+    ).fit(chosen)
     learner = LogisticRegression(
         regParam=REGULARISATION, elasticNetParam=1.0, maxIter=ITERATIONS, standardization=False
     )
-    return Evidence(learner.fit(rows), float(share))
+    counted = words.transform(chosen).select("label", "features").coalesce(FIT_TASKS)
+    return Evidence(words, learner.fit(counted), float(share))
 
 
 def _strength(between: float, share: float) -> float:
