@@ -342,7 +342,7 @@ BASE_PROFILE = ProfileVariant(
 CREDIT_PROFILE = ProfileVariant(
     "credit", False, False, 0.5,
     [*PROFILE_FIELDS[:8], "material_group_number", *PROFILE_FIELDS[8:]],
-    ["wholesaler_hq", "wholesaler_branch_number", "wholesaler_branch_name", "contractor_name"],
+    ["wholesaler_hq", "wholesaler_branch_name", "wholesaler_branch_number"],
 )
 
 # ---------------------------------------------------------------------------

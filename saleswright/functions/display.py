@@ -29,7 +29,9 @@ def long_date(day: Column) -> Column:
 
 def short_number(value: Column) -> Column:
     """A number with no needless zeros: 5, 5.5, -3."""
-    text = value.cast("decimal(38,10)").cast("string")
+    plain = value.try_cast("decimal(38,17)").cast("string")
+    # Numbers of more digits than a decimal holds keep their own text.
+    text = F.coalesce(plain, value.cast("string"))
     return F.regexp_replace(F.regexp_replace(text, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
 
 

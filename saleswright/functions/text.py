@@ -129,9 +129,10 @@ def first_containing(text: Column, terms: list[str]) -> Column:
 def stable_uuid(*parts: Column) -> Column:
     """A key in UUID form made from the parts.
 
-    It is the same when a lost task runs again, which a random key is not.
+    It is the same when a lost task runs again, which a random key is not. Parts are
+    told apart whatever characters they hold, and NULL from empty text.
     """
-    digest = F.md5(F.concat_ws("|", *parts))
+    digest = F.md5(F.to_json(F.struct(*(p.alias(f"p{i}") for i, p in enumerate(parts)))))
     return F.concat_ws(
         "-",
         F.substring(digest, 1, 8),

@@ -191,7 +191,8 @@ def file_totals(
     """(file_name, transaction_count, sales_total) of the first usable sheet of each file.
 
     The header is the first row with the amount column's name. Rows below it with
-    two filled cells are counted; amounts that are not plain numbers do not add. A
+    two filled cells are counted; amounts that are not plain numbers, or have more than 28
+    whole digits, do not add. A
     file without a usable sheet or header has 0 and 0, an unreadable one NULLs.
     """
     chosen = settled(first_usable_sheet(sheet_list(grid)))
@@ -214,7 +215,7 @@ def file_totals(
     headers = first_row_where(rows, test).select(
         *SHEET, "header_row", F.col("found.place").alias("place")
     )
-    amount = plain_number(F.get(F.col("cells"), F.col("place") - 1)).cast("decimal(28,6)")
+    amount = plain_number(F.get(F.col("cells"), F.col("place") - 1)).try_cast("decimal(38,10)")
     totals = (
         attach(rows, headers, SHEET)
         .filter(F.col("row_idx") > F.col("header_row"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleswright.functions.cleaning import plain_number, strict_us_date
-from saleswright.scale import split_hot
+from saleswright.scale import paged
 
 FLAT_COLUMNS = [
     "participant_key", "entity_id", "transaction_id", "transaction_type", "sku_key", "uom_key",
@@ -14,12 +14,12 @@ FLAT_COLUMNS = [
 ]
 
 
-def nest_transactions(flat: DataFrame, order: str = "row_idx", max_rows: int | None = None) -> DataFrame:
+def nest_transactions(flat: DataFrame, order: str = "row_idx", page_rows: int | None = None) -> DataFrame:
     """One document per participant: entities, each with its transactions in row order.
 
-    A participant with more than ``max_rows`` transactions becomes several
-    documents, told apart by ``part_no``; together they hold all rows. Dates
-    must be m/d/yy.
+    With ``page_rows``, every participant's transactions are cut into pages of so many rows
+    and each page is a document, told apart by ``part_no``. Give it where a participant
+    may have more rows than one document can hold. Dates must be m/d/yy.
     """
     nothing = F.array().cast("array<string>")
     filled = {
@@ -46,7 +46,7 @@ def nest_transactions(flat: DataFrame, order: str = "row_idx", max_rows: int | N
     named = flat.withColumns(
         {c: F.coalesce(c, F.lit("")) for c in ("participant_key", "entity_id")}
     )
-    parts = split_hot(named, ["participant_key"], order, max_rows=max_rows)
+    parts = paged(named, ["participant_key"], order, page_rows)
     entities = (
         parts.select("participant_key", "part_no", "entity_id", transaction.alias("t"))
         .groupBy("participant_key", "part_no", "entity_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from saleswright.config import DEFAULT_TRANSACTION_TYPE, DEFAULT_UOM
 from saleswright.functions.cleaning import clean_text, iso_text, leading_number
 from saleswright.functions.display import padded, short_number
 from saleswright.functions.text import comma_list, stable_uuid
-from saleswright.scale import BLOCK_ROWS, attach, number_rows, split_hot
+from saleswright.scale import attach, number_rows, paged
 
 # Input columns; purchaser_id and seller_key stand for the dotted sheet headers.
 EXPORT_COLUMNS = [
@@ -146,14 +148,14 @@ def transaction_text(shift: int = 0) -> Column:
     return F.concat_ws("\n", *_braced(pad - 4, lines))
 
 
-def request_text(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def request_text(df: DataFrame, page_rows: int | None = None) -> DataFrame:
     """One text block per request: (request_id, part_no, first_row, participant_key, block).
 
-    Blocks follow the first row of each request; ``first_row`` gives that order. A
-    request above ``max_rows`` rows has several parts.
+    Blocks follow the first row of each request; ``first_row`` gives that order. With
+    ``page_rows``, every request is cut into parts of so many rows.
     """
     rows = clean_transactions(df).withColumn("text", transaction_text())
-    parts = split_hot(rows, ["request_id"], "row_idx", max_rows=max_rows)
+    parts = paged(rows, ["request_id"], "row_idx", page_rows)
     blocks = parts.groupBy("request_id", "part_no").agg(
         F.min("row_idx").alias("first_row"),
         F.min_by("participant_key", "row_idx").alias("participant_key"),
@@ -175,21 +177,18 @@ def request_text(df: DataFrame, max_rows: int | None = None) -> DataFrame:
 # -- documents --------------------------------------------------------------
 
 
-def request_documents(df: DataFrame, max_rows: int | None = None, run_id: str = "") -> DataFrame:
+def request_documents(df: DataFrame, page_rows: int | None = None, run_id: str | None = None) -> DataFrame:
     """The exported rows as nested documents.
 
     All rows go under the first request id and participant, without seller and
-    incentives. Up to ``max_rows`` rows are one document; more are cut into parts
-    with the same heading.
+    incentives, as one document. With ``page_rows``, the rows are cut into pages of so many
+    rows, and each page is a document with the same heading.
     """
     rows = clean_transactions(df)
     heading = rows.agg(
         F.min_by("request_id", "row_idx").alias("request_id"),
         F.min_by("participant_key", "row_idx").alias("participant_key"),
-        F.count(F.lit(1)).alias("n"),
     ).first()
-    size = max_rows or BLOCK_ROWS
-    part = F.lit(0) if heading["n"] <= size else F.floor(F.col("row_idx") / F.lit(size))
     nothing = F.array().cast("array<string>")
     transaction = F.struct(
         "row_idx", "transaction_id", "transaction_type", "sku_key", "uom_key", "quantity",
@@ -197,13 +196,13 @@ def request_documents(df: DataFrame, max_rows: int | None = None, run_id: str =
         F.struct(F.col("purchaser_id").alias("id")).alias("purchaser"),
     )
     grouped = (
-        rows.withColumn("part_no", part.cast("long"))
+        paged(rows.withColumn("_all", F.lit(0)), ["_all"], "row_idx", page_rows)
         .groupBy("part_no")
         .agg(F.array_sort(F.collect_list(transaction)).alias("t"))
     )
     request_id = F.lit(heading["request_id"]).cast("string")
     entity = F.struct(
-        stable_uuid(F.lit(run_id), request_id, F.col("part_no").cast("string")).alias("id"),
+        stable_uuid(F.lit(run_id or uuid.uuid4().hex), request_id, F.col("part_no").cast("string")).alias("id"),
         nothing.alias("properties"),
         F.transform("t", lambda t: t.dropFields("row_idx")).alias("transactions"),
     )
@@ -242,7 +241,7 @@ def fill_defaults(transactions: DataFrame) -> DataFrame:
     ).drop("_no")
 
 
-def scenario_text(transactions: DataFrame, participant_key: str, max_rows: int | None = None) -> DataFrame:
+def scenario_text(transactions: DataFrame, participant_key: str, page_rows: int | None = None) -> DataFrame:
     """One text block per scenario test: (scenario_id, test_id, part_no, block).
 
     Takes ``fill_defaults`` rows with quantity, total and date text and the test's
@@ -277,7 +276,7 @@ def scenario_text(transactions: DataFrame, participant_key: str, max_rows: int |
     ]
     text = F.concat_ws("\n", *_braced(pad - 4, lines))
     keyed = transactions.withColumn("text", text)
-    parts = split_hot(keyed, ["scenario_id", "test_id"], "row_idx", max_rows=max_rows)
+    parts = paged(keyed, ["scenario_id", "test_id"], "row_idx", page_rows)
     body = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "text"))), lambda t: t["text"]), "\n"
     )

@@ -126,12 +126,16 @@ def profile_files(
 ) -> DataFrame:
     """One mapping row per sheet, ready for people to edit.
 
-    ``aliases`` is the field -> header words dictionary. The credit variant
+    ``aliases`` is the field -> header words dictionary, built in for the credit variant
+    and required for the base one. The credit variant
     applies layout rules after it. ``unreadable`` (file_name, error) adds one ERROR row
     per file to the credit variant.
     """
     credit = not variant.range_from_header
-    aliases = aliases if aliases is not None else CREDIT_ALIASES
+    if aliases is None:
+        if not credit:
+            raise ValueError("the base variant needs a header dictionary; see read_aliases")
+        aliases = CREDIT_ALIASES
     density = row_density(grid)
     found = densest_headers(density)
     ranges = data_ranges(density, found, variant)

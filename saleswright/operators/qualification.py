@@ -11,7 +11,8 @@ from saleswright.functions.text import comma_list
 from saleswright.scale import attach
 
 KEYS = ["scenario_id", "test_id"]
-MONEY = "decimal(18,4)"
+# Amounts beyond it, which no sale has, count as none.
+MONEY = "decimal(28,4)"
 
 
 def _rate(name: str) -> Column:
@@ -25,8 +26,8 @@ def scenario_facts(scenarios: DataFrame, frames: DataFrame) -> DataFrame:
     """
     frame = F.struct(
         "ordinal", "label", F.coalesce("is_current", F.lit(False)).alias("is_current"),
-        F.col("start_date").cast("date").alias("start_date"),
-        F.col("end_date").cast("date").alias("end_date"),
+        F.col("start_date").try_cast("date").alias("start_date"),
+        F.col("end_date").try_cast("date").alias("end_date"),
     )
     listed = frames.groupBy("scenario_id").agg(
         F.array_sort(F.collect_list(frame)).alias("frames")
@@ -61,7 +62,7 @@ def _with_facts(transactions: DataFrame, facts: DataFrame) -> DataFrame:
     text = F.col("total").cast("string")
     return rows.withColumns(
         {
-            "_total": prefix_number(F.coalesce(text, F.lit(""))).cast(MONEY),
+            "_total": prefix_number(F.coalesce(text, F.lit(""))).try_cast(MONEY),
             "_day": F.col("date").try_cast("date"),
             "_q": F.array_contains("qualifying", F.col("sku")),
             "_e": F.array_contains("earning", F.col("sku")),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -24,13 +25,15 @@ class LoadedRun:
 
 
 def normalize_transactions(
-    grid: DataFrame, mapping: DataFrame, ledger: Ledger = BASE_LEDGER, run_id: str = ""
+    grid: DataFrame, mapping: DataFrame, ledger: Ledger = BASE_LEDGER, run_id: str | None = None
 ) -> LoadedRun:
     """Load every mapped sheet into the ledger's columns.
 
     A sheet whose mapping names a column that does not exist loads no rows and is
-    reported as failed in the metadata. Other sheets are not affected.
+    reported as failed in the metadata. Other sheets are not affected. Generated keys
+    hold the run's id, which is new for each call unless it is given.
     """
+    run_id = run_id or uuid.uuid4().hex
     prepared = prepare_mapping(mapping, grid, ledger)
     staged = staged_rows(grid, prepared, ledger)
     labelled = number_and_label(staged, ledger, run_id)

@@ -24,7 +24,7 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Parts into which the pairs of a product are dealt.
 SALTS = 32
-# Rows that one task numbers, or one document holds, at most.
+# Rows that one task numbers, about.
 BLOCK_ROWS = 100_000
 
 
@@ -121,33 +121,18 @@ def number_rows(
     )
 
 
-def split_hot(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    out: str = "part_no",
-    max_rows: int | None = None,
+def paged(
+    df: DataFrame, keys: Sequence[str], order: str, page_rows: int | None, out: str = "part_no"
 ) -> DataFrame:
-    """Give each row a part number so that a key and part hold at most ``max_rows`` rows.
+    """Give each row its page among the rows of its key, from 0, by one rule for all keys.
 
-    A key with few rows is one part, number 0. A larger key is cut along
-    ``order``, which must be unique and must grow with the rows. Keys must not
-    be NULL.
+    A page holds ``page_rows`` rows in ``order``, the last one fewer. Without ``page_rows`` a
+    key is one page. ``order`` must be unique within a key, and keys must not be NULL.
     """
-    size = max_rows or BLOCK_ROWS
-    keys = list(keys)
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > size)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-    part = F.when(F.col("_hot"), F.floor(F.col(order) / F.lit(size))).otherwise(F.lit(0))
-    return (
-        attach(df, hot, keys, how="left")
-        .withColumn(out, part.cast("long"))
-        .drop("_hot")
-    )
+    if page_rows is None:
+        return df.withColumn(out, F.lit(0).cast("long"))
+    numbered = number_rows(df, keys, order, "_no")
+    return numbered.withColumn(out, F.floor((F.col("_no") - 1) / page_rows).cast("long")).drop("_no")
 
 
 def first_examples(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int = 5) -> DataFrame:

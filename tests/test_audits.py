@@ -89,7 +89,7 @@ FLAT = [
 @pytest.mark.parametrize("size", [1, 2, 100])
 def test_documents_round_trip(spark, rows, size):
     flat = spark.createDataFrame(FLAT, "row_idx int, " + ", ".join(f"{c} string" for c in documents.FLAT_COLUMNS))
-    nested = documents.nest_transactions(flat, max_rows=size)
+    nested = documents.nest_transactions(flat, page_rows=size)
     if size == 100:
         first = nested.filter("participant_key = 'P1'").first()
         assert [e["id"] for e in first["entities"]] == ["E2", "E1"]
@@ -128,7 +128,7 @@ def test_exports(spark, rows):
     assert '                        "o": 1.5' in lines and '            "expected_incentives": []' in lines
     made = exports.request_documents(pending).collect()
     assert [(m["request_id"], m["participant_key"], len(m["entities"][0]["transactions"])) for m in made] == [("R1", "P", 3)]
-    parts = exports.request_documents(pending, max_rows=2).collect()
+    parts = exports.request_documents(pending, page_rows=2).collect()
     assert sum(len(m["entities"][0]["transactions"]) for m in parts) == 3 and len(parts) > 1
     after = {r["row_idx"]: r["status"] for r in exports.mark_exported(df).collect()}
     assert (after[2], after[3], after[6], after[7]) == ("exported", "exported", "skip", None)

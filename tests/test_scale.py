@@ -38,13 +38,20 @@ def test_number_rows(spark, way, rows, block):
     assert rows(numbered.select("key", "row_idx", "n")) == rows(plain)
 
 
-def test_split_hot(spark, way):
-    parts = scale.split_hot(skewed(spark), ["key"], "row_idx", max_rows=90)
-    sizes = parts.groupBy("key", "part_no").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 90
-    assert parts.count() == 3000
-    assert sizes.filter("key <> 'hot' and part_no <> 0").count() == 0
-    assert sizes.filter("key = 'hot'").count() > 1
+def test_pages(spark, way):
+    sparse = skewed(spark).withColumn("row_idx", F.col("row_idx") * 1_000_003)
+    parts = scale.paged(sparse, ["key"], "row_idx", 90)
+    sizes = parts.groupBy("key", "part_no").count().collect()
+    rows_of = {r["key"]: r["count"] for r in sparse.groupBy("key").count().collect()}
+    pages = {}
+    for r in sizes:
+        pages.setdefault(r["key"], []).append((r["part_no"], r["count"]))
+    for key, n in rows_of.items():
+        own = sorted(pages[key])
+        assert [p for p, _ in own] == list(range(-(-n // 90)))
+        assert all(size == 90 for _, size in own[:-1]) and sum(size for _, size in own) == n
+    whole = scale.paged(sparse, ["key"], "row_idx", None)
+    assert whole.select("part_no").distinct().collect() == [(0,)]
 
 
 def test_first_examples_limits_before_the_shuffle(spark):

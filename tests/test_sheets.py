@@ -160,7 +160,7 @@ def mapping(spark):
 
 @pytest.fixture(scope="module")
 def run(spark):
-    return normalize_transactions(make_grid(spark, LOAD), mapping(spark))
+    return normalize_transactions(make_grid(spark, LOAD), mapping(spark), run_id="r")
 
 
 def test_ledger_rows(run):
@@ -205,7 +205,7 @@ def test_same_rows_with_few_and_many_partitions(spark, run, rows):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "1")
     try:
-        again = normalize_transactions(make_grid(spark, LOAD), mapping(spark))
+        again = normalize_transactions(make_grid(spark, LOAD), mapping(spark), run_id="r")
         assert rows(again.ledger) == rows(run.ledger)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -109,7 +109,7 @@ ALL["nest_transactions"] = (
 
 def flatten_transactions(spark, sf):
     """Nest, cut hot participants into parts of 8 rows, and flatten again."""
-    nested = docs.nest_transactions(v.raw_table(spark, sf, FLAT), max_rows=8)
+    nested = docs.nest_transactions(v.raw_table(spark, sf, FLAT), page_rows=8)
     return docs.flatten_transactions(nested).withColumns(
         {c: F.col(c).cast("double") for c in ("quantity", "amount")}
     )
