@@ -177,7 +177,8 @@ def pack(
     at, group, size = (fresh(names, n) for n in ("at", "group", "size"))
     rows = settled(pieces.select(*(column(c) for c in names)))
     rows = rows.withColumn(at, F.monotonically_increasing_id())
-    wrong = F.raise_error(F.concat(F.lit("length outside 1 to capacity: "), column(length)))
+    shown = F.coalesce(column(length).cast("string"), F.lit("null"))
+    wrong = F.raise_error(F.concat(F.lit("length outside 1 to capacity: "), shown))
     inside = F.coalesce(column(length).between(1, capacity), F.lit(False))
     rows = rows.withColumn(size, F.when(inside, column(length).cast("int")).otherwise(wrong.cast("int")))
     full = rows.filter(F.col(size) == capacity)
