@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleswright.functions.cleaning import plain_number, strict_us_date
-from saleswright.scale import paged
+from saleswright.scale import PAGE_ROWS, paged
 
 FLAT_COLUMNS = [
     "participant_key", "entity_id", "transaction_id", "transaction_type", "sku_key", "uom_key",
@@ -14,12 +14,11 @@ FLAT_COLUMNS = [
 ]
 
 
-def nest_transactions(flat: DataFrame, order: str = "row_idx", page_rows: int | None = None) -> DataFrame:
+def nest_transactions(flat: DataFrame, order: str = "row_idx", page_rows: int | None = PAGE_ROWS) -> DataFrame:
     """One document per participant: entities, each with its transactions in row order.
 
-    With ``page_rows``, every participant's transactions are cut into pages of so many rows
-    and each page is a document, told apart by ``part_no``. Give it where a participant
-    may have more rows than one document can hold. Dates must be m/d/yy.
+    Every participant's transactions are cut into pages of ``page_rows`` rows and each page
+    is a document, told apart by ``part_no``. Dates must be m/d/yy.
     """
     nothing = F.array().cast("array<string>")
     filled = {

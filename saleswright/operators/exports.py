@@ -11,7 +11,7 @@ from saleswright.config import DEFAULT_TRANSACTION_TYPE, DEFAULT_UOM
 from saleswright.functions.cleaning import clean_text, iso_text, leading_number
 from saleswright.functions.display import padded, short_number
 from saleswright.functions.text import comma_list, stable_uuid
-from saleswright.scale import attach, number_rows, paged
+from saleswright.scale import PAGE_ROWS, attach, number_rows, paged
 
 # Input columns; purchaser_id and seller_key stand for the dotted sheet headers.
 EXPORT_COLUMNS = [
@@ -148,11 +148,11 @@ def transaction_text(shift: int = 0) -> Column:
     return F.concat_ws("\n", *_braced(pad - 4, lines))
 
 
-def request_text(df: DataFrame, page_rows: int | None = None) -> DataFrame:
+def request_text(df: DataFrame, page_rows: int | None = PAGE_ROWS) -> DataFrame:
     """One text block per request: (request_id, part_no, first_row, participant_key, block).
 
-    Blocks follow the first row of each request; ``first_row`` gives that order. With
-    ``page_rows``, every request is cut into parts of so many rows.
+    Blocks follow the first row of each request; ``first_row`` gives that order. Every
+    request is cut into parts of ``page_rows`` rows.
     """
     rows = clean_transactions(df).withColumn("text", transaction_text())
     parts = paged(rows, ["request_id"], "row_idx", page_rows)
@@ -177,12 +177,14 @@ def request_text(df: DataFrame, page_rows: int | None = None) -> DataFrame:
 # -- documents --------------------------------------------------------------
 
 
-def request_documents(df: DataFrame, page_rows: int | None = None, run_id: str | None = None) -> DataFrame:
+def request_documents(
+    df: DataFrame, page_rows: int | None = PAGE_ROWS, run_id: str | None = None
+) -> DataFrame:
     """The exported rows as nested documents.
 
     All rows go under the first request id and participant, without seller and
-    incentives, as one document. With ``page_rows``, the rows are cut into pages of so many
-    rows, and each page is a document with the same heading.
+    incentives. They are cut into pages of ``page_rows`` rows, and each page is a document with
+    the same heading.
     """
     rows = clean_transactions(df)
     heading = rows.agg(
@@ -241,11 +243,12 @@ def fill_defaults(transactions: DataFrame) -> DataFrame:
     ).drop("_no")
 
 
-def scenario_text(transactions: DataFrame, participant_key: str, page_rows: int | None = None) -> DataFrame:
+def scenario_text(transactions: DataFrame, participant_key: str, page_rows: int | None = PAGE_ROWS) -> DataFrame:
     """One text block per scenario test: (scenario_id, test_id, part_no, block).
 
     Takes ``fill_defaults`` rows with quantity, total and date text and the test's
-    ``earnings``, which is repeated on every transaction.
+    ``earnings``, which is repeated on every transaction. Every test is cut into parts of
+    ``page_rows`` rows.
     """
     pad = 16
     def raw(name: str) -> Column:

@@ -26,6 +26,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 # Rows that one task numbers, about.
 BLOCK_ROWS = 100_000
+# Rows of one document or text block, for all keys alike, where the caller names no number.
+PAGE_ROWS = 50_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -94,7 +96,8 @@ def number_rows(
 
     Rows are cut into blocks of the order value. Blocks are counted first (with
     partial counts), the running total of the counts gives every block its first
-    number, and only the rows of one block are sorted together.
+    number, and only the rows of one block are sorted together. NULL keys and a NULL order
+    are values like any other.
     """
     size = block_rows or BLOCK_ROWS
     keys = list(keys)
@@ -114,10 +117,13 @@ def number_rows(
     first = settled(first)
     if fits_broadcast(first):
         first = F.broadcast(first)
+    at = [*keys, "_block"]
+    first = first.withColumnsRenamed({c: f"_first_{c}" for c in at})
+    same = [rows[c].eqNullSafe(first[f"_first_{c}"]) for c in at]
     return (
-        rows.join(first, [*keys, "_block"])
+        rows.join(first, same)
         .withColumn(out, (F.row_number().over(inside) + F.col("_before")).cast("long"))
-        .drop("_block", "_before")
+        .drop("_block", "_before", *[f"_first_{c}" for c in at])
     )
 
 
@@ -126,8 +132,8 @@ def paged(
 ) -> DataFrame:
     """Give each row its page among the rows of its key, from 0, by one rule for all keys.
 
-    A page holds ``page_rows`` rows in ``order``, the last one fewer. Without ``page_rows`` a
-    key is one page. ``order`` must be unique within a key, and keys must not be NULL.
+    A page holds ``page_rows`` rows in ``order``, the last one fewer. With None a key is one
+    page, which only keys of few rows bear. ``order`` must be unique within a key.
     """
     if page_rows is None:
         return df.withColumn(out, F.lit(0).cast("long"))

@@ -136,6 +136,36 @@ def test_exports(spark, rows):
     assert exports.undotted(dotted).columns == df.columns
 
 
+def test_hot_keys_are_paged_without_being_told(spark, rows):
+    """A request, participant or test with many rows is never one array."""
+    from saleswright import scale
+
+    size = scale.PAGE_ROWS
+    n = size + 3
+    base = {c: F.lit(None).cast("string") for c in exports.EXPORT_COLUMNS}
+    hot = spark.range(n).select(
+        F.col("id").alias("row_idx"),
+        *[v.alias(c) for c, v in {**base, "request_id": F.lit("R"), "participant_key": F.lit("P"), "transaction_id": F.col("id").cast("string"), "status": F.lit("pending")}.items()],
+    )
+    want = [(0, size), (1, 3)]
+    made = exports.request_documents(exports.pending_rows(hot))
+    assert rows(made.select("part_no", F.size(F.col("entities")[0]["transactions"]))) == want
+    blocks = exports.request_text(exports.pending_rows(hot))
+    lines = F.regexp_count("block", F.lit('"transaction_id"'))
+    assert rows(blocks.select("part_no", lines)) == want
+    flat = hot.withColumns({"entity_id": F.lit("E"), "invoice_date": F.lit("1/1/00")})
+    nested = documents.nest_transactions(flat)
+    assert rows(nested.select("part_no", F.size(F.col("entities")[0]["transactions"]))) == want
+    # A test without a scenario is a key like any other.
+    test = hot.select(
+        F.lit(None).cast("string").alias("scenario_id"), F.lit("T").alias("test_id"), "row_idx", "transaction_id",
+        *[F.lit("").alias(c) for c in ("transaction_type", "uom", "txn_id", "seller", "offer_key", "sku", "quantity", "total", "date")],
+        F.lit(0.0).alias("earnings"),
+    )
+    text = exports.scenario_text(test, "P")
+    assert rows(text.select("part_no", F.regexp_count("block", F.lit('"transaction_id"')))) == want
+
+
 def test_reports(spark):
     data = [("A", "Earned Amount to Date", 1.0, 1), ("A", "Earned Amount to Date", 2.5, 2), ("B", "Earned Amount to Date", -4.0, 3),
             ("B", "Remaining Earnable Amount to Date", 10.0, 4), ("", "Earned Amount to Date", 99.0, 5), ("Z", "Earned Amount to Date", 99.0, 6)]
