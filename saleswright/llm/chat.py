@@ -6,11 +6,13 @@ as ``system`` stay what they are. The mask lists, in characters of the rendered
 spans to learn from: the assistant's words and the end mark after them.
 
 A dialogue is cut into pages of ``page_turns`` turn numbers, by one rule for all lengths, and
-each page is a row, so that a conversation of any length is never one task's work. ``page``
-counts from 0 by turn number; pages without turns have no row. Every participant gets
-every page of the conversation.
+each page is a row. ``page`` counts from 0 by turn number; pages without turns have no row.
+Turn numbers may repeat or be missing, so a page also holds ``page_turns`` rows at most: what
+is more goes on in further pages, and the later pages of the conversation count on from
+there. A conversation of any length is so never one task's work. Every participant gets every
+page of the conversation.
 
-Null texts are empty. A null role is a participant called ``unknown``. Null turns come first,
+Null texts are empty. A null role is a participant called ``unknown``. Null turns come first
 on page 0. Turns of equal number are ordered by role, then text; repeated rows are all
 rendered. Rows with a null conversation are one conversation with a null id. A
 conversation that has only context turns has no participant and gives no row. Columns
@@ -19,16 +21,18 @@ besides the four are not read. An empty table gives an empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleswright.llm.common import column, text_of
-from saleswright.scale import attach
+from saleswright.scale import attach, number_rows, settled
 
 # The marks of the chat template (fixed values).
 START, END = "<|im_start|>", "<|im_end|>"
 CONTEXT_ROLES = ("system",)
 PAGE_TURNS = 64
+# Pages that one task counts on from each other, at most.
+COUNTED_PAGES = 4096
 
 
 def header(role: Column, speaker: Column, context_roles: tuple[str, ...]) -> Column:
@@ -41,6 +45,63 @@ def header(role: Column, speaker: Column, context_roles: tuple[str, ...]) -> Col
     return F.concat(F.lit(START), label, F.lit("\n"))
 
 
+def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    """Equal values in columns that the right side calls by the name and an underscore."""
+    test = F.lit(True)
+    for name in names:
+        test &= left[name].eqNullSafe(right[name + "_"])
+    return test
+
+
+def bounded(said: DataFrame, page_rows: int) -> DataFrame:
+    """Cut pages of more than ``page_rows`` rows, and count the later ones on.
+
+    Only conversations that have such a page are sorted. Their rows are numbered by
+    number_rows in the blocks of a sort over the cluster, where equal rows are told apart,
+    so that neither a conversation nor a page is gathered.
+    """
+    at = ["conversation", "page"]
+    full = settled(said.groupBy(*at).count().filter(F.col("count") > page_rows))
+    if full.isEmpty():
+        return said
+    # One row of a few words per conversation that has a full page.
+    long = full.select(F.col("conversation").alias("conversation_")).distinct()
+    met = same(said, long, ["conversation"])
+    order = ["turn", "role", "text", "tie"]
+    ordered = settled(
+        said.join(long, met, "left_semi")
+        .withColumn("tie", F.monotonically_increasing_id())
+        .repartitionByRange(*at, *order)
+        .withColumn("part", F.spark_partition_id().cast("long"))
+    )
+    numbered = number_rows(
+        ordered.withColumn("order", F.struct(*order)), at, "order", "no", block=F.col("part")
+    )
+    # Pages that were added before a page: those of blocks of pages before, and those inside.
+    block = F.floor(F.col("page") / COUNTED_PAGES)
+    added = ordered.groupBy(*at).agg((F.ceil(F.count(F.lit(1)) / page_rows) - 1).alias("more"))
+    added = added.withColumn("block", block)
+    before = (Window.unboundedPreceding, -1)
+    blocks = added.groupBy("conversation", "block").agg(F.sum("more").alias("more"))
+    over = Window.partitionBy("conversation").orderBy("block").rowsBetween(*before)
+    inside = Window.partitionBy("conversation", "block").orderBy("page").rowsBetween(*before)
+    blocks = blocks.select(
+        F.col("conversation").alias("conversation_"), F.col("block").alias("block_"),
+        F.coalesce(F.sum("more").over(over), F.lit(0)).alias("first"),
+    )
+    starts = added.join(blocks, same(added, blocks, ["conversation", "block"])).select(
+        F.col("conversation").alias("conversation_"),
+        F.col("page").alias("page_"),
+        (F.col("first") + F.coalesce(F.sum("more").over(inside), F.lit(0))).alias("shift"),
+    )
+    starts = settled(starts)
+    cut = F.floor((F.col("no") - 1) / page_rows)
+    moved = numbered.join(starts, same(numbered, starts, at)).withColumn(
+        "page", (F.col("page") + F.col("shift") + cut).cast("long")
+    )
+    return said.join(long, met, "left_anti").unionByName(moved.select(*said.columns))
+
+
 def perspectives(
     turns: DataFrame,
     conversation: str = "conv_id",
@@ -57,7 +118,8 @@ def perspectives(
         F.coalesce(column(role).cast("string"), F.lit("unknown")).alias("role"),
         text_of(text).alias("text"),
     ).withColumn("page", F.coalesce(F.floor(F.col("turn") / page_turns), F.lit(0)).cast("long"))
-    pages = said.groupBy("conversation", "page").agg(
+    pages = bounded(said, page_turns)
+    pages = pages.groupBy("conversation", "page").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
     )
     speakers = (

@@ -114,6 +114,25 @@ def test_pages_join_to_the_whole(turns):
         assert "".join(parts) == r["text"]
 
 
+def test_pages_are_bounded_whatever_the_turn_numbers(spark):
+    hot = spark.range(1000).select(
+        F.lit(None).cast("long").alias("conv_id"),
+        F.when(F.col("id") % 9 < 8, F.col("id") % 9 + F.when(F.col("id") % 2 == 0, 100).otherwise(0)).alias("turn"),
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("role"),
+        F.when(F.col("id") < 500, "same").otherwise(F.col("id").cast("string")).alias("text"),
+    )
+    short = spark.createDataFrame([(1, 0, "c", "x"), (1, 70, "d", "y")], hot.schema)
+    got = chat.perspectives(hot.union(short)).orderBy("page").collect()
+    whole = chat.perspectives(hot.union(short), page_turns=10**6).collect()
+    assert max(r["n_turns"] for r in got) <= 64
+    assert len({(r["conversation"], r["speaker"], r["page"]) for r in got}) == len(got)
+    for r in whole:
+        parts = [p for p in got if (p["conversation"], p["speaker"]) == (r["conversation"], r["speaker"])]
+        assert "".join(p["text"] for p in parts) == r["text"]
+        assert sum(p["n_turns"] for p in parts) == r["n_turns"] == (1000 if r["conversation"] is None else 2)
+    assert {r["page"] for r in got if r["conversation"] == 1} == {0, 1}
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     before = docs.count()
