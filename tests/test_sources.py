@@ -38,6 +38,40 @@ def test_large_files_are_read_by_line(spark, tmp_path, monkeypatch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_records_are_the_same_for_all_file_sizes(spark, tmp_path):
+    """Quoted line breaks, very long cells and odd quotes, against the csv module alone."""
+    import csv
+    import io
+    import random
+    import sys
+
+    pick = random.Random(5)
+    texts = {f"odd{i}.csv": "".join(pick.choices(['"', '""', ",", "\n", "\r\n", "\r", "a", "é", ',"'], k=400)) for i in range(12)}
+    texts["long.csv"] = 'a,"' + "x\n" * 100_000 + '",b\n' + "y" * 200_000 + ",1\n" + 'c,"d\r\ne"\n' * 2000
+    texts["open.csv"] = 'a\n"never closed\n,b'
+    texts["open_closed.csv"] = 'a\n"never closed\n,b\n'
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes((b"\xef\xbb\xbf" if name == "odd1.csv" else b"") + text.encode())
+    csv.field_size_limit(sys.maxsize)
+    want = sorted(
+        (name, i + 1, tuple(c or None for c in cells))
+        for name, text in texts.items()
+        for i, cells in enumerate(csv.reader(io.StringIO(text, newline="")))
+    )
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "60")
+    try:
+        for size in (0, 300, 1 << 26):
+            got = grids.read_delimited_grid(spark, str(tmp_path), name_glob="o*.csv", whole_file_bytes=size)
+            assert sorted((r["file_name"], r["row_idx"], tuple(r["cells"])) for r in got.collect()) == [w for w in want if w[0] != "long.csv"]
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+        for size in (0, 1 << 26):
+            got = grids.read_delimited_grid(spark, str(tmp_path), name_glob="long.csv", whole_file_bytes=size)
+            assert sorted((r["file_name"], r["row_idx"], tuple(r["cells"])) for r in got.collect()) == [w for w in want if w[0] == "long.csv"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_list_files(spark, tmp_path):
     for name in ["b.XLSX", "a.xlsm", "~$a.xlsx", "notes.txt", "sub/run_info.xlsx"]:
         (tmp_path / name).parent.mkdir(exist_ok=True)
