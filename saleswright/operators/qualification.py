@@ -74,11 +74,22 @@ def _sum(test: Column) -> Column:
     return F.coalesce(F.sum(F.when(test, F.col("_total"))), F.lit(0)).cast("double")
 
 
-def frame_totals(scenarios: DataFrame, frames: DataFrame, transactions: DataFrame) -> DataFrame:
+def _with_tests(transactions: DataFrame, tests: DataFrame | None) -> DataFrame:
+    """Add an empty row for every test, which sums to 0 and counts nothing."""
+    if tests is None:
+        return transactions
+    return transactions.unionByName(tests.select(*KEYS), allowMissingColumns=True)
+
+
+def frame_totals(
+    scenarios: DataFrame, frames: DataFrame, transactions: DataFrame, tests: DataFrame | None = None
+) -> DataFrame:
     """Qualifying sales per test and time frame, both bounds included; 0 without sales.
 
-    A row meets only the frames its date falls in.
+    ``tests`` lists all tests; without it, only those that have a transaction are known. A
+    row meets only the frames its date falls in.
     """
+    transactions = _with_tests(transactions, tests)
     facts = scenario_facts(scenarios, frames)
     rows = _with_facts(transactions, facts)
     hits = F.filter(
@@ -89,25 +100,30 @@ def frame_totals(scenarios: DataFrame, frames: DataFrame, transactions: DataFram
         .groupBy(*KEYS, "ordinal")
         .agg(F.sum("_total").cast("double").alias("total"))
     )
-    tests = transactions.select(*KEYS).distinct()
+    every = transactions.select(*KEYS).distinct()
     listed = frames.select("scenario_id", "ordinal", "label", "is_current")
     # One scenario may hold many of the tests, so both joins spread them.
     return (
-        attach(tests, listed, ["scenario_id"])
+        attach(every, listed, ["scenario_id"])
         .join(per_frame, [*KEYS, "ordinal"], "left")
         .withColumn("total", F.coalesce("total", F.lit(0.0)))
     )
 
 
-def qualify(scenarios: DataFrame, frames: DataFrame, transactions: DataFrame) -> DataFrame:
+def qualify(
+    scenarios: DataFrame, frames: DataFrame, transactions: DataFrame, tests: DataFrame | None = None
+) -> DataFrame:
     """One row per test: qualified, earnings, totals and transaction counts.
 
+    ``tests`` lists all tests (scenario_id, test_id), with a transaction or not; without
+    it, only those that have one are known.
+
     yoy: current qualifying sales against the base frame, in percent, must reach
     the target (95 when blank or 0); earnings only when qualified. minQual and
     earningsOnly: always qualified, earnings on all earning sales. Counts ignore dates.
     """
     facts = scenario_facts(scenarios, frames)
-    rows = _with_facts(transactions, facts)
+    rows = _with_facts(_with_tests(transactions, tests), facts)
     current = _inside(F.col("_day"), F.col("current"))
     base = _inside(F.col("_day"), F.col("base"))
     sums = rows.groupBy(*KEYS).agg(

@@ -210,6 +210,33 @@ def test_qualification(spark):
     assert tally["y"] == (1, 1)
 
 
+def test_tests_without_a_sale(spark, rows):
+    from workload import programs
+
+    scenarios = spark.createDataFrame(
+        [("m", "minQual", "A", "A", "", "", "99", "2"), ("y", "yoy", "A", "A", "", "10", "", "")],
+        "scenario_id string, test_type string, qualifying_skus string, earning_skus string, target_percent string, current_rate string, min_percent string, earning_percent string")
+    frames = spark.createDataFrame([("y", 0, "old", False, "2022-01-01", "2022-12-31"), ("y", 1, "now", True, "2023-01-01", "2023-12-31")],
+        "scenario_id string, ordinal int, label string, is_current boolean, start_date string, end_date string")
+    sales = spark.createDataFrame([("m", "1", "", "A", "50"), ("y", "9", "2023-01-01", "A", "5")], "scenario_id string, test_id string, date string, sku string, total string")
+    tests = spark.createDataFrame([("m", "1"), ("m", "2"), ("y", "1")], "scenario_id string, test_id string")
+    got = qualification.qualify(scenarios, frames, sales, tests)
+    picked = got.select("scenario_id", "test_id", "qualified", "earnings", "current_total", "qualifying_transactions", "earning_transactions")
+    assert rows(picked) == [
+        ("m", "1", True, 1.0, None, 1, 1), ("m", "2", True, 0.0, None, 0, 0),
+        ("y", "1", False, 0.0, 0.0, 0, 0), ("y", "9", False, 0.0, 5.0, 1, 1),
+    ]
+    assert rows(qualification.qualification_tally(got)) == [("m", 2, 0), ("y", 0, 2)]
+    totals = qualification.frame_totals(scenarios, frames, sales, tests)
+    assert rows(totals.select("test_id", "label", "total")) == [("1", "now", 0.0), ("1", "old", 0.0), ("9", "now", 5.0), ("9", "old", 0.0)]
+    # Every customer of the tables is a test.
+    folder = "/root/testdata/sf0.001"
+    tally = programs.ALL["qualification_tally"][0](spark, folder)
+    no_sales = list(programs._inputs(spark, folder))
+    no_sales[2] = no_sales[2].limit(0)
+    assert tally.agg(F.sum(F.col("qualified") + F.col("not_qualified"))).first()[0] == qualification.qualify(*no_sales).count() == 150
+
+
 def test_customers(spark, rows):
     grid = spark.createDataFrame([
         ("f", "S", 0, 1, ["title", None, None]), ("f", "S", 0, 2, [None, "Cust", "Other"]), ("f", "S", 0, 3, ["x", " Ann ", "1"]),

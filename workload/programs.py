@@ -123,7 +123,9 @@ results AS (SELECT scenario_id, test_id, test_type, test_type <> 'yoy' OR pct >=
 
 
 def _inputs(spark, sf):
-    return tuple(in_spark(spark, sf, t) for t in (SCENARIOS, FRAMES, SALES))
+    # Every customer is a test, with an order or not.
+    tests = f"SELECT 'S' || {s('c_nationkey')} AS scenario_id, {s('c_custkey')} AS test_id FROM {{customer}}"
+    return tuple(in_spark(spark, sf, t) for t in (SCENARIOS, FRAMES, SALES, tests))
 
 
 def _qualified(kind):
