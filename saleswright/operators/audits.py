@@ -186,16 +186,20 @@ def reconcile_summary(result: DataFrame) -> DataFrame:
 
 
 def file_totals(
-    grid: DataFrame, amount_header: str = "extended_price", unreadable: DataFrame | None = None
+    grid: DataFrame,
+    amount_header: str = "extended_price",
+    unreadable: DataFrame | None = None,
+    sheets: DataFrame | None = None,
 ) -> DataFrame:
     """(file_name, transaction_count, sales_total) of the first usable sheet of each file.
 
     The header is the first row with the amount column's name. Rows below it with
     two filled cells are counted; amounts that are not plain numbers, or have more than 28
     whole digits, do not add. A
-    file without a usable sheet or header has 0 and 0, an unreadable one NULLs.
+    file without a usable sheet or header has 0 and 0, an unreadable one NULLs. ``sheets``
+    names the sheets that may have no row; see ``sheet_list``.
     """
-    chosen = settled(first_usable_sheet(sheet_list(grid)))
+    chosen = settled(first_usable_sheet(sheet_list(grid, sheets)))
     usable = chosen.filter(F.col("sheet_name").isNotNull())
     rows = attach(
         grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, how="left_semi",

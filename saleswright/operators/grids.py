@@ -30,9 +30,16 @@ NEAR_ROWS = 200
 # -- sheets -----------------------------------------------------------------
 
 
-def sheet_list(grid: DataFrame) -> DataFrame:
-    """One row per sheet with its position. Reads no cells."""
-    return grid.groupBy(*SHEET).agg(F.min("sheet_ordinal").alias("sheet_ordinal"))
+def sheet_list(grid: DataFrame, sheets: DataFrame | None = None) -> DataFrame:
+    """One row per sheet with its position. Reads no cells.
+
+    ``sheets`` (file_name, sheet_name, sheet_ordinal) names all sheets; without it, those
+    without a row are unknown.
+    """
+    listed = grid.select(*SHEET, "sheet_ordinal")
+    if sheets is not None:
+        listed = listed.unionByName(sheets.select(*SHEET, "sheet_ordinal"))
+    return listed.groupBy(*SHEET).agg(F.min("sheet_ordinal").alias("sheet_ordinal"))
 
 
 def _contains_any(text: Column, words: list[str]) -> Column:

@@ -123,13 +123,15 @@ def profile_files(
     variant: ProfileVariant = CREDIT_PROFILE,
     rules: list[LayoutRule] | None = None,
     unreadable: DataFrame | None = None,
+    sheets: DataFrame | None = None,
 ) -> DataFrame:
     """One mapping row per sheet, ready for people to edit.
 
     ``aliases`` is the field -> header words dictionary, built in for the credit variant
     and required for the base one. The credit variant
     applies layout rules after it. ``unreadable`` (file_name, error) adds one ERROR row
-    per file to the credit variant.
+    per file to the credit variant. ``sheets`` (file_name, sheet_name, sheet_ordinal) names the
+    sheets that may have no row; they are profiled as sheets without a header.
     """
     credit = not variant.range_from_header
     if aliases is None:
@@ -137,6 +139,11 @@ def profile_files(
             raise ValueError("the base variant needs a header dictionary; see read_aliases")
         aliases = CREDIT_ALIASES
     density = row_density(grid)
+    if sheets is not None:
+        # No row, which is neither a header nor data, and as narrow as can be.
+        none = {"filled": F.lit(0), "n": F.lit(0), "width": F.lit(1)}
+        empty = sheets.select(*SHEET, "sheet_ordinal").withColumns(none)
+        density = density.unionByName(empty, allowMissingColumns=True)
     found = densest_headers(density)
     ranges = data_ranges(density, found, variant)
     ranges = ranges.withColumn(

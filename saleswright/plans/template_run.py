@@ -53,16 +53,18 @@ def scan_files(
     confirmed: DataFrame | None = None,
     sheet: str = TEMPLATE_SHEET,
     unreadable: DataFrame | None = None,
+    sheets: DataFrame | None = None,
 ) -> DataFrame:
     """One row per file: its sheet, header, column positions and status.
 
     ``confirmed`` (file_name, confirmed_map) holds positions a person chose; they
     win over detected and saved ones. ``unreadable`` (file_name, error) adds files
-    that could not be read. Status is ready, needs_mapping or error.
+    that could not be read. ``sheets`` names the sheets that may have no row; see
+    ``sheet_list``. Status is ready, needs_mapping or error.
     """
     aliases = aliases or TEMPLATE_ALIASES
     required = REQUIRED_TWO if required is None else required
-    chosen = settled(choose_sheet(sheet_list(grid), sheet))
+    chosen = settled(choose_sheet(sheet_list(grid, sheets), sheet))
     # Rows of other sheets are dropped before the header search.
     wanted = attach(grid, chosen, SHEET, how="left_semi", computed=True)
     found = alias_headers(wanted, aliases)

@@ -11,6 +11,7 @@ import io
 import re
 import sys
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -298,6 +299,21 @@ def read_delimited_grid(
     return whole.unionByName(_grid_by_line(lines))
 
 
+def delimited_sheets(spark: SparkSession, folder: str, name_glob: str = "*.csv") -> DataFrame:
+    """The sheets of ``read_delimited_grid``, of files without a row too.
+
+    One row per file: (file_name, sheet_name, sheet_ordinal, error). Contents are not read.
+    ``error`` is NULL, as every file can be read; other readers name their files there.
+    """
+    # A scan skips files of no bytes, the list of the files does not.
+    found = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(folder).inputFiles()
+    names = [unquote(path).rsplit("/", 1)[-1] for path in found]
+    return spark.createDataFrame(
+        [(n, n, 0, None) for n in names if not n.startswith("~$")],
+        "file_name string, sheet_name string, sheet_ordinal int, error string",
+    )
+
+
 def read_range(grid: DataFrame, range_text: str) -> DataFrame:
     """The cells of a range such as ``A5:K900``, empty rows kept."""
     bounds = grid.sparkSession.range(1).select(parse_range(F.lit(range_text)).alias("r")).first()[0]

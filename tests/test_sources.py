@@ -72,6 +72,31 @@ def test_records_are_the_same_for_all_file_sizes(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_sheets_without_a_row(spark, tmp_path, rows):
+    from saleswright.operators.audits import file_totals
+    from saleswright.operators.grids import choose_sheet, sheet_list
+    from saleswright.operators.profile import profile_files
+    from saleswright.plans.template_run import scan_files
+
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "full.csv").write_bytes(b"sku,extended_price\n1,2.5\n")
+    grid, listed = grids.read_delimited_grid(spark, str(tmp_path)), grids.delimited_sheets(spark, str(tmp_path))
+    assert rows(listed) == [("empty.csv", "empty.csv", 0, None), ("full.csv", "full.csv", 0, None)]
+    assert rows(file_totals(grid, sheets=listed)) == [("'empty.csv", 0, 0.0), ("'full.csv", 1, 2.5)]
+    # The first sheet is empty: it is chosen all the same.
+    book = spark.createDataFrame([("b", "Second", 1, 1, ["sku", "extended_price"]), ("b", "Second", 1, 2, ["1", "2"])], cf.GRID_SCHEMA)
+    sheets = spark.createDataFrame([("b", "First", 0), ("b", "Second", 1)], "file_name string, sheet_name string, sheet_ordinal int")
+    assert rows(choose_sheet(sheet_list(book, sheets), "none")) == [("b", "First")]
+    assert rows(file_totals(book, sheets=sheets)) == [("'b", 0, 0.0)]
+    assert rows(scan_files(book, sheets=sheets).select("file_name", "sheet_name", "status")) == [("b", "First", "needs_mapping")]
+    for words, variant in ((None, cf.CREDIT_PROFILE), ({"uom": ["uom"]}, cf.BASE_PROFILE)):
+        before = {r["sheet_name"]: r for r in profile_files(book, words, variant).collect()}
+        got = {r["sheet_name"]: r for r in profile_files(book, words, variant, sheets=sheets).collect()}
+        assert got["Second"] == before["Second"] and set(got) == {"First", "Second"}
+        first = got["First"]
+        assert (first["headers"], first["data_range"], first["header_range"], first["use_header"], first["rows_count"]) == ("", "", "", "FALSE", "0")
+
+
 def test_list_files(spark, tmp_path):
     for name in ["b.XLSX", "a.xlsm", "~$a.xlsx", "notes.txt", "sub/run_info.xlsx"]:
         (tmp_path / name).parent.mkdir(exist_ok=True)
