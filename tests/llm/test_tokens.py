@@ -47,6 +47,16 @@ def library():
     return lambda text: made.encode(text or "", add_special_tokens=False).ids
 
 
+def test_unmodified_library_differs_for_strings_of_added_tokens_only():
+    own, made = encoder(read_tokenizer(JSON_FILE)), Tokenizer.from_file(JSON_FILE)
+    mark = "<|endoftext|>"
+    for text in awkward_texts():
+        ids = made.encode(text or "", add_special_tokens=False).ids
+        got = np.frombuffer(next(own.packed([text])), "<u4").tolist()
+        assert (got == ids) == (mark not in (text or ""))
+    assert made.encode(mark, add_special_tokens=False).ids == [50256]
+
+
 def test_minimal_perfect_hash():
     keys = np.random.default_rng(1).integers(0, 2**63, 20_000, dtype=np.uint64)
     made = MinimalPerfectHash.from_bytes(MinimalPerfectHash.build(keys).to_bytes())
