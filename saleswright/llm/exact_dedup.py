@@ -6,7 +6,8 @@ Pass one hashes every text to two places of a bit space with ``BITS_PER_ROW`` bi
 row and keeps the places that two or more rows hit: the Bloom filter of what may be
 repeated. Only hashes move, and each task adds up its own first. Pass two tests every row:
 one that misses a place is alone and passes straight through; only the others are
-shuffled, grouped by the SHA-256 of the text, and settled exactly. All of it is DataFrame
+shuffled, grouped by the SHA-256 of the text, and settled exactly. Where the filter is too
+large to broadcast, all rows are shuffled to look their places up. All of it is DataFrame
 operations.
 
 Null texts count as empty, so null and empty texts are equal. Of equal texts the smallest
@@ -24,6 +25,8 @@ from saleswright.llm.common import column, text_of
 from saleswright.scale import attach, fits_broadcast, settled
 
 BITS_PER_ROW = 16
+# Words of 64 bits in a row of the filter; it is looked up in rows, which are few.
+BLOCK_WORDS = 64
 
 
 def normalised(text: Column) -> Column:
@@ -41,14 +44,27 @@ def _place(sha: Column, number: int, bits: int) -> Column:
 
 
 def repeat_filter(shas: DataFrame, sha: str, bits: int) -> DataFrame:
-    """The Bloom filter of what may be repeated, as words of 64 bits that are not zero."""
+    """The Bloom filter of what may be repeated, as blocks of words that are not all zero."""
     places = shas.select(
         F.explode(F.array(_place(F.col(sha), 0, bits), _place(F.col(sha), 1, bits))).alias("place")
     )
     twice = places.groupBy("place").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
-    return twice.groupBy(F.expr("place div 64").alias("word")).agg(
+    words = twice.groupBy(F.expr("place div 64").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits")
     )
+    of_block = F.map_from_entries(
+        F.collect_list(F.struct((F.col("word") % BLOCK_WORDS).cast("int").alias("at"), "bits"))
+    )
+    filled = F.transform(
+        F.sequence(F.lit(0), F.lit(BLOCK_WORDS - 1)),
+        lambda i: F.coalesce(F.try_element_at("of_block", i), F.lit(0).cast("long")),
+    )
+    # A block has BLOCK_WORDS words at most.
+    return (
+        words.groupBy(F.expr(f"word div {BLOCK_WORDS}").alias("block"))
+        .agg(of_block.alias("of_block"))
+        .select("block", filled.alias("words"))
+    )
 
 
 def maybe_repeated(rows: DataFrame, sha: str, words: DataFrame, bits: int) -> DataFrame:
@@ -56,13 +72,14 @@ def maybe_repeated(rows: DataFrame, sha: str, words: DataFrame, bits: int) -> Da
     small = fits_broadcast(words)
     for number in (0, 1):
         rows = rows.withColumn("place", _place(F.col(sha), number, bits))
-        rows = rows.withColumn("word", F.expr("place div 64"))
+        rows = rows.withColumn("block", F.expr(f"place div {64 * BLOCK_WORDS}"))
         if small:
-            rows = rows.join(F.broadcast(words), "word", "left")
+            rows = rows.join(F.broadcast(words), "block", "left")
         else:
-            rows = attach(rows, words, ["word"], how="left", computed=True)
-        bit = F.expr("coalesce(shiftright(bits, cast(place % 64 as int)) & 1, 0) = 1")
-        rows = rows.withColumn(f"hit{number}", bit).drop("place", "word", "bits")
+            rows = attach(rows, words, ["block"], how="left", computed=True)
+        word = f"get(words, cast(place div 64 % {BLOCK_WORDS} as int))"
+        bit = F.expr(f"coalesce(shiftright({word}, cast(place % 64 as int)) & 1, 0) = 1")
+        rows = rows.withColumn(f"hit{number}", bit).drop("place", "block", "words")
     return rows.withColumn("maybe", F.col("hit0") & F.col("hit1")).drop("hit0", "hit1")
 
 

@@ -149,6 +149,15 @@ def test_exact_copies_of_repeated_and_null_ids(spark):
     assert exact_dedup.first_copies(empty(spark)).count() == 0
 
 
+def test_repeat_filter_has_few_rows(spark):
+    """A row for 4,096 bits, so that its bytes decide whether it is broadcast."""
+    shas = spark.range(4000).select(F.sha2((F.col("id") % 2000).cast("string"), 256).alias("sha"))
+    bits = exact_dedup.BITS_PER_ROW * 4000
+    words = exact_dedup.repeat_filter(shas, "sha", bits)
+    assert 0 < words.count() <= bits // 4096 + 1
+    assert exact_dedup.maybe_repeated(shas, "sha", words, bits).filter("maybe").count() == 4000
+
+
 def test_exact_dedup_stays_native(spark):
     plan = exact_dedup.copies(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
