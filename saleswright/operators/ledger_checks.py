@@ -172,7 +172,11 @@ def issues(
         ).unionByName(
             base.filter(~loaded).select(
                 by, F.lit("Load failed").alias("check"), F.lit("LOAD").alias("severity"),
-                F.concat(F.lit("missing column for: "), "missing_columns").alias("detail"),
+                F.concat_ws(
+                    "; ",
+                    F.when(F.col("missing_columns") != "", F.concat(F.lit("missing column for: "), "missing_columns")),
+                    F.when(F.col("condition_error") != "", F.concat(F.lit("condition: "), "condition_error")),
+                ).alias("detail"),
             )
         )
     if not with_samples:
@@ -180,15 +184,6 @@ def issues(
     return result.join(_sample_text(df, ledger, by), [by, "check"], "left")
 
 
-def bad_values(staged: DataFrame, by: str = FILE) -> DataFrame:
-    """Fields whose text could not be read, counted per file."""
-    return (
-        staged.select(by, F.explode("bad_fields").alias("column_name"))
-        .groupBy(by, "column_name")
-        .agg(F.count(F.lit(1)).alias("bad_values"))
-    )
-
-
 def key_violations(df: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Keys that are missing or used more than once."""
     return (

@@ -6,8 +6,6 @@ index or a literal. The plan does not grow with the number of files.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,8 +26,15 @@ from saleswright.functions.text import (
     parse_range,
     stable_uuid,
 )
+from saleswright.operators.conditions import (
+    CAST,
+    Condition,
+    check_conditions,
+    judged,
+    with_condition_places,
+)
 from saleswright.operators.grids import SHEET
-from saleswright.scale import attach, number_rows, settled
+from saleswright.scale import BLOCK_ROWS, attach, settled
 
 MAPPING_ROW = "mapping_row"
 
@@ -197,68 +202,6 @@ def field_order(ledger: Ledger) -> list[str]:
     return [*ledger.static, *[f for f, _ in ledger.mapped]]
 
 
-def _backticks(predicate: str) -> str:
-    """Double-quoted column names to Spark's quoting, outside of text literals."""
-    pieces = predicate.split("'")
-    pieces[::2] = [re.sub(r'"([^"]+)"', r"`\1`", p) for p in pieces[::2]]
-    return "'".join(pieces)
-
-
-def predicate_names(mapping: DataFrame) -> tuple[list[str], list[str]]:
-    """The distinct conditions, and the column names that occur in them.
-
-    Conditions are configuration, so there are few; names that differ only in case are one.
-    """
-    rows = mapping.filter(F.col("predicate").isNotNull())
-    shown = F.when(F.col("use_header"), F.col("header_cells")).otherwise(
-        F.regexp_extract_all("predicate", F.lit(r"\b([A-Za-z]{1,2})\b"))
-    )
-    used = F.filter(
-        F.transform(shown, cl.clean_text),
-        lambda n: (n != "") & F.contains(F.lower("predicate"), F.lower(n)),
-    )
-    found = (
-        rows.select("predicate", F.explode_outer(used).alias("name"))
-        .groupBy("predicate")
-        .agg(F.collect_set("name").alias("names"))
-        .collect()
-    )
-    by_low = {n.lower(): n for n in sorted((n for r in found for n in r["names"]), reverse=True)}
-    return sorted(r["predicate"] for r in found), [by_low[low] for low in sorted(by_low)]
-
-
-def with_name_places(mapping: DataFrame, names: list[str]) -> DataFrame:
-    """Add ``name_places``: the cell index of each name in the sheet of a mapping row."""
-    lowered = F.transform("header_cells", lambda h: F.lower(cl.clean_text(h)))
-    places = [
-        F.when(F.col("use_header"), F.array_position("_low", F.lit(n.lower())).cast("int") - 1)
-        .otherwise(letters_to_number(F.lit(n)) - 1)
-        for n in names
-    ]
-    listed = F.array(*places) if places else F.array().cast("array<int>")
-    return mapping.withColumn("_low", lowered).withColumn("name_places", listed).drop("_low")
-
-
-def apply_predicates(rows: DataFrame, texts: list[str], names: list[str]) -> DataFrame:
-    """Keep rows that pass the condition of their mapping row.
-
-    Conditions name source columns, by header text or by letter. They become one
-    CASE expression; each is evaluated only for the rows of its own files.
-    """
-    if not texts:
-        return rows
-    place = [F.get("name_places", F.lit(i)) for i in range(len(names))]
-    named = rows.select(
-        F.struct(*rows.columns).alias("_row"),
-        *[F.when(p >= 0, F.get("cells", p)).alias(n) for n, p in zip(names, place)],
-    )
-    condition = F.col("_row.predicate")
-    passes = F.when(condition.isNull(), F.lit(True))
-    for text in texts:
-        passes = passes.when(condition == text, F.expr(_backticks(text)))
-    return named.filter(F.coalesce(passes, F.lit(False))).select("_row.*")
-
-
 CLEANERS = {
     "date": cl.sales_date,
     "decimal(10,2)": cl.amount,
@@ -273,26 +216,34 @@ def prepare_mapping(mapping: DataFrame, grid: DataFrame, ledger: Ledger) -> Data
     return settled(resolve_fields(with_header_cells(ranged, grid), ledger))
 
 
-PLAN_COLUMNS = [MAPPING_ROW, *SHEET, "use_header", "header_cells", "from_row", "to_row",
-                "predicate", "places", "texts", "counted"]
+PLAN_COLUMNS = [MAPPING_ROW, *SHEET, "from_row", "to_row", "predicate", "name_places",
+                "places", "texts", "counted"]
+
 
+def checked_mapping(prepared: DataFrame) -> tuple[DataFrame, list[Condition]]:
+    """Add what is wrong with a mapping row before rows are read: ``condition_error``."""
+    conditions = check_conditions(prepared)
+    return settled(with_condition_places(prepared, conditions)), conditions
 
-def staged_rows(grid: DataFrame, prepared: DataFrame, ledger: Ledger) -> DataFrame:
-    """Rows to load with typed fields, before row numbers.
 
-    Rows that fail the condition of their mapping row, or whose counted fields are
-    all NULL, are dropped. ``bad_fields`` lists fields whose text could not be read.
+def rows_in_range(
+    grid: DataFrame, checked: DataFrame, conditions: list[Condition], ledger: Ledger
+) -> DataFrame:
+    """Every row in the range of a mapping row, with typed fields, before row numbers.
+
+    ``loaded`` says whether the row passes the condition and has a counted field that is not
+    NULL; ``cast_failed`` that the condition could not be evaluated for it. ``bad_fields`` lists
+    fields whose text could not be read. Fields are NULL where a row is not loaded. Rows of mapping
+    rows that are known to fail are only counted.
     """
-    usable = prepared.filter(F.size("unresolved") == 0).select(*PLAN_COLUMNS)
-    conditions, names = predicate_names(usable)
-    usable = with_blank_test(with_name_places(usable, names), ledger).drop(
-        "use_header", "header_cells"
-    )
-    rows = attach(
-        grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, computed=True
+    sound = (F.size("unresolved") == 0) & F.col("condition_error").isNull()
+    usable = with_blank_test(checked, ledger).select(
+        *PLAN_COLUMNS, "always", "text_places", sound.alias("sound")
     )
+    rows = attach(grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, computed=True)
     rows = rows.filter(F.col("row_idx").between(F.col("from_row"), F.col("to_row")))
-    passed = apply_predicates(rows, conditions, names)
+    # The condition of a mapping row that is not sound is not evaluated.
+    rows = rows.withColumn("predicate", F.when(F.col("sound"), F.col("predicate")))
     place = {name: F.lit(i) for i, name in enumerate(field_order(ledger))}
 
     def raw(name: str) -> Column:
@@ -302,9 +253,10 @@ def staged_rows(grid: DataFrame, prepared: DataFrame, ledger: Ledger) -> DataFra
     # All fields of a type are cleaned by one expression over an array. One expression
     # per field would make generated code too long to be compiled.
     of_type = {t: [n for n, u in ledger.mapped if u == t] for t in CLEANERS}
-    cleaned = passed.withColumns(
+    wanted = F.col("sound") & F.col("passes")
+    cleaned = judged(rows, conditions).withColumns(
         {
-            f"_{t}": F.transform(F.array(*[raw(n) for n in names]), CLEANERS[t])
+            f"_{t}": F.when(wanted, F.transform(F.array(*[raw(n) for n in names]), CLEANERS[t]))
             for t, names in of_type.items()
         }
     )
@@ -318,19 +270,22 @@ def staged_rows(grid: DataFrame, prepared: DataFrame, ledger: Ledger) -> DataFra
     for names in of_type.values():
         for n in names:
             present = present | (F.get("counted", place[n]) & value[n].isNotNull())
-    kept = cleaned.filter(present)
+    kept = cleaned.withColumn("loaded", wanted & present)
     bad = [
         F.when(BAD_VALUE[t](raw(n), value[n]), F.lit(n))
         for t, names in of_type.items()
         if t in BAD_VALUE
         for n in names
     ]
+    shown = F.col("loaded")
     return kept.select(
         MAPPING_ROW,
         *SHEET,
         "row_idx",
-        *[value[n].alias(n) for n in field_order(ledger)],
-        F.array_compact(F.array(*bad)).alias("bad_fields"),
+        "loaded",
+        "cast_failed",
+        *[F.when(shown, value[n]).alias(n) for n in field_order(ledger)],
+        F.when(shown, F.array_compact(F.array(*bad))).alias("bad_fields"),
     )
 
 
@@ -352,50 +307,107 @@ def with_blank_test(prepared: DataFrame, ledger: Ledger) -> DataFrame:
     ).withColumn("text_places", F.array_compact(F.transform(texts, lambda f: f["p"])))
 
 
+def placed_rows(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``block``, a stretch of sheet rows, and ``place``, the loaded rows in it so far.
+
+    Only rows of one block meet in a task, so a file of any size is dealt over the cluster.
+    """
+    block = F.floor(F.col("row_idx") / F.lit(block_rows)).cast("long")
+    so_far = (
+        Window.partitionBy(MAPPING_ROW, "block")
+        .orderBy("row_idx")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return rows.withColumn("block", block).withColumn("place", F.count_if("loaded").over(so_far))
+
+
+def row_counts(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows in range, loaded rows and rows whose condition failed, per mapping row (and block)."""
+    return rows.groupBy(MAPPING_ROW, *keys).agg(
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if("loaded").alias("loaded_rows"),
+        F.count_if("cast_failed").alias("failed_rows"),
+    )
+
+
+def _archive_name() -> Column:
+    return F.regexp_extract("file_name", r"([^/]*)$", 1)
+
+
 def number_and_label(staged: DataFrame, ledger: Ledger, run_id: str = "") -> DataFrame:
-    """Add the generated fields and put the ledger's columns in order."""
-    # row_id counts the kept rows of a mapping row in sheet order.
-    numbered = number_rows(staged, [MAPPING_ROW], "row_idx", "row_id")
+    """The loaded rows of ``placed_rows``, numbered, with the ledger's columns in order.
+
+    ``staged`` is a stored table: counts of its blocks, read from three narrow columns, give every
+    block its first number, and the rows stay where they are. A mapping row whose condition failed
+    for a row loads none.
+    """
+    of_row = Window.partitionBy(MAPPING_ROW)
+    before = of_row.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each block of many sheet rows.
+    starts = row_counts(staged, "block").select(
+        MAPPING_ROW,
+        "block",
+        F.coalesce(F.sum("loaded_rows").over(before), F.lit(0)).alias("before"),
+        F.sum("failed_rows").over(of_row).alias("failed"),
+    )
+    numbered = attach(
+        staged.filter("loaded"), starts.filter("failed = 0").drop("failed"), [MAPPING_ROW, "block"]
+    )
     key = stable_uuid(
         F.lit(run_id), F.col("file_name"), F.col("sheet_name"),
         F.col(MAPPING_ROW).cast("string"), F.col("row_idx").cast("string"),
     )
     made = {
         "transaction_id": key,
-        "row_id": F.col("row_id").cast("int"),
+        # row_id counts the kept rows of a mapping row in sheet order.
+        "row_id": (F.col("before") + F.col("place")).cast("int"),
         "type": F.lit(TRANSACTION_TYPE),
-        "archive_file_name": F.regexp_extract("file_name", r"([^/]*)$", 1),
+        "archive_file_name": _archive_name(),
     }
-    return numbered.select(
-        *[made.get(n, F.col(n)).alias(n) for n in ledger.names], "bad_fields"
-    )
+    return numbered.select(*[made.get(n, F.col(n)).alias(n) for n in ledger.names], "bad_fields")
 
 
-def load_metadata(grid: DataFrame, prepared: DataFrame, staged: DataFrame) -> DataFrame:
-    """Rows in range against rows loaded, per mapping row.
+def load_metadata(rows: DataFrame, checked: DataFrame) -> DataFrame:
+    """Rows in range against rows loaded, per mapping row, in one aggregate of ``rows_in_range``.
 
-    ``status`` is loaded, or failed when a mapped column does not exist.
+    ``status`` is loaded, or failed when a mapped column does not exist or the condition is
+    wrong; ``missing_columns`` and ``condition_error`` say why.
     """
-    bounds = prepared.select(MAPPING_ROW, *SHEET, "from_row", "to_row")
-    inside = attach(
-        grid.select(*SHEET, "row_idx"), bounds, SHEET, computed=True
-    ).filter(
-        F.col("row_idx").between(F.col("from_row"), F.col("to_row"))
-    )
-    raw = inside.groupBy(MAPPING_ROW).agg(F.count(F.lit(1)).alias("raw_rows"))
-    loaded = staged.groupBy(MAPPING_ROW).agg(F.count(F.lit(1)).alias("loaded_rows"))
     zero = F.lit(0).cast("long")
+    error = F.coalesce("condition_error", F.when(F.col("failed_rows") > 0, F.lit(CAST)))
+    failed = (F.size("unresolved") > 0) | error.isNotNull()
     return (
-        prepared.select(MAPPING_ROW, *SHEET, "predicate", "unresolved")
-        .join(raw, MAPPING_ROW, "left")
-        .join(loaded, MAPPING_ROW, "left")
+        checked.select(MAPPING_ROW, *SHEET, "predicate", "unresolved", "condition_error")
+        .join(row_counts(rows), MAPPING_ROW, "left")
         .select(
-            F.col("file_name").alias("archive_file_name"),
+            _archive_name().alias("archive_file_name"),
             "sheet_name",
             F.coalesce("raw_rows", zero).alias("raw_rows"),
-            F.coalesce("loaded_rows", zero).alias("loaded_rows"),
+            F.when(failed, zero).otherwise(F.coalesce("loaded_rows", zero)).alias("loaded_rows"),
             F.col("predicate").isNotNull().alias("has_explicit_filter"),
-            F.when(F.size("unresolved") > 0, "failed").otherwise("loaded").alias("status"),
+            F.when(failed, "failed").otherwise("loaded").alias("status"),
             F.array_join("unresolved", ", ").alias("missing_columns"),
+            F.coalesce(error, F.lit("")).alias("condition_error"),
         )
     )
+
+
+def bad_values(rows: DataFrame, by: str = "archive_file_name") -> DataFrame:
+    """Loaded fields whose text could not be read, counted per file, from ``rows_in_range``.
+
+    Counts are made per mapping row, so that those of failed mapping rows can be left out.
+    """
+    nothing = F.array(F.lit(None).cast("string"))
+    listed = F.concat(F.coalesce("bad_fields", F.array().cast("array<string>")), nothing)
+    counted = (
+        rows.select(MAPPING_ROW, "file_name", "cast_failed", F.explode(listed).alias("column_name"))
+        .groupBy(MAPPING_ROW, "file_name", "column_name")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("cast_failed").alias("failed"))
+    )
+    failed = F.sum("failed").over(Window.partitionBy(MAPPING_ROW))
+    return (
+        counted.withColumn("failed", failed)
+        .filter("column_name IS NOT NULL AND failed = 0")
+        .groupBy(_archive_name().alias(by), "column_name")
+        .agg(F.sum("n").alias("bad_values"))
+    )

@@ -3,25 +3,46 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from saleswright.config import BASE_LEDGER, Ledger
-from saleswright.operators import ledger_checks
-from saleswright.operators.projection import (
-    load_metadata,
-    number_and_label,
-    prepare_mapping,
-    staged_rows,
-)
+from saleswright.operators import ledger_checks, projection
+from saleswright.scale import scratch_path
 
 
-@dataclass(frozen=True)
 class LoadedRun:
-    ledger: DataFrame
-    metadata: DataFrame
-    bad_values: DataFrame
+    """The results of a run, each made when it is asked for.
+
+    ``metadata`` and ``bad_values`` are one aggregate of the rows in range, of which nothing is
+    stored. ``ledger`` needs row numbers: the rows are cleaned and written once to the shared
+    folder, and from then on all results read what was written.
+    """
+
+    def __init__(self, rows: DataFrame, checked: DataFrame, ledger: Ledger, run_id: str):
+        self.rows, self.checked, self.columns, self.run_id = rows, checked, ledger, run_id
+
+    @cached_property
+    def staged(self) -> DataFrame:
+        """All rows in range with their places, stored."""
+        spark = self.rows.sparkSession
+        path = scratch_path(spark, "staged")
+        projection.placed_rows(self.rows).write.parquet(path)
+        self.rows = spark.read.parquet(path)
+        return self.rows
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        return projection.number_and_label(self.staged, self.columns, self.run_id).drop("bad_fields")
+
+    @property
+    def metadata(self) -> DataFrame:
+        return projection.load_metadata(self.rows, self.checked)
+
+    @property
+    def bad_values(self) -> DataFrame:
+        return projection.bad_values(self.rows)
 
 
 def normalize_transactions(
@@ -29,19 +50,14 @@ def normalize_transactions(
 ) -> LoadedRun:
     """Load every mapped sheet into the ledger's columns.
 
-    A sheet whose mapping names a column that does not exist loads no rows and is
-    reported as failed in the metadata. Other sheets are not affected. Generated keys
-    hold the run's id, which is new for each call unless it is given.
+    A sheet whose mapping names a column that does not exist, or whose condition is wrong or
+    cannot be evaluated for one of its rows, loads no rows and is reported as failed in the
+    metadata. Other sheets are not affected. Generated keys hold the run's id, which is new
+    for each call unless it is given. Only the mapping is worked on here; see ``LoadedRun``.
     """
-    run_id = run_id or uuid.uuid4().hex
-    prepared = prepare_mapping(mapping, grid, ledger)
-    staged = staged_rows(grid, prepared, ledger)
-    labelled = number_and_label(staged, ledger, run_id)
-    return LoadedRun(
-        ledger=labelled.drop("bad_fields"),
-        metadata=load_metadata(grid, prepared, staged),
-        bad_values=ledger_checks.bad_values(labelled),
-    )
+    checked, conditions = projection.checked_mapping(projection.prepare_mapping(mapping, grid, ledger))
+    rows = projection.rows_in_range(grid, checked, conditions, ledger)
+    return LoadedRun(rows, checked, ledger, run_id or uuid.uuid4().hex)
 
 
 def validate_ledger(run: LoadedRun, ledger: Ledger = BASE_LEDGER) -> DataFrame:
