@@ -113,15 +113,32 @@ def _unresolved(error: AnalysisException) -> str | None:
     return bare.group(1).replace("``", "`") if bare else None
 
 
+# Words that Spark reads as functions where no column has their name (fixed values).
+NO_COLUMNS = {"current_catalog", "current_database", "current_date", "current_schema", "current_time",
+              "current_timestamp", "current_user", "localtimestamp", "session_user", "user"}
+
+
+def _candidates(text: str) -> list[str]:
+    """What may be a column's name: quoted names and bare words outside of text literals."""
+    outside = " ".join(text.split("'")[::2])
+    quoted = re.findall(r'"([^"]+)"', outside)
+    bare = re.findall(r"[A-Za-z_]\w*", re.sub(r'"[^"]*"', " ", outside))
+    by_low = {n.lower(): n for n in [*bare, *quoted] if n.lower() not in NO_COLUMNS}
+    return list(by_low.values())[:MOST_NAMES]
+
+
 def check_condition(spark: SparkSession, text: str) -> Condition:
-    """Parse and resolve one condition; nothing is run."""
-    names: list[str] = []
+    """Parse and resolve one condition; nothing is run.
+
+    It is resolved over an empty table that has every word of the text as a column of texts; those that
+    it really uses are its names. A name that is still unknown is added, one at a time.
+    """
+    names = _candidates(text)
     with lenient(spark), unlogged():
         while len(names) <= MOST_NAMES:
-            # An empty table of text columns, as the cells of a sheet are.
-            columns = StructType([StructField(n, StringType()) for n in names])
+            columns = [F.lit(None).cast("string").alias(n) for n in names]
             try:
-                probe = spark.createDataFrame([], columns).filter(F.expr(quoted_names(text)))
+                probe = spark.range(0).select(*columns).filter(F.expr(quoted_names(text)))
             except ParseException:
                 return Condition(text, error=SYNTAX)
             except AnalysisException as error:
@@ -130,8 +147,10 @@ def check_condition(spark: SparkSession, text: str) -> Condition:
                     return Condition(text, error=INVALID)
                 names.append(name)
                 continue
-            shown = probe._jdf.queryExecution().analyzed().condition().sql()
-            return Condition(text, tuple(names), tuple(dict.fromkeys(casts_in(shown))))
+            condition = probe._jdf.queryExecution().analyzed().condition()
+            used = condition.references().toSeq()
+            found = sorted(used.apply(i).name() for i in range(used.size()))
+            return Condition(text, tuple(found), tuple(dict.fromkeys(casts_in(condition.sql()))))
     return Condition(text, error=INVALID)
 
 

@@ -110,16 +110,15 @@ def with_header_cells(mapping: DataFrame, grid: DataFrame) -> DataFrame:
 
     Only grid rows up to the last header row are read.
     """
-    wanted = settled(mapping)
-    last = wanted.agg(F.max("header_row")).first()[0]
+    places = settled(mapping.select(*SHEET, F.col("header_row").alias("row_idx")).distinct().dropna())
+    last = places.agg(F.max("row_idx")).first()[0]
     if last is None:
-        return wanted.withColumn("header_cells", F.array().cast("array<string>"))
-    places = wanted.select(*SHEET, F.col("header_row").alias("row_idx")).distinct()
+        return mapping.withColumn("header_cells", F.array().cast("array<string>"))
     near = grid.filter(F.col("row_idx") <= last).select(*SHEET, "row_idx", "cells")
-    cells = attach(near, places.dropna(), [*SHEET, "row_idx"]).withColumnsRenamed(
+    cells = attach(near, places, [*SHEET, "row_idx"], computed=True).withColumnsRenamed(
         {"row_idx": "header_row", "cells": "header_cells"}
     )
-    return wanted.join(cells, [*SHEET, "header_row"], "left").withColumn(
+    return mapping.join(cells, [*SHEET, "header_row"], "left").withColumn(
         "header_cells", F.coalesce("header_cells", F.array().cast("array<string>"))
     )
 
@@ -223,18 +222,20 @@ PLAN_COLUMNS = [MAPPING_ROW, *SHEET, "from_row", "to_row", "predicate", "name_pl
 def checked_mapping(prepared: DataFrame) -> tuple[DataFrame, list[Condition]]:
     """Add what is wrong with a mapping row before rows are read: ``condition_error``."""
     conditions = check_conditions(prepared)
-    return settled(with_condition_places(prepared, conditions)), conditions
+    return with_condition_places(prepared, conditions), conditions
 
 
 def rows_in_range(
-    grid: DataFrame, checked: DataFrame, conditions: list[Condition], ledger: Ledger
+    grid: DataFrame, checked: DataFrame, conditions: list[Condition], ledger: Ledger,
+    only_counts: bool = False,
 ) -> DataFrame:
     """Every row in the range of a mapping row, with typed fields, before row numbers.
 
     ``loaded`` says whether the row passes the condition and has a counted field that is not
     NULL; ``cast_failed`` that the condition could not be evaluated for it. ``bad_fields`` lists
     fields whose text could not be read. Fields are NULL where a row is not loaded. Rows of mapping
-    rows that are known to fail are only counted.
+    rows that are known to fail are only counted. With ``only_counts`` there are no fields, and
+    cells are cleaned only where no counted text says already that the row is not blank.
     """
     sound = (F.size("unresolved") == 0) & F.col("condition_error").isNull()
     usable = with_blank_test(checked, ledger).select(
@@ -254,9 +255,12 @@ def rows_in_range(
     # per field would make generated code too long to be compiled.
     of_type = {t: [n for n, u in ledger.mapped if u == t] for t in CLEANERS}
     wanted = F.col("sound") & F.col("passes")
+    # Text cells come first: one of them is mostly filled, and the rest is not evaluated.
+    present = F.col("always") | F.exists("text_places", lambda p: F.get("cells", p).isNotNull())
+    to_clean = wanted & ~present if only_counts else wanted
     cleaned = judged(rows, conditions).withColumns(
         {
-            f"_{t}": F.when(wanted, F.transform(F.array(*[raw(n) for n in names]), CLEANERS[t]))
+            f"_{t}": F.when(to_clean, F.transform(F.array(*[raw(n) for n in names]), CLEANERS[t]))
             for t, names in of_type.items()
         }
     )
@@ -265,12 +269,12 @@ def rows_in_range(
     for t, names in of_type.items():
         value |= {n: F.get(f"`_{t}`", F.lit(i)) for i, n in enumerate(names)}
 
-    # Text cells come first: one of them is mostly filled, and the rest is not evaluated.
-    present = F.col("always") | F.exists("text_places", lambda p: F.get("cells", p).isNotNull())
     for names in of_type.values():
         for n in names:
             present = present | (F.get("counted", place[n]) & value[n].isNotNull())
     kept = cleaned.withColumn("loaded", wanted & present)
+    if only_counts:
+        return kept.select(MAPPING_ROW, "loaded", "cast_failed")
     bad = [
         F.when(BAD_VALUE[t](raw(n), value[n]), F.lit(n))
         for t, names in of_type.items()
@@ -307,6 +311,19 @@ def with_blank_test(prepared: DataFrame, ledger: Ledger) -> DataFrame:
     ).withColumn("text_places", F.array_compact(F.transform(texts, lambda f: f["p"])))
 
 
+def row_counts(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows in range, loaded rows and rows whose condition failed, per mapping row (and block)."""
+    return rows.groupBy(MAPPING_ROW, *keys).agg(
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if("loaded").alias("loaded_rows"),
+        F.count_if("cast_failed").alias("failed_rows"),
+    )
+
+
+def _archive_name() -> Column:
+    return F.regexp_extract("file_name", r"([^/]*)$", 1)
+
+
 def placed_rows(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add ``block``, a stretch of sheet rows, and ``place``, the loaded rows in it so far.
 
@@ -321,19 +338,6 @@ def placed_rows(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return rows.withColumn("block", block).withColumn("place", F.count_if("loaded").over(so_far))
 
 
-def row_counts(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows in range, loaded rows and rows whose condition failed, per mapping row (and block)."""
-    return rows.groupBy(MAPPING_ROW, *keys).agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if("loaded").alias("loaded_rows"),
-        F.count_if("cast_failed").alias("failed_rows"),
-    )
-
-
-def _archive_name() -> Column:
-    return F.regexp_extract("file_name", r"([^/]*)$", 1)
-
-
 def number_and_label(staged: DataFrame, ledger: Ledger, run_id: str = "") -> DataFrame:
     """The loaded rows of ``placed_rows``, numbered, with the ledger's columns in order.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from saleswright.config import BASE_LEDGER, Ledger
 from saleswright.operators import ledger_checks, projection
+from saleswright.operators.conditions import Condition
 from saleswright.scale import scratch_path
 
 
@@ -20,17 +21,25 @@ class LoadedRun:
     folder, and from then on all results read what was written.
     """
 
-    def __init__(self, rows: DataFrame, checked: DataFrame, ledger: Ledger, run_id: str):
-        self.rows, self.checked, self.columns, self.run_id = rows, checked, ledger, run_id
+    def __init__(self, grid: DataFrame, checked: DataFrame, conditions: list[Condition], ledger: Ledger, run_id: str):
+        self.grid, self.checked, self.conditions = grid, checked, conditions
+        self.columns, self.run_id = ledger, run_id
+        self.is_staged = False
+
+    def rows(self, only_counts: bool = False) -> DataFrame:
+        """All rows in range, from the store if they are there."""
+        if self.is_staged:
+            return self.staged
+        return projection.rows_in_range(self.grid, self.checked, self.conditions, self.columns, only_counts)
 
     @cached_property
     def staged(self) -> DataFrame:
         """All rows in range with their places, stored."""
-        spark = self.rows.sparkSession
+        spark = self.grid.sparkSession
         path = scratch_path(spark, "staged")
-        projection.placed_rows(self.rows).write.parquet(path)
-        self.rows = spark.read.parquet(path)
-        return self.rows
+        projection.placed_rows(self.rows()).write.parquet(path)
+        self.is_staged = True
+        return spark.read.parquet(path)
 
     @cached_property
     def ledger(self) -> DataFrame:
@@ -38,11 +47,11 @@ class LoadedRun:
 
     @property
     def metadata(self) -> DataFrame:
-        return projection.load_metadata(self.rows, self.checked)
+        return projection.load_metadata(self.rows(only_counts=True), self.checked)
 
     @property
     def bad_values(self) -> DataFrame:
-        return projection.bad_values(self.rows)
+        return projection.bad_values(self.rows())
 
 
 def normalize_transactions(
@@ -56,8 +65,7 @@ def normalize_transactions(
     for each call unless it is given. Only the mapping is worked on here; see ``LoadedRun``.
     """
     checked, conditions = projection.checked_mapping(projection.prepare_mapping(mapping, grid, ledger))
-    rows = projection.rows_in_range(grid, checked, conditions, ledger)
-    return LoadedRun(rows, checked, ledger, run_id or uuid.uuid4().hex)
+    return LoadedRun(grid, checked, conditions, ledger, run_id or uuid.uuid4().hex)
 
 
 def validate_ledger(run: LoadedRun, ledger: Ledger = BASE_LEDGER) -> DataFrame:

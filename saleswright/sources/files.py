@@ -3,22 +3,31 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from saleswright.config import DOCUMENT_SCHEMA
 from saleswright.functions.cleaning import clean_text, strip
 from saleswright.functions.text import unescape_entities
+from saleswright.scale import attach, settled
+from saleswright.sources import versions
+from saleswright.sources.envelopes import read_envelope
 
 
 def _without_mark(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
 
 
-def read_delimited(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
-    """A CSV file with a header; a byte-order mark is dropped from the names."""
+def read_delimited(
+    spark: SparkSession, path: str, infer: bool = False, pos: Column | None = None
+) -> DataFrame:
+    """A CSV file with a header; a byte-order mark is dropped from the names.
+
+    ``pos`` is added as a column of that name.
+    """
     reader = spark.read.option("header", True).option("inferSchema", infer)
-    return _without_mark(reader.option("escape", '"').csv(path))
+    raw = reader.option("escape", '"').csv(path)
+    return _without_mark(raw if pos is None else raw.withColumn("pos", pos))
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
@@ -31,22 +40,53 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"no reader for {path}; land spreadsheets as cell grids")
 
 
+SNAPSHOT_SCHEMA = "key string, product_key string, superseded_by string"
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Product records from ``{"data": [...]}`` files or from JSON lines.
+    """Product records from ``{"data": [...]}`` documents of any size.
 
-    One whole-file document is one row to Spark, so large snapshots should be
-    landed as one record per line. ``pos`` is the order in which later
-    duplicates of a key win.
+    ``pos`` is the order in which later duplicates of a key win.
     """
-    envelope = "data array<struct<key: string, product_key: string, superseded_by: string>>"
-    wrapped = spark.read.schema(envelope).option("multiLine", True).json(path)
-    return wrapped.select(F.posexplode("data").alias("pos", "r")).select("pos", "r.*")
+    return read_envelope(spark, path, SNAPSHOT_SCHEMA)
+
+
+def place_in_files() -> Column:
+    """A line's place among all lines: its file, where its block starts, and its turn in the block.
+
+    Places compare in file order however Spark cuts and packs the files. To be taken straight
+    from a reader, before rows are dropped.
+    """
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("seq"),
+    )
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``pos`` and ``value`` of the lines of text files, numbered 0, 1, ... over all files.
+
+    Files count in the order of their paths. Lines of each block are counted first, without
+    their texts; running totals give every block its first number.
+    """
+    at = ["file", "start"]
+    lines = spark.read.text(path).select(place_in_files().alias("place"), "value").select("place.*", "value")
+    blocks = settled(
+        lines.groupBy(*at).agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
+    )
+    # One row per block of a file, so this one window is short.
+    before = Window.orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select(*at, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return attach(lines, starts, at).select(
+        (F.col("before") + F.col("seq") - F.col("first")).alias("pos"), "value"
+    )
 
 
 def read_snapshot_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Product records landed one per line; splittable."""
-    rows = spark.read.schema("key string, product_key string, superseded_by string").json(path)
-    return rows.select(F.monotonically_increasing_id().alias("pos"), "*")
+    """Product records landed one per line, with the number of their line as ``pos``."""
+    lines = numbered_lines(spark, path).filter(strip(F.col("value")) != "")
+    return lines.select("pos", F.from_json("value", SNAPSHOT_SCHEMA).alias("r")).select("pos", "r.*")
 
 
 def read_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -109,11 +149,11 @@ OVERRIDE_FIELDS = ["contractor", "wholesaler_name", "wholesaler_address", "date_
 def read_overrides(spark: SparkSession, path: str) -> DataFrame:
     """Per-file header facts; see ``clean_overrides``. An absent file gives no rows."""
     try:
-        raw = read_delimited(spark, path)
+        raw = read_delimited(spark, path, pos=place_in_files())
     except AnalysisException:
         fields = ", ".join(f"{f} string" for f in ["filename", *OVERRIDE_FIELDS])
         return spark.createDataFrame([], f"{fields}, pos long").transform(clean_overrides)
-    return clean_overrides(raw.withColumn("pos", F.monotonically_increasing_id()))
+    return clean_overrides(raw)
 
 
 def clean_overrides(raw: DataFrame) -> DataFrame:
@@ -135,11 +175,15 @@ SAVED_SCHEMA = "signature string, field string, header string"
 
 
 def read_saved_mappings(spark: SparkSession, path: str) -> DataFrame:
-    """Confirmed mappings as (signature, field, header); absent or unreadable gives none."""
+    """Confirmed mappings as (signature, field, header); absent or unreadable gives none.
+
+    The current version where the folder has versions (``sinks.save_mappings``), else its files.
+    """
+    schema = SAVED_SCHEMA + ", saved_at timestamp"
     try:
-        return spark.read.schema(SAVED_SCHEMA + ", saved_at timestamp").json(path)
+        return spark.read.schema(schema).json(versions.current_folder(spark, path) or path)
     except AnalysisException:
-        return spark.createDataFrame([], SAVED_SCHEMA + ", saved_at timestamp")
+        return spark.createDataFrame([], schema)
 
 
 def read_saved_mapping_file(spark: SparkSession, path: str) -> DataFrame:

@@ -5,11 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleswright.config import TEMPLATE_FIELDS, TEMPLATE_TITLE, Ledger
+from saleswright.operators.keys import with_key_faults
 from saleswright.scale import settled
+from saleswright.sources import versions
 
 
 def create_ledger(spark: SparkSession, table: str, ledger: Ledger) -> None:
@@ -36,6 +39,26 @@ def read_ledger_files(spark: SparkSession, path: str, ledger: Ledger) -> DataFra
     return spark.read.schema(ledger.schema).parquet(path)
 
 
+def append_checked(
+    df: DataFrame, path: str, quarantine: str, ledger: Ledger, key: str = "transaction_id"
+) -> None:
+    """Append the rows with good keys to a Parquet ledger, and the others to a quarantine table.
+
+    The quarantine has the ledger's columns and ``key_fault`` (see ``operators.keys``).
+    """
+    spark = df.sparkSession
+    try:
+        held = read_ledger_files(spark, path, ledger)
+        held.limit(0).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        held = spark.createDataFrame([], ledger.schema)
+    checked = settled(with_key_faults(df.select(*ledger.names), held, key))
+    append_ledger_files(checked.filter("key_fault IS NULL"), path, ledger)
+    checked.filter("key_fault IS NOT NULL").write.mode("append").parquet(quarantine)
+
+
 def replace_table(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
 
@@ -82,10 +105,35 @@ def write_conversion(records: DataFrame, files: DataFrame, path: str) -> None:
     template_banner(files).write.mode("overwrite").parquet(f"{path}/banner")
 
 
+def _filled(rows: DataFrame) -> DataFrame:
+    """All values as text; missing ones are empty."""
+    return rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in rows.columns])
+
+
+def append_profile_table(rows: DataFrame, path: str) -> None:
+    """Append profile rows of any variant to one mapping table; columns meet by name."""
+    _filled(rows).write.mode("append").parquet(path)
+
+
+def read_profile_table(spark: SparkSession, path: str) -> DataFrame:
+    """All profile rows with the columns of all variants; those a variant lacks are empty."""
+    return _filled(spark.read.option("mergeSchema", True).parquet(path))
+
+
 def append_profile(rows: DataFrame, path: str) -> None:
-    """Append profile rows to the mapping table; missing values are empty text."""
-    filled = rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-                           for c in rows.columns])
+    """Append profile rows to a CSV folder of one variant.
+
+    CSV columns meet by place, so rows with other columns than the folder has are refused;
+    ``append_profile_table`` takes all variants.
+    """
+    spark = rows.sparkSession
+    try:
+        held = spark.read.option("header", True).option("escape", '"').csv(path).columns
+    except AnalysisException:
+        held = rows.columns
+    if held and held != rows.columns:
+        raise ValueError(f"{path} has the columns {held}")
+    filled = _filled(rows)
     filled.write.mode("append").option("header", True).option("escape", '"').csv(path)
 
 
@@ -107,6 +155,6 @@ def newest_mappings(old: DataFrame, new: DataFrame) -> DataFrame:
 def save_mappings(old: DataFrame, new: DataFrame, path: str) -> None:
     """Replace the saved mappings by the newest version of each signature.
 
-    The result is computed before the path it may have been read from is replaced.
+    A version is written beside the one it may be made from, and then becomes the current one.
     """
-    settled(newest_mappings(old, new)).write.mode("overwrite").json(path)
+    versions.replace(newest_mappings(old, new), path, "json")

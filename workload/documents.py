@@ -73,6 +73,27 @@ ALL["product_changes"] = (
  UNION ALL SELECT product_key, 0, 1 FROM gained) x GROUP BY product_key"""),
 )
 
+
+
+def sku_change_log(spark, sf):
+    """The same log without pairs: a row for each key that a product lost or gained."""
+    return sn.change_log(_records(spark, sf, OLD), _records(spark, sf, NEW))
+
+
+ALL["sku_change_log"] = (
+    sku_change_log,
+    in_duckdb(f"""{_SIDES},
+n_lost AS (SELECT product_key AS p, count(*) AS lost_keys FROM lost GROUP BY product_key),
+n_gained AS (SELECT product_key AS p, count(*) AS gained_keys FROM gained GROUP BY product_key),
+classes AS (SELECT n_lost.p, lost_keys, gained_keys FROM n_lost JOIN n_gained ON n_lost.p IS NOT DISTINCT FROM n_gained.p)
+SELECT product_key, key, 'new' AS change_type, '' AS old_sku_key, '' AS new_sku_key, '' AS note, CAST(NULL AS BIGINT) AS lost_keys, CAST(NULL AS BIGINT) AS gained_keys FROM new
+ WHERE key NOT IN (SELECT key FROM old) AND key NOT IN (SELECT superseded_by FROM new WHERE superseded_by <> '') UNION ALL
+SELECT product_key, key, 'removed', '', '', '', NULL, NULL FROM old WHERE key NOT IN (SELECT key FROM new) UNION ALL
+SELECT product_key, key, 'change', key, superseded_by, 'superseded', NULL, NULL FROM new WHERE superseded_by <> '' UNION ALL
+SELECT product_key, key, 'lost', key, '', '', lost_keys, gained_keys FROM lost JOIN classes ON product_key IS NOT DISTINCT FROM p UNION ALL
+SELECT product_key, key, 'gained', '', key, '', lost_keys, gained_keys FROM gained JOIN classes ON product_key IS NOT DISTINCT FROM p"""),
+)
+
 # -- nested documents: customers, their orders' priorities, their orders ------------
 
 _D = "(SELECT *, CAST(o_orderdate AS DATE) AS d FROM {orders}) o"

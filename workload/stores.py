@@ -8,6 +8,7 @@ from saleswright.config import BASE_LEDGER
 from saleswright.functions.text import file_stem
 from saleswright.operators import customers as cu
 from saleswright.operators import documents as docs
+from saleswright.operators import snapshots as sn
 from saleswright.plans.template_run import with_contractor
 from saleswright.scale import scratch_path
 from saleswright.sources import files, sinks
@@ -125,6 +126,75 @@ ALL["source_snapshot"] = (
 )
 
 
+# All line items in the order in which a snapshot lists them; a key is listed many times.
+_LISTED = f"SELECT key, product_key, superseded_by, pos FROM ({documents._snapshot('TRUE')}) x"
+_ORDER = "pos, key, coalesce(superseded_by, '')"
+
+
+def _record_texts(rows):
+    """JSON texts with braces and quotes inside of values, in order."""
+    odd = F.lit('a "quoted" } brace { and [ a \\ in "')
+    return F.to_json(F.struct("key", "product_key", "superseded_by", odd.alias("note"), F.struct(F.lit(1).alias("n")).alias("more")))
+
+
+def source_envelope(spark, sf):
+    """One JSON document in one file without a line break, its records in order."""
+    def write(path):
+        rows = in_spark(spark, sf, f"SELECT *, coalesce(superseded_by, '') AS last FROM ({_LISTED}) y")
+        first = v.table(spark, sf, "region").limit(1).select(F.lit('{"version":{"n":1,"tags":["a}","{"]},"skipped":[{"key":"no","list":[{"k":1}]}],"data":[').alias("value"), F.lit(0).alias("at"), F.lit(0).alias("pos"), F.lit("").alias("key"), F.lit("").alias("last"))
+        last = first.withColumn("value", F.lit('{"key":"end"}],"more":[{"key":"no"}],"total":{"n":5}}')).withColumn("at", F.lit(2))
+        texts = rows.select(F.concat(_record_texts(rows), F.lit(",")).alias("value"), F.lit(1).alias("at"), "pos", "key", "last")
+        lines = first.unionByName(texts).unionByName(last).orderBy("at", "pos", "key", "last").select("value")
+        lines.coalesce(1).write.option("lineSep", " ").text(path)
+
+    path = v.landed_path(spark, sf, "envelope", write)
+    return files.read_snapshot(spark, path)
+
+
+ALL["source_envelope"] = (
+    source_envelope,
+    in_duckdb(f"""SELECT row_number() OVER (ORDER BY {_ORDER}) + 1 AS pos, key, product_key, superseded_by FROM ({_LISTED}) x
+ UNION ALL SELECT (SELECT count(*) FROM ({_LISTED}) n) + 2, 'end', NULL, NULL"""),
+)
+
+
+def _many_files(spark, sf, name, text, per_file, kind):
+    """Rows dealt to files by ``pos``: a folder for each stretch, named so that names sort."""
+    def write(path):
+        rows = in_spark(spark, sf, text).withColumn("part", F.lpad(F.floor(F.col("pos") / per_file).cast("string"), 9, "0"))
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ordered = rows.repartition(parts, "part").sortWithinPartitions("part", "pos", "key", F.coalesce("superseded_by", F.lit("")))
+        ordered.drop("pos").write.partitionBy("part").option("header", True).format(kind).save(path)
+
+    return v.landed_path(spark, sf, name, write)
+
+
+def snapshot_line_order(spark, sf):
+    """Many files of lines repeat the keys; the last line of a key wins."""
+    path = _many_files(spark, sf, "snapshot-lines", _LISTED, 50_000, "json")
+    return sn.latest_by_key(files.read_snapshot_lines(spark, path))
+
+
+ALL["snapshot_line_order"] = (
+    snapshot_line_order,
+    in_duckdb(f"""SELECT key, product_key, superseded_by FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY pos DESC, coalesce(superseded_by, '') DESC) AS r FROM ({_LISTED}) x) y WHERE r = 1"""),
+)
+_OVERRIDES = f"""SELECT 'Dist_' || {s('o_custkey % 500')} || '.csv' AS filename, o_orderpriority || {s('o_orderkey')} AS contractor,
+ o_orderkey AS pos, '' AS key, '' AS superseded_by FROM {{orders}}"""
+
+
+def overrides_file_order(spark, sf):
+    """Many override files repeat the names; the last listed wins."""
+    path = _many_files(spark, sf, "overrides", _OVERRIDES, 5_000, "csv")
+    return files.read_overrides(spark, path).select("file_key", "contractor", "wholesaler_name")
+
+
+ALL["overrides_file_order"] = (
+    overrides_file_order,
+    in_duckdb(f"""SELECT lower(filename) AS file_key, arg_max(contractor, pos) AS contractor, '' AS wholesaler_name FROM ({_OVERRIDES}) x GROUP BY filename"""),
+)
+
+
 def source_documents(spark, sf):
     path = scratch_path(spark, "documents")
     sinks.write_documents(docs.nest_transactions(v.raw_table(spark, sf, documents.FLAT)), path)
@@ -154,6 +224,55 @@ ALL["sink_ledger"] = (
 )
 
 
+_BATCH = f"""SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN 'dup' || {s('o_orderkey % 5')}
+ ELSE 'k' || {s('o_orderkey')} END AS transaction_id FROM {{orders}}"""
+
+
+def sink_checked_ledger(spark, sf):
+    """A third of the orders, then all of them with missing and repeated keys among them."""
+    path, quarantine = scratch_path(spark, "ledger"), scratch_path(spark, "quarantine")
+
+    def batch(text):
+        rows = in_spark(spark, sf, text).withColumn("row_id", F.col("row_id").cast("int"))
+        others = {n: F.lit(None).cast(BASE_LEDGER.schema[n].dataType) for n in BASE_LEDGER.names if n not in rows.columns}
+        return rows.withColumns(others)
+
+    first = f"SELECT o_orderkey AS row_id, 'k' || {s('o_orderkey')} AS transaction_id FROM {{orders}} WHERE o_orderkey % 3 = 0"
+    for text in (first, _BATCH):
+        sinks.append_checked(batch(text), path, quarantine, BASE_LEDGER)
+    kept = sinks.read_ledger_files(spark, path, BASE_LEDGER).withColumn("key_fault", F.lit(""))
+    names = ["row_id", "transaction_id", "key_fault"]
+    return kept.select(names).unionByName(spark.read.parquet(quarantine).select(names))
+
+
+ALL["sink_checked_ledger"] = (
+    sink_checked_ledger,
+    in_duckdb(f"""SELECT CAST(o_orderkey AS INT) AS row_id, 'k' || {s('o_orderkey')} AS transaction_id, '' AS key_fault FROM {{orders}} WHERE o_orderkey % 3 = 0 UNION ALL
+SELECT CAST(row_id AS INT), transaction_id, CASE WHEN transaction_id IS NULL THEN 'missing key' WHEN count(*) OVER (PARTITION BY transaction_id) > 1 THEN 'repeated key'
+ WHEN row_id % 3 = 0 AND transaction_id LIKE 'k%' THEN 'known key' ELSE '' END FROM ({_BATCH}) b"""),
+)
+
+
+def sink_profiles(spark, sf):
+    """Profiles of both variants in one mapping table; their columns meet by name."""
+    path = scratch_path(spark, "profiles")
+    sinks.append_profile_table(sheets.profile_base(spark, sf), path)
+    credit = sheets.profile_credit(spark, sf)
+    sinks.append_profile_table(credit.withColumn("material_group_number", F.lit("g")), path)
+    return sinks.read_profile_table(spark, path)
+
+
+def _profile_text(query, group):
+    names = ", ".join(f"coalesce({c}, '') AS {c}" for c in sheets._PROFILE_COLUMNS)
+    return f"SELECT {names}, '{group}' AS material_group_number FROM ({query}) p{group}"
+
+
+ALL["sink_profiles"] = (
+    sink_profiles,
+    _profile_text(sheets.ALL["profile_files_base"][1], "") + " UNION ALL " + _profile_text(sheets.ALL["profile_files_credit"][1], "g"),
+)
+
+
 def sink_saved_mappings(spark, sf):
     """Mappings of every part brand and type, then new ones for some sizes."""
     path = scratch_path(spark, "mappings")

@@ -160,13 +160,18 @@ FROM (SELECT s_suppkey AS s, s_name FROM {{supplier}}) i WHERE s % 3 <> 2
 _LANDED: dict[tuple[str, str, str], str] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
+def landed_path(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """The folder of files that ``write`` leaves, once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = scratch_path(spark, name)
         write(path)
         _LANDED[key] = path
-    return spark.read.parquet(_LANDED[key])
+    return _LANDED[key]
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
+    return spark.read.parquet(landed_path(spark, sf_dir, name, write))
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, text: str, in_order: bool = True) -> DataFrame:
