@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from saleswright.config import CATEGORY_KEYWORDS, EXCLUSION_TERMS
-from saleswright.operators import audits
+from saleswright.config import CATEGORY_KEYWORDS, EXCLUSION_TERMS, FLAG_COLUMNS
+from saleswright.operators import audits, reports
 from saleswright.sources.files import pasted_counts
 from workload import views as v
 from workload.views import in_duckdb, in_spark, money, s
@@ -34,9 +34,25 @@ def category_discrepancies(spark, sf):
     )
 
 
+# The flags of the report that the view lacks, from the keys.
+_FLAGS = [f for f in FLAG_COLUMNS if f not in ("pipe", "fittings", "exclude")]
+_FLAG_SQL = ", ".join(f"CASE WHEN l_partkey % {i + 2} = 0 THEN 'Y' ELSE '' END AS {f}" for i, f in enumerate(_FLAGS))
+_REPORT = f"SELECT t.*, {_FLAG_SQL} FROM ({TRANSACTIONS}) t"
+_REPORT_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "item_description"]
+
+
+def category_report(spark, sf):
+    """The discrepancies with all flag columns beside them, in order."""
+    found = audits.category_discrepancies(v.raw_table(spark, sf, _REPORT))
+    rows = found.select(*_REPORT_ORDER, "keywords_found", "final_category", *FLAG_COLUMNS, "discrepancy_type")
+    return reports.in_order(rows, [F.col(c) for c in _REPORT_ORDER])
+
+
 _KEYWORDS = ", ".join(f"('{w}', '{c}', {p})" for w, c, p in CATEGORY_KEYWORDS)
-CATEGORY = f"""WITH k(keyword, category, priority) AS (VALUES {_KEYWORDS}), t AS (SELECT *, row_number() OVER () AS rid FROM ({TRANSACTIONS}) x),
-found AS (SELECT rid, l_orderkey, l_partkey, l_suppkey, l_linenumber, item_description, pipe, fittings,
+
+def _category_sql(rows, flags):
+    return f"""WITH k(keyword, category, priority) AS (VALUES {_KEYWORDS}), t AS (SELECT *, row_number() OVER () AS rid FROM ({rows}) x),
+found AS (SELECT rid, l_orderkey, l_partkey, l_suppkey, l_linenumber, item_description, {flags},
  string_agg(keyword, ', ' ORDER BY keyword) AS keywords_found, max(priority) AS highest_priority,
  first(category ORDER BY priority DESC, position(keyword IN lower(item_description)), keyword) AS final_category
  FROM t JOIN k ON position(keyword IN lower(item_description)) > 0 GROUP BY ALL)
@@ -46,6 +62,9 @@ SELECT * EXCLUDE (rid) FROM (SELECT *, CASE
  END AS discrepancy_type FROM found) x WHERE discrepancy_type IS NOT NULL"""
 
 
+CATEGORY = _category_sql(TRANSACTIONS, "pipe, fittings")
+
+
 def exclusion_report(spark, sf):
     return audits.exclusion_report(transactions(spark, sf))
 
@@ -110,7 +129,30 @@ FROM {{customer}} LEFT JOIN (SELECT o_custkey, count(*) FILTER (o_orderkey % 5 <
  CAST(sum(CASE WHEN o_orderkey % 5 IN (0, 3, 4) THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS total
  FROM {{orders}} GROUP BY o_custkey) o ON c_custkey = o_custkey"""
 
+# Some stores have an empty first sheet, some have no sheet with a row, and some files are unreadable.
+STORE_SHEETS = """SELECT 'store_' || CAST(c_custkey AS STRING) || '.xlsx' AS file_name, 'Front' AS sheet_name, -1 AS sheet_ordinal FROM {customer} WHERE c_custkey % 13 = 5
+ UNION ALL SELECT 'empty_' || CAST(c_custkey AS STRING) || '.xlsx', 'Sheet1', 0 FROM {customer} WHERE c_custkey % 17 = 3
+ UNION ALL SELECT 'samples_' || CAST(c_custkey AS STRING) || '.xlsx', 'Sample', 0 FROM {customer} WHERE c_custkey % 17 = 4"""
+BROKEN = "SELECT 'broken_' || CAST(c_custkey AS STRING) || '.xlsx' AS file_name FROM {customer} WHERE c_custkey % 19 = 2"
+
+
+def file_totals_inventory(spark, sf):
+    return audits.file_totals(
+        v.landed(spark, sf, "totals_grid", TOTALS_GRID), unreadable=in_spark(spark, sf, BROKEN), sheets=in_spark(spark, sf, STORE_SHEETS)
+    )
+
+
+INVENTORY_TOTALS = f"""SELECT file_name, CASE WHEN k % 13 = 5 THEN 0 ELSE transaction_count END AS transaction_count,
+ CASE WHEN k % 13 = 5 THEN 0.0 ELSE sales_total END AS sales_total FROM (SELECT *, CAST(regexp_extract(file_name, '[0-9]+') AS BIGINT) AS k FROM ({FILE_TOTALS}) f) g
+ UNION ALL SELECT DISTINCT chr(39) || file_name, 0, 0.0 FROM ({STORE_SHEETS}) e WHERE file_name NOT LIKE 'store%'
+ UNION ALL SELECT chr(39) || file_name, NULL, NULL FROM ({BROKEN}) b"""
+CATEGORY_REPORT = _category_sql(_REPORT, ', '.join(FLAG_COLUMNS))
+CATEGORY_REPORT = f"""SELECT row_number() OVER (ORDER BY {', '.join(_REPORT_ORDER)}) AS row_number, {', '.join(_REPORT_ORDER)}, keywords_found, final_category,
+ {', '.join(FLAG_COLUMNS)}, discrepancy_type FROM ({CATEGORY_REPORT}) c"""
+
 ALL = {
+    "category_report": (category_report, in_duckdb(CATEGORY_REPORT)),
+    "file_totals_inventory": (file_totals_inventory, in_duckdb(INVENTORY_TOTALS)),
     "category_discrepancies": (category_discrepancies, in_duckdb(CATEGORY)),
     "exclusion_report": (exclusion_report, in_duckdb(EXCLUSIONS)),
     "reconcile_counts": (_reconciled, in_duckdb(RECONCILED + " SELECT * FROM result")),

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 from saleswright.operators import documents as docs
 from saleswright.operators import exports as ex
 from saleswright.operators import snapshots as sn
-from saleswright.sources.records import tabulate, unpack_envelope
+from saleswright.scale import PAGE_ROWS
+from saleswright.sources.records import (
+    cell_columns,
+    cell_rows,
+    record_cells,
+    tabulate,
+    unpack_envelope,
+)
 from workload import views as v
 from workload.views import in_duckdb, in_spark, money, s
 
@@ -104,8 +111,8 @@ FLAT = f"""SELECT o_orderkey AS row_idx, 'cust-' || {s('o_custkey')} AS particip
  CASE WHEN o_orderkey % 4 > 0 THEN 'seller-' || {s('o_orderkey % 4')} END AS seller_key FROM {_D}"""
 
 
-def nest_transactions(spark, sf):
-    nested = docs.nest_transactions(v.raw_table(spark, sf, FLAT))
+def nest_transactions(spark, sf, page_rows=PAGE_ROWS):
+    nested = docs.nest_transactions(v.raw_table(spark, sf, FLAT), page_rows=page_rows)
     entity = F.explode("entities").alias("e")
     return nested.select("participant_key", "part_no", entity).select(
         "participant_key", "part_no", F.col("e.id").alias("entity_id"),
@@ -120,12 +127,24 @@ _JSON = f"""'{{{{"transaction_id":"' || transaction_id || '","transaction_type":
  || CASE WHEN purchaser_id <> '' THEN ',"purchaser":{{{{"id":"' || purchaser_id || '"}}}}' ELSE '' END
  || CASE WHEN seller_key <> '' THEN ',"seller":{{{{"key":"' || seller_key || '"}}}}' ELSE '' END || '}}}}'""".replace("{{", "{").replace("}}", "}")
 _FLAT_D = FLAT.replace("AS seller_key FROM", "AS seller_key, d FROM")
+
+
+def _page(key, page_rows):
+    """The page of a row among the rows of its key."""
+    return f"(row_number() OVER (PARTITION BY {key} ORDER BY row_idx) - 1) // {page_rows} AS part_no"
+
+
+def _nested_sql(page_rows):
+    return in_duckdb(f"""SELECT participant_key, part_no, entity_id, CAST(count(*) AS INT) AS n,
+ string_agg(transaction_id, ',' ORDER BY row_idx) AS ids, first(j ORDER BY row_idx) AS first_transaction
+ FROM (SELECT *, {_JSON} AS j, {_page('participant_key', page_rows)} FROM ({_FLAT_D}) f) t GROUP BY participant_key, part_no, entity_id""")
+
+
 ALL["nest_transactions"] = (
     nest_transactions,
-    in_duckdb(f"""SELECT participant_key, CAST(0 AS BIGINT) AS part_no, entity_id, CAST(count(*) AS INT) AS n,
- string_agg(transaction_id, ',' ORDER BY row_idx) AS ids, first(j ORDER BY row_idx) AS first_transaction
- FROM (SELECT *, {_JSON} AS j FROM ({_FLAT_D}) f) t GROUP BY participant_key, entity_id"""),
+    _nested_sql(PAGE_ROWS),
 )
+ALL["nest_transactions_paged"] = (lambda spark, sf: nest_transactions(spark, sf, 4), _nested_sql(4))
 
 
 def flatten_transactions(spark, sf):
@@ -175,8 +194,8 @@ def export_fields(spark, sf):
 ALL["export_fields"] = (export_fields, in_duckdb(f"SELECT * FROM {_CLEAN} c"))
 
 
-def export_request_text(spark, sf):
-    return ex.request_text(ex.pending_rows(v.raw_table(spark, sf, EXPORT)))
+def export_request_text(spark, sf, page_rows=PAGE_ROWS):
+    return ex.request_text(ex.pending_rows(v.raw_table(spark, sf, EXPORT)), page_rows)
 
 
 def _num(x):
@@ -192,17 +211,21 @@ _BLOCK = f"""'        {{' || {_NL} || '{_PAD}"transaction_id": "' || transaction
  || '{_PAD}"purchaser": {{' || {_NL} || '{_PAD}    "id": "' || purchaser_id || '"' || {_NL} || '{_PAD}}}' || {_NL}
  || '{_PAD}"expected_incentives": ' || CASE WHEN offer_key <> '' AND earnings > 0 THEN '[' || {_NL} || '{" " * 20}{{' || {_NL}
  || '{" " * 24}"' || offer_key || '": ' || {_num('earnings')} || {_NL} || '{" " * 20}}}' || {_NL} || '{" " * 16}]' ELSE '[]' END || {_NL} || '        }}'"""
-ALL["export_request_text"] = (
-    export_request_text,
-    in_duckdb(f"""SELECT request_id, CAST(0 AS BIGINT) AS part_no, min(row_idx) AS first_row, first(participant_key ORDER BY row_idx) AS participant_key,
+
+
+def _request_sql(page_rows):
+    return in_duckdb(f"""SELECT request_id, part_no, min(row_idx) AS first_row, first(participant_key ORDER BY row_idx) AS participant_key,
  '{{' || {_NL} || '    "request_id": "' || request_id || '"' || {_NL} || '    "participant_key": "' || first(participant_key ORDER BY row_idx) || '"' || {_NL}
  || '    "transactions": [' || {_NL} || string_agg({_BLOCK}, {_NL} ORDER BY row_idx) || {_NL} || '    ]' || {_NL} || '}}' AS block
- FROM {_CLEAN} c GROUP BY request_id""".replace("{{", "{").replace("}}", "}")),
-)
+ FROM (SELECT *, {_page('request_id', page_rows)} FROM {_CLEAN} c) p GROUP BY request_id, part_no""".replace("{{", "{").replace("}}", "}"))
+
+
+ALL["export_request_text"] = (export_request_text, _request_sql(PAGE_ROWS))
+ALL["export_request_text_paged"] = (lambda spark, sf: export_request_text(spark, sf, 3), _request_sql(3))
 
 
-def export_documents(spark, sf):
-    made = ex.request_documents(ex.pending_rows(v.raw_table(spark, sf, EXPORT)))
+def export_documents(spark, sf, page_rows=PAGE_ROWS):
+    made = ex.request_documents(ex.pending_rows(v.raw_table(spark, sf, EXPORT)), page_rows)
     rows = made.select("participant_key", "request_id", "part_no", F.explode(F.col("entities")[0]["transactions"]).alias("t"))
     return rows.select(
         "participant_key", "request_id", "part_no", "t.transaction_id", "t.quantity", "t.amount",
@@ -210,12 +233,16 @@ def export_documents(spark, sf):
     )
 
 
-ALL["export_documents"] = (
-    export_documents,
-    in_duckdb(f"""SELECT (SELECT first(participant_key ORDER BY row_idx) FROM {_CLEAN} a) AS participant_key,
- (SELECT first(request_id ORDER BY row_idx) FROM {_CLEAN} b) AS request_id, CAST(0 AS BIGINT) AS part_no,
- transaction_id, quantity, amount, invoice_date, purchaser_id FROM {_CLEAN} c"""),
-)
+
+
+def _documents_sql(page_rows):
+    return in_duckdb(f"""SELECT (SELECT first(participant_key ORDER BY row_idx) FROM {_CLEAN} a) AS participant_key,
+ (SELECT first(request_id ORDER BY row_idx) FROM {_CLEAN} b) AS request_id, (row_number() OVER (ORDER BY row_idx) - 1) // {page_rows} AS part_no,
+ transaction_id, quantity, amount, invoice_date, purchaser_id FROM {_CLEAN} c""")
+
+
+ALL["export_documents"] = (export_documents, _documents_sql(PAGE_ROWS))
+ALL["export_documents_paged"] = (lambda spark, sf: export_documents(spark, sf, 100), _documents_sql(100))
 ALL["count_requests"] = (
     lambda spark, sf: ex.count_requests(ex.pending_rows(v.raw_table(spark, sf, EXPORT))),
     in_duckdb(f"SELECT count(DISTINCT request_id) AS n_requests FROM {_CLEAN} c"),
@@ -268,3 +295,37 @@ ALL["tabulate_records"] = (
  CASE WHEN event_id % 4 = 2 THEN event_type ELSE '' END AS kind, CASE WHEN event_id % 4 = 2 THEN '[1,2]' ELSE '' END AS list FROM {events}
  UNION ALL SELECT event_id, '', 'TRUE', '', '' FROM {events} WHERE event_id % 4 = 0"""),
 )
+
+WRITTEN = """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '{"items":[{"z":' || @I || '.0,"a":' || @K || 'e3,"o":{"b":[1,2.50,"x"],"a":null}},{"s":"q","t":false}]}'
+ WHEN event_id % 3 = 1 THEN '[{"n":-' || @I || ',"b":true,"e":null,"deep":[{"y":' || @K || '.5,"x":{}}]}, 5]' ELSE '{"kind":"' || event_type || '","big":12345678901234567890}' END AS payload FROM {events}"""
+WRITTEN = WRITTEN.replace("{", "{{").replace("}", "}}").replace("{{events}}", "{events}").replace("@I", s("event_id")).replace("@K", s("1 + event_id % 7"))
+
+
+def record_texts(spark, sf):
+    """Names and texts of records as data, as they were written."""
+    return cell_rows(record_cells(v.raw_table(spark, sf, WRITTEN), "payload"), ["event_id"])
+
+
+def record_columns(spark, sf):
+    """Some names as columns."""
+    return cell_columns(record_cells(v.raw_table(spark, sf, WRITTEN), "payload"), ["z", "kind", "none"], ["event_id"])
+
+
+_I, _K = "CAST(event_id AS VARCHAR)", "CAST(1 + event_id % 7 AS VARCHAR)"
+_CELLS = [
+    (0, 0, "z", f"{_I} || '.0'"), (0, 0, "a", f"{_K} || '000.0'"), (0, 0, "o", """'{"b": [1, 2.5, "x"], "a": null}'"""),
+    (0, 1, "s", "'q'"), (0, 1, "t", "'FALSE'"), (1, 0, "n", f"CASE WHEN event_id = 0 THEN '0' ELSE '-' || {_I} END"),
+    (1, 0, "b", "'TRUE'"), (1, 0, "e", "''"), (1, 0, "deep", f"""'[{{{{"y": ' || {_K} || '.5, "x": {{{{}}}}}}}}]'"""),
+    (2, 0, "kind", "event_type"), (2, 0, "big", "'12345678901234567890'"),
+]
+ALL["record_texts"] = (
+    record_texts,
+    " UNION ALL ".join(
+        f"SELECT event_id, {no} AS record_no, '{name}' AS name, {text} AS text FROM events WHERE event_id % 3 = {kind}" for kind, no, name, text in _CELLS
+    ).replace("{{", "{").replace("}}", "}"),
+)
+ALL["record_columns"] = (
+    record_columns,
+    f"""SELECT event_id, no AS record_no, CASE WHEN event_id % 3 = 0 AND no = 0 THEN {_I} || '.0' ELSE '' END AS z,
+ CASE WHEN event_id % 3 = 2 THEN event_type ELSE '' END AS kind, '' AS none FROM events JOIN (SELECT unnest([0, 1]) AS no) n ON no = 0 OR event_id % 3 < 2""",
+)

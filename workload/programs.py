@@ -108,10 +108,13 @@ _BASE = f"""WITH sc AS ({SCENARIOS}), fr AS ({FRAMES}), tx AS (SELECT *, TRY_CAS
  TRY_CAST(nullif(date, '') AS DATE) AS d, sku IN ('F-1','O-2','P-3','F-4','O-5') AS q,
  CASE WHEN CAST(substr(scenario_id, 2) AS INT) % 2 = 0 THEN sku IN ('F-1','P-3') ELSE sku IN ('O-2','O-5') END AS e FROM ({SALES}) t),
 """
-RESULTS = f"""{_BASE} sums AS (SELECT scenario_id, test_id, coalesce(CAST(sum(amt) FILTER (q AND d BETWEEN DATE '1999-01-01' AND DATE '1999-12-31') AS DOUBLE), 0.0) AS cur,
+# Every customer is a test, with an order or not, and one in ten has another test without a sale.
+TESTS = f"""SELECT 'S' || {s('c_nationkey')} AS scenario_id, {s('c_custkey')} AS test_id FROM {{customer}}
+ UNION ALL SELECT 'S' || {s('c_nationkey')}, 'none-' || {s('c_custkey')} FROM {{customer}} WHERE c_custkey % 10 = 0"""
+RESULTS = f"""{_BASE} tests AS ({TESTS}), sums AS (SELECT scenario_id, test_id, coalesce(CAST(sum(amt) FILTER (q AND d BETWEEN DATE '1999-01-01' AND DATE '1999-12-31') AS DOUBLE), 0.0) AS cur,
  coalesce(CAST(sum(amt) FILTER (q AND d BETWEEN DATE '1998-01-01' AND DATE '1998-12-31') AS DOUBLE), 0.0) AS base,
  coalesce(CAST(sum(amt) FILTER (e AND d BETWEEN DATE '1999-01-01' AND DATE '1999-12-31') AS DOUBLE), 0.0) AS cur_e,
- coalesce(CAST(sum(amt) FILTER (e) AS DOUBLE), 0.0) AS all_e, count(*) FILTER (q) AS nq, count(*) FILTER (e) AS ne FROM tx GROUP BY scenario_id, test_id),
+ coalesce(CAST(sum(amt) FILTER (e) AS DOUBLE), 0.0) AS all_e, count(*) FILTER (q) AS nq, count(*) FILTER (e) AS ne FROM tests LEFT JOIN tx USING (scenario_id, test_id) GROUP BY scenario_id, test_id),
 r AS (SELECT sums.*, test_type, CASE WHEN base > 0 THEN cur / base * 100 ELSE 0.0 END AS pct,
  CASE WHEN target_percent IN ('', '0') THEN 95.0 ELSE CAST(replace(target_percent, '%', '') AS DOUBLE) END AS target,
  CASE WHEN earning_percent = 'x' THEN 0.0 ELSE 1.25 END AS rate FROM sums JOIN sc USING (scenario_id)),
@@ -123,9 +126,7 @@ results AS (SELECT scenario_id, test_id, test_type, test_type <> 'yoy' OR pct >=
 
 
 def _inputs(spark, sf):
-    # Every customer is a test, with an order or not.
-    tests = f"SELECT 'S' || {s('c_nationkey')} AS scenario_id, {s('c_custkey')} AS test_id FROM {{customer}}"
-    return tuple(in_spark(spark, sf, t) for t in (SCENARIOS, FRAMES, SALES, tests))
+    return tuple(in_spark(spark, sf, t) for t in (SCENARIOS, FRAMES, SALES, TESTS))
 
 
 def _qualified(kind):
@@ -144,9 +145,10 @@ ALL["qualification_tally"] = (
 )
 ALL["frame_totals"] = (
     lambda spark, sf: qu.frame_totals(*_inputs(spark, sf)),
-    in_duckdb(f"""{_BASE} x AS (SELECT 1) SELECT t.scenario_id, test_id, ordinal, label, is_current,
+    in_duckdb(f"""{_BASE} tests AS ({TESTS}) SELECT t.scenario_id, t.test_id, ordinal, label, is_current,
  coalesce(CAST(sum(amt) FILTER (q AND d BETWEEN CAST(start_date AS DATE) AND CAST(end_date AS DATE)) AS DOUBLE), 0.0) AS total
- FROM tx t JOIN fr ON t.scenario_id = fr.scenario_id GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY t.scenario_id, test_id, ordinal, label, is_current")),
+ FROM tests t JOIN fr ON t.scenario_id = fr.scenario_id LEFT JOIN tx ON tx.scenario_id = t.scenario_id AND tx.test_id = t.test_id
+ GROUP BY t.scenario_id, t.test_id, ordinal, label, is_current"""),
 )
 
 # -- scenario text ------------------------------------------------------------------

@@ -86,6 +86,27 @@ ALL["choose_sheets"] = (
 )
 
 
+# Two of five files begin with a sheet without a row; a few files have nothing else.
+EMPTY_SHEETS = f"""SELECT {v.FILE} AS file_name, CASE WHEN s % 5 = 0 THEN 'Cover' ELSE 'Sales of old' END AS sheet_name, -1 AS sheet_ordinal FROM {SUPPLIERS} WHERE s % 5 < 2
+ UNION ALL SELECT 'none_' || {s('s')} || '.csv', 'Sample', 0 FROM {SUPPLIERS} WHERE s % 5 = 2"""
+
+
+def choose_sheets_inventory(spark, sf):
+    sheets = settled(gr.sheet_list(v.grid(spark, sf), in_spark(spark, sf, EMPTY_SHEETS)))
+    usable = gr.first_usable_sheet(sheets).withColumnRenamed("sheet_name", "usable_sheet")
+    return gr.choose_sheet(sheets, "REPORTED SALES DATA").join(usable, "file_name")
+
+
+_FIRST = "CASE WHEN s % 5 = 0 THEN 'Cover' ELSE 'Sales of old' END"
+ALL["choose_sheets_inventory"] = (
+    choose_sheets_inventory,
+    in_duckdb(f"""SELECT {v.FILE} AS file_name, CASE WHEN s % 3 = 0 THEN {v.SHEET} WHEN s % 5 = 1 THEN 'Sales of old' WHEN s % 3 = 1 THEN {v.SHEET}
+ WHEN s % 5 = 0 THEN 'Cover' ELSE {v.SHEET} END AS sheet_name,
+ CASE WHEN s % 5 < 2 THEN {_FIRST} WHEN s % 3 = 1 THEN 'Notes' ELSE {v.SHEET} END AS usable_sheet FROM {SUPPLIERS}
+ UNION ALL SELECT 'none_' || {s('s')} || '.csv', 'Sample', NULL FROM {SUPPLIERS} WHERE s % 5 = 2"""),
+)
+
+
 def detect_header_density(spark, sf):
     found = densest_headers(row_density(v.grid(spark, sf)))
     return found.select("file_name", "sheet_name", "width", "header_row", F.array_join("headers", "|").alias("headers"))
