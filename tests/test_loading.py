@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from saleswright import config as cf
-from saleswright.operators import conditions, keys, projection, snapshots
+from saleswright.operators import conditions, keys, projection, reports, snapshots
 from saleswright.plans.payment_run import normalize_transactions
-from saleswright.sources import envelopes, files, sinks, versions
+from saleswright.sources import envelopes, files, records, sinks, versions
 
 
 def test_casts_are_found():
@@ -209,3 +209,35 @@ def test_log_without_pairs(spark):
     plan = snapshots.sku_changes(old, new)
     assert plan.count() == 29 + 40 + 30 + 1200
     log.unpersist()
+
+
+def test_record_texts_are_those_of_the_payload(spark):
+    payloads = [
+        '{"data":[{"z":10.0,"a":1e3,"n":12345678901234567890,"o":{"b":[1,2.50],"a":null},"s":"é\\ud800","t":true,"e":null}, 5, [1]]}',
+        '{"items":5,"k":-0.0}', "not json", None, "[]", '"text"', '[{"a":1,"a":2}]',
+    ]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(payloads)], "i int, payload string")
+    made = records.record_cells(df, "payload")
+    got = {(r["i"], r["record_no"]): r["cells"] for r in made.collect()}
+    assert got == {
+        (0, 0): {"z": "10.0", "a": "1000.0", "n": "12345678901234567890", "o": '{"b": [1, 2.5], "a": null}', "s": "é?", "t": "TRUE", "e": ""},
+        (0, 1): {}, (0, 2): {}, (1, 0): {"items": "5", "k": "-0.0"}, (6, 0): {"a": "2"}}
+    assert {r["name"]: r["records"] for r in records.cell_names(made).collect()}["a"] == 2
+    assert {tuple(r) for r in records.cell_columns(made, ["a", "k"], ["i"]).collect()} == {
+        (0, 0, "1000.0", ""), (0, 1, "", ""), (0, 2, "", ""), (1, 0, "", "-0.0"), (6, 0, "2", "")}
+    many = spark.range(3000).select(F.concat(F.lit('{"n'), "id", F.lit('":1}')).alias("payload"))
+    assert records.cell_names(records.record_cells(many, "payload")).count() == 3000
+    with pytest.raises(ValueError, match="names"):
+        records.tabulate(records.unpack_envelope(many, "payload"))
+
+
+def test_reports_are_in_order(spark, tmp_path):
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("a"), F.lit("x").alias("row_no")).repartition(5)
+    got = reports.in_order(rows, [F.col("a").desc()]).collect()
+    assert sorted((r["row_number"], r["a"]) for r in got) == [(i + 1, 999 - i) for i in range(1000)]
+    assert reports.in_order(rows.limit(0), [F.col("a")]).count() == 0
+    reports.write_in_order(rows, [F.col("a")], str(tmp_path / "r"))
+    lines = []
+    for name in sorted((tmp_path / "r").glob("*.csv")):
+        lines += name.read_text().split()[1:]
+    assert [int(line.split(",")[0]) for line in lines] == list(range(1000))

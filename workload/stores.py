@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
 from saleswright.config import BASE_LEDGER
@@ -9,12 +12,12 @@ from saleswright.functions.text import file_stem
 from saleswright.operators import customers as cu
 from saleswright.operators import documents as docs
 from saleswright.operators import snapshots as sn
-from saleswright.plans.template_run import with_contractor
-from saleswright.scale import scratch_path
+from saleswright.plans.template_run import template_records, with_contractor
+from saleswright.scale import scratch_path, settled
 from saleswright.sources import files, sinks
 from saleswright.sources.grids import read_delimited_grid
 from saleswright.streaming.folder_drop import ingest_drops
-from workload import documents, ledgers, sheets
+from workload import audits, documents, ledgers, sheets
 from workload import views as v
 from workload.views import in_duckdb, in_spark, money, s
 
@@ -290,6 +293,71 @@ ALL["sink_saved_mappings"] = (
 )
 
 
+def sink_reports(spark, sf):
+    """Flattened transactions as dated reports of two runs, which do not replace one another."""
+    path = scratch_path(spark, "reports")
+    flat = docs.flatten_transactions(docs.nest_transactions(v.raw_table(spark, sf, documents.FLAT)))
+    for day, run_id in ((1, "a"), (2, "b")):
+        sinks.write_dated_report(flat.filter(F.col("quantity").cast("double") % 2 == day % 2), path, dt.date(2024, 5, day), run_id)
+    rows = files.read_delimited(spark, path)
+    return rows.select(
+        "participant_key", "entity_id", "transaction_id", "invoice_date", F.col("amount").cast("double").alias("amount"), "run_id",
+        F.col("run_date").cast("string").alias("run_date"),
+    )
+
+
+ALL["sink_reports"] = (
+    sink_reports,
+    in_duckdb(f"""SELECT participant_key, entity_id, transaction_id, CAST(d AS VARCHAR) AS invoice_date, CAST(amount AS DOUBLE) AS amount,
+ CASE WHEN CAST(quantity AS INT) % 2 = 1 THEN 'a' ELSE 'b' END AS run_id, CASE WHEN CAST(quantity AS INT) % 2 = 1 THEN '2024-05-01' ELSE '2024-05-02' END AS run_date
+ FROM ({documents._FLAT_D}) f"""),
+)
+
+
+def sink_tables(spark, sf):
+    """File totals as a table, which a later run replaces."""
+    table = f"totals_{uuid.uuid4().hex}"
+    totals = settled(audits.file_totals(spark, sf))
+    sinks.replace_table(totals.filter("transaction_count > 3").withColumn("run", F.lit(1)), table)
+    sinks.replace_table(totals.withColumn("run", F.lit("second")), table)
+    return spark.table(table)
+
+
+ALL["sink_tables"] = (sink_tables, f"SELECT *, 'second' AS run FROM ({audits.ALL['file_totals'][1]}) t")
+
+
+def sink_conversion(spark, sf):
+    """Converted records and the lines above them as two tables, read back together."""
+    path = scratch_path(spark, "conversion")
+    found = settled(sheets._scan(spark, sf))
+    sinks.write_conversion(template_records(v.grid(spark, sf), found, computed=True), found, path)
+    banner = spark.read.parquet(f"{path}/banner")
+    return spark.read.parquet(f"{path}/records").join(banner, "file_name").drop("address")
+
+
+ALL["sink_conversion"] = (
+    sink_conversion,
+    f"""SELECT t.* EXCLUDE (row_idx), 'POS Transactional Detail Report' AS title, 'Submitted by: ' || CASE WHEN s % 5 = 3 THEN s_name ELSE '' END AS submitted_by,
+ CASE WHEN s % 5 = 3 THEN '2024-05-01' ELSE '' END AS report_date FROM ({sheets.ALL['convert_template'][1]}) t JOIN {in_duckdb(sheets.SUPPLIERS)} ON t.file_name = {in_duckdb(v.FILE)}""",
+)
+
+
+def source_mapping(spark, sf):
+    """Mapping rows with padded names, entities, and rows without any text."""
+    path = scratch_path(spark, "mapping")
+    rows = in_spark(spark, sf, f"""SELECT CASE WHEN s_suppkey % 5 = 0 THEN '  ' ELSE ' a &amp; ' || s_name || ' &lt;' || {s('s_suppkey')} || '&gt; ' END AS ` File name `,
+ CASE WHEN s_suppkey % 5 = 0 OR s_suppkey % 3 = 0 THEN NULL ELSE '"Q&eacute;ty"' END AS ship_quantity FROM {{supplier}}""")
+    rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return files.read_mapping(spark, path, decode_entities=True).withColumnRenamed("File name", "file_name")
+
+
+ALL["source_mapping"] = (
+    source_mapping,
+    in_duckdb(f"""SELECT 'a & ' || s_name || ' <' || {s('s_suppkey')} || '>' AS file_name, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE '"Qéty"' END AS ship_quantity
+ FROM {{supplier}} WHERE s_suppkey % 5 <> 0"""),
+)
+
+
 def stream_folder_drop(spark, sf):
     """Events land as files in two drops; each drop is cleaned and stored once."""
     folder, target, marks = (scratch_path(spark, n) for n in ("drop", "stored", "marks"))
