@@ -92,8 +92,12 @@ class ByteBpe:
             i = end[i]
         return np.array(ids, "<u4").tobytes()
 
-    def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.token_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+    def decode(self, packed: bytes) -> bytes | None:
+        """The bytes behind the ids; None where an id is not in the vocabulary."""
+        try:
+            return b"".join(map(self.token_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+        except KeyError:
+            return None
 
 
 _coders: dict[tuple[str, str], ByteBpe] = {}
@@ -134,7 +138,10 @@ class BpeCodec:
         return df.withColumn(out, F.arrow_udf(ids, "binary")(column(text).cast("string")))
 
     def decode(self, df: DataFrame, ids: str = "ids", out: str = "decoded") -> DataFrame:
-        """Bytes, as ids may end within a character; cast to string where they don't."""
+        """Bytes, as ids may end within a character; cast to string where they don't.
+
+        Null ids and rows with an id outside of the vocabulary give null.
+        """
         data, pattern = self.data, self.pattern
 
         def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -8,19 +8,21 @@ of inserted or deleted documents appends one row per key, shard and change of th
 number of documents. For each shard, a cuckoo filter holds the keys that now reach
 ``min_docs``; a batch touches only the keys that cross that bound, in either direction, so
 deleting documents undoes inserting them. Cleaning asks the filters for every line, which
-need two bytes or so per key, and settles what they take by mistake from the counts:
-the few rarer keys that the filters also take are looked up once and excepted.
+need two bytes or so per key, and settles every hit against the exact counts: the distinct
+keys that the filters take are looked up, and the few that they take by mistake are excepted. So
+documents that were not inserted, or were deleted since, lose no line of theirs by mistake either.
 
 Keys are 128-bit digests (MD5) of the line's key. Null texts are one empty line, as empty ones
 are; empty keys are never dropped. A line repeated in a document counts once; repeated rows
 count as documents of their own. Texts of any length are read whole. Cleaning keeps all
-columns but those named like its results, which are replaced; the documents it is
-given must have been inserted. Empty tables are a batch like any other.
+columns but those named like its results, which are replaced. Empty tables are a batch like
+any other.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -198,7 +200,7 @@ class LineIndex:
         return after
 
     def clean(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        """Add ``n_lines``, ``n_dropped`` and ``kept_text`` to inserted documents."""
+        """Add ``n_lines``, ``n_dropped`` and ``kept_text`` to any documents."""
         names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "kept_text")]
         docs = docs.select(*(column(c) for c in names))
         size = self.filters().agg(F.sum(F.octet_length("filter"))).first()[0] or 0
@@ -206,24 +208,29 @@ class LineIndex:
             return self._clean_joined(docs, text)
         blobs = {r["shard"]: bytes(r["filter"]) for r in self.filters().collect()}
         filters, n_shards = self.spark.sparkContext.broadcast(blobs), self.n_shards
-        rare = self.counts().filter(F.col("n") < self.min_docs).select("high", "low")
+        min_chars = self.min_chars
 
         def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             probe = Filters(filters.value, n_shards)
             for batch in batches:
-                hit = probe.contain(*(c.to_numpy(zero_copy_only=False) for c in batch.columns))
-                yield batch.filter(pa.array(hit))
-
-        # About one rare key in ten thousand; the bytes are checked before they are sent.
-        mistaken = f"{self.folder}/mistaken/batch={self.version}"
-        rare.mapInArrow(taken, "high long, low long").write.mode("overwrite").parquet(mistaken)
+                texts = batch.column(0).to_pylist()
+                own = list({d for body in texts for d in line_keys(body or "", min_chars)[1] if d is not None})
+                high, low = halves(own)
+                hit = pa.array(probe.contain(high, low))
+                yield pa.record_batch([pa.array(high), pa.array(low)], ["high", "low"]).filter(hit)
+
+        # A frequent key is listed once per batch; about one other key in ten thousand is taken. The
+        # bytes of those are checked before they are sent.
+        mistaken = f"{self.folder}/mistaken/{uuid.uuid4().hex}"
+        hits = docs.select(column(text).cast("string").alias("text")).mapInArrow(taken, "high long, low long")
+        frequent = self.counts().filter(F.col("n") >= self.min_docs).select("high", "low")
+        hits.distinct().join(frequent, ["high", "low"], "left_anti").write.parquet(mistaken)
         excepted = self.spark.read.schema("high long, low long").parquet(mistaken)
         if excepted.count() * 16 > SENT_BYTES:
             return self._clean_joined(docs, text)
         pairs = [(r["high"], r["low"]) for r in excepted.collect()]
         exact = np.array(pairs, "<i8").tobytes() if pairs else b""
         exceptions = self.spark.sparkContext.broadcast(exact)
-        min_chars = self.min_chars
 
         def cleaned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             probe = Filters(filters.value, n_shards)

@@ -101,10 +101,21 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 OP10_SQL = f"""
-WITH said AS (
-    SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-           coalesce(floor(turn / {chat.PAGE_TURNS}), 0)::BIGINT AS page
-    FROM conversations
+WITH numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, turns ORDER BY turn NULLS FIRST, role, text) AS no
+    FROM (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+                 coalesce(floor(turn / {chat.PAGE_TURNS}), 0)::BIGINT AS turns
+          FROM conversations)
+),
+shifts AS (
+    SELECT conv_id, turns,
+           coalesce(sum(more) OVER (PARTITION BY conv_id ORDER BY turns
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS shift
+    FROM (SELECT conv_id, turns, (max(no) - 1) // {chat.PAGE_TURNS} AS more FROM numbered GROUP BY conv_id, turns)
+),
+said AS (
+    SELECT n.conv_id, turn, role, text, (n.turns + shift + (no - 1) // {chat.PAGE_TURNS})::BIGINT AS page
+    FROM numbered n JOIN shifts s ON n.conv_id IS NOT DISTINCT FROM s.conv_id AND n.turns = s.turns
 ),
 speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM said WHERE role <> 'system'),
 parts AS (

@@ -2,7 +2,8 @@
 
 Where the file is a byte-level BPE that cuts texts by the usual pattern and changes nothing
 before, every distinct pre-token is given to the library once per worker, and a text's ids
-are those of its pre-tokens. Any other file encodes texts whole.
+are those of its pre-tokens. Any other file encodes texts whole. So is a text that holds the
+string of an added token of the file: it gets that token's id, as the library gives it.
 """
 
 from __future__ import annotations
@@ -37,11 +38,13 @@ class TextEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(data.decode())
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
+        self.tokenizer.encode_special_tokens = True  # pieces are parts of texts without their strings
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
         parts = json.loads(data)
+        self.data, self.unchanged = data, None
+        self.marks = [t["content"] for t in parts.get("added_tokens") or [] if t.get("content")]
         cut = parts.get("pre_tokenizer") or {}
         self.by_piece = (
             parts.get("normalizer") is None
@@ -59,8 +62,26 @@ class TextEncoder:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(f.ids, "<u4").tobytes() for f in found]
 
+    def _marked(self, text: str | None) -> bool:
+        return bool(text) and any(mark in text for mark in self.marks)
+
+    def _encode_whole(self, text: str) -> bytes:
+        if self.unchanged is None:
+            from tokenizers import Tokenizer
+
+            self.unchanged = Tokenizer.from_str(self.data.decode())
+            self.unchanged.no_truncation()
+            self.unchanged.no_padding()
+        return np.array(self.unchanged.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def packed(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        marked = [self._marked(t) for t in texts]
+        plain = self._packed([None if m else t for t, m in zip(texts, marked, strict=True)])
+        for text, mark, ids in zip(texts, marked, plain, strict=True):
+            yield self._encode_whole(text) if mark else ids
+
+    def _packed(self, texts: list[str | None]) -> Iterator[bytes]:
         if self.by_piece:
             yield from self.encode(texts)
             return

@@ -207,6 +207,32 @@ def cleaned(index, docs):
     return [tuple(r) for r in rows]
 
 
+def members(index, every):
+    """The keys of ``every`` batch that the filters of ``index`` hold."""
+    blobs = {r["shard"]: bytes(r["filter"]) for r in index.filters().collect()}
+    keys = every._refs().select("high", "low").distinct().collect()
+    high, low = (np.array([r[c] for r in keys], "<i8") for c in ("high", "low"))
+    hit = line_dedup.Filters(blobs, index.n_shards).contain(high, low)
+    frequent = {tuple(r) for r in index.counts().filter(F.col("n") >= index.min_docs).select("high", "low").collect()}
+    found = {(r["high"], r["low"]) for r, h in zip(keys, hit, strict=True) if h}
+    assert frequent <= found
+    return found
+
+
+def test_documents_that_were_not_inserted_keep_their_lines(spark, monkeypatch):
+    frequent = "\n".join(f"common {i}" for i in range(3000))
+    index = line_dedup.LineIndex(spark, scratch_path(spark, "lines"), min_docs=2, n_shards=4).insert(documents(spark, [frequent] * 2))
+    unseen = ["\n".join(f"own {k}-{i}" for i in range(20_000)) + "\nCommon 7" for k in range(10)]
+    docs = documents(spark, unseen)
+    blobs = {r["shard"]: bytes(r["filter"]) for r in index.filters().collect()}
+    digests = [d for text in unseen for d in line_dedup.line_keys(text, 1)[1]]
+    # The filters alone would take some of them.
+    assert line_dedup.Filters(blobs, 4).contain(*line_dedup.halves(digests)).sum() > 10
+    for sent in (line_dedup.SENT_BYTES, 0):
+        monkeypatch.setattr(line_dedup, "SENT_BYTES", sent)
+        assert {(r["n_lines"], r["n_dropped"]) for r in index.clean(docs).collect()} == {(20_001, 1)}
+
+
 def test_line_dedup_is_reversible(spark):
     one, two = line_texts(60, 1), line_texts(50, 2)
     a, b = documents(spark, one), documents(spark, two, start=1000)
@@ -219,10 +245,9 @@ def test_line_dedup_is_reversible(spark):
     again = both.delete(b)
     assert cleaned(again, a) == brute_lines(one, 9)
     assert sorted(map(tuple, again.counts().collect())) == sorted(map(tuple, first.counts().collect()))
-    filters = lambda i: {r["shard"]: bytes(r["filter"]) for r in i.filters().collect()}
-    assert {s: sorted(f) for s, f in filters(again).items() if any(f)} == {
-        s: sorted(f) for s, f in filters(first).items() if any(f)
-    } or cleaned(again, a) == cleaned(first, a)
+    # The filters hold the keys at the bound, before and after, and none of those that fell below it.
+    held = {i: members(i, again) for i in (first, both, again)}
+    assert held[first] == held[again] and held[first] < held[both]
     reopened = line_dedup.LineIndex.open(spark, index.folder, min_docs=9, n_shards=4)
     assert reopened.version == 3 and cleaned(reopened, a) == brute_lines(one, 9)
     gone = again.delete(a)
