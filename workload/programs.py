@@ -108,10 +108,14 @@ _BASE = f"""WITH sc AS ({SCENARIOS}), fr AS ({FRAMES}), tx AS (SELECT *, TRY_CAS
  TRY_CAST(nullif(date, '') AS DATE) AS d, sku IN ('F-1','O-2','P-3','F-4','O-5') AS q,
  CASE WHEN CAST(substr(scenario_id, 2) AS INT) % 2 = 0 THEN sku IN ('F-1','P-3') ELSE sku IN ('O-2','O-5') END AS e FROM ({SALES}) t),
 """
-# Every customer is a test, with an order or not, and one in ten has another test without a sale.
-TESTS = f"""SELECT 'S' || {s('c_nationkey')} AS scenario_id, {s('c_custkey')} AS test_id FROM {{customer}}
+# Every customer is a test, with an order or not; in MORE_TESTS one in ten has another without a sale.
+TESTS = f"SELECT 'S' || {s('c_nationkey')} AS scenario_id, {s('c_custkey')} AS test_id FROM {{customer}}"
+MORE_TESTS = f"""{TESTS}
  UNION ALL SELECT 'S' || {s('c_nationkey')}, 'none-' || {s('c_custkey')} FROM {{customer}} WHERE c_custkey % 10 = 0"""
-RESULTS = f"""{_BASE} tests AS ({TESTS}), sums AS (SELECT scenario_id, test_id, coalesce(CAST(sum(amt) FILTER (q AND d BETWEEN DATE '1999-01-01' AND DATE '1999-12-31') AS DOUBLE), 0.0) AS cur,
+
+
+def _results(tests):
+    return f"""{_BASE} tests AS ({tests}), sums AS (SELECT scenario_id, test_id, coalesce(CAST(sum(amt) FILTER (q AND d BETWEEN DATE '1999-01-01' AND DATE '1999-12-31') AS DOUBLE), 0.0) AS cur,
  coalesce(CAST(sum(amt) FILTER (q AND d BETWEEN DATE '1998-01-01' AND DATE '1998-12-31') AS DOUBLE), 0.0) AS base,
  coalesce(CAST(sum(amt) FILTER (e AND d BETWEEN DATE '1999-01-01' AND DATE '1999-12-31') AS DOUBLE), 0.0) AS cur_e,
  coalesce(CAST(sum(amt) FILTER (e) AS DOUBLE), 0.0) AS all_e, count(*) FILTER (q) AS nq, count(*) FILTER (e) AS ne FROM tests LEFT JOIN tx USING (scenario_id, test_id) GROUP BY scenario_id, test_id),
@@ -125,8 +129,11 @@ results AS (SELECT scenario_id, test_id, test_type, test_type <> 'yoy' OR pct >=
  ne AS earning_transactions FROM r)"""
 
 
-def _inputs(spark, sf):
-    return tuple(in_spark(spark, sf, t) for t in (SCENARIOS, FRAMES, SALES, TESTS))
+RESULTS = _results(TESTS)
+
+
+def _inputs(spark, sf, tests=TESTS):
+    return tuple(in_spark(spark, sf, t) for t in (SCENARIOS, FRAMES, SALES, tests))
 
 
 def _qualified(kind):
@@ -138,6 +145,10 @@ def _qualified(kind):
 
 for _name, _kind in (("qualify_yoy", "yoy"), ("qualify_minimum", "minQual"), ("qualify_earnings_only", "earningsOnly")):
     ALL[_name] = (_qualified(_kind), in_duckdb(f"{RESULTS} SELECT * FROM results WHERE test_type = '{_kind}'"))
+ALL["qualify_without_sales"] = (
+    lambda spark, sf: qu.qualify(*_inputs(spark, sf, MORE_TESTS)),
+    in_duckdb(f"{_results(MORE_TESTS)} SELECT * FROM results"),
+)
 ALL["qualification_tally"] = (
     lambda spark, sf: qu.qualification_tally(qu.qualify(*_inputs(spark, sf))),
     in_duckdb(f"""{RESULTS} SELECT scenario_id, count(*) FILTER (qualified) AS qualified,
