@@ -31,15 +31,19 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("seq"),
         F.concat("value", F.lit("}")).alias("text"),
     )
-    parts = _parts(F.col("text"))
-
-    def opened(first: int, marks: str) -> Column:
-        out = F.array_join(F.filter(parts, lambda _, i: i % 2 == first), "")
-        return F.length(F.translate(out, marks[1], "")) - F.length(F.translate(out, marks[0], ""))
-
-    return read.select(
-        "*",
-        ((F.size(parts) - 1) % 2).alias("flips"),
+    def outside(first: int) -> Column:
+        return F.array_join(F.filter("parts", lambda _, i: i % 2 == first), "")
+
+    def opened(q: int, marks: str) -> Column:
+        kept = [F.octet_length(F.replace(F.col(f"out{q}"), F.lit(m))) for m in marks]
+        return kept[1] - kept[0]
+
+    # Each step is a column, as it would else be computed again wherever it is used.
+    cut = read.withColumn("parts", _parts(F.col("text")))
+    cut = cut.withColumns({"out0": outside(0), "out1": outside(1), "flips": (F.size("parts") - 1) % 2})
+    return cut.select(
+        *read.columns,
+        "flips",
         *[opened(q, m).alias(f"{n}{q}") for q in (0, 1) for n, m in (("objects", "{}"), ("arrays", "[]"))],
     )
 
