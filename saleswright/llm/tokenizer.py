@@ -25,8 +25,8 @@ BYTE_LEVEL = (
 TOKENIZER_BYTES = 64 * 1024 * 1024
 BATCH = 256
 # What a worker remembers and holds at once; no other worker runs beside it in a task.
-REMEMBERED = 400_000
-SLICE_CHARS = 2_000_000
+REMEMBERED = 600_000
+SLICE_CHARS = 4_000_000
 
 
 class TextEncoder:
