@@ -174,27 +174,18 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
     return spark.read.parquet(landed_path(spark, sf_dir, name, write))
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str, text: str, in_order: bool = True) -> DataFrame:
+def landed(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
     """A view as files, as an ingest job would leave them: written once per session, whole.
 
-    Grids are kept in sheet and row order.
+    Rows are written where the view's own plan makes them. They are not dealt out again: that would
+    shuffle and sort all of them once more, and a range's bounds would compute the view twice.
     """
-    def write(path: str) -> None:
-        rows = in_spark(spark, sf_dir, text)
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        if in_order:
-            order = ["file_name", "sheet_name", "row_idx"]
-            rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-        else:
-            rows = rows.repartition(parts)
-        rows.write.parquet(path)
-
-    return _once(spark, sf_dir, name, write)
+    return _once(spark, sf_dir, name, lambda path: in_spark(spark, sf_dir, text).write.parquet(path))
 
 
 def raw_table(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Dirty text rows as files."""
-    return landed(spark, sf_dir, f"raw_{hashlib.md5(text.encode()).hexdigest()[:10]}", text, False)
+    return landed(spark, sf_dir, f"raw_{hashlib.md5(text.encode()).hexdigest()[:10]}", text)
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
