@@ -6,8 +6,10 @@ row_idx, cells). ``row_idx`` starts at 1 and empty cells are NULL.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
+import itertools
 import re
 import sys
 from collections.abc import Iterator, Sequence
@@ -27,6 +29,8 @@ ENCODINGS = ["utf-8", "cp1252", "latin1"]
 BYTE_ORDER_MARK = b"\xef\xbb\xbf"
 # Files up to this size are read whole by one task, larger ones by lines. Rows are the same.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
+# Bytes that are decoded at a time.
+STRETCH = 1 << 16
 
 
 def list_files(
@@ -58,26 +62,29 @@ def list_files(
     return kept.orderBy("file_name")
 
 
-def _decode(content: bytes) -> str:
-    content = content.removeprefix(BYTE_ORDER_MARK)
-    return content.decode(ENCODINGS[_rank(content)])
-
-
 def _rank(raw: bytes) -> int:
     """The first encoding that reads the bytes; the last one reads all."""
     for i, encoding in enumerate(ENCODINGS[:-1]):
         try:
-            raw.decode(encoding)
+            for _ in _decoded(raw, encoding):
+                pass
             return i
         except UnicodeDecodeError:
             continue
     return len(ENCODINGS) - 1
 
 
-def _records(text: str) -> list[list[str]]:
-    """The records of a text; a cell may be of any length, so none is an error."""
+def _decoded(raw: bytes, encoding: str) -> Iterator[str]:
+    """The text of the bytes in stretches, so that it is never there whole."""
+    decoder = codecs.getincrementaldecoder(encoding)()
+    for at in range(0, len(raw), STRETCH):
+        yield decoder.decode(raw[at : at + STRETCH], at + STRETCH >= len(raw))
+
+
+def _records(raw: bytes, encoding: str) -> Iterator[list[str]]:
+    """The records of the bytes, one by one; a cell may be of any length, so none is an error."""
     csv.field_size_limit(sys.maxsize)
-    return list(csv.reader(io.StringIO(text, newline="")))
+    return csv.reader(io.TextIOWrapper(io.BytesIO(raw), encoding, newline=""))
 
 
 def _cells(line: list[str]) -> list[str | None]:
@@ -87,9 +94,11 @@ def _cells(line: list[str]) -> list[str | None]:
 def _whole_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for name, content in zip(batch["file_name"], batch["content"]):
-            lines = _records(_decode(content))
-            for start in range(0, len(lines), 10_000):
-                part = lines[start : start + 10_000]
+            content = content.removeprefix(BYTE_ORDER_MARK)
+            lines = _records(content, ENCODINGS[_rank(content)])
+            start = 0
+            # The records of a file are never in memory all at once.
+            while part := list(itertools.islice(lines, 10_000)):
                 yield pd.DataFrame(
                     {
                         "file_name": name,
@@ -99,6 +108,7 @@ def _whole_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         "cells": [_cells(line) for line in part],
                     }
                 )
+                start += len(part)
 
 
 # A quote opens a cell only where the cell begins; inside other cells it is a character.
@@ -150,7 +160,7 @@ def _walked(raw: pd.Series) -> pd.DataFrame:
 def _parsed(lines: pd.Series, rank: pd.Series, whole: pd.Series) -> pd.Series:
     def parse(parts, encoding: int, ends: bool) -> list[list[str | None]]:
         raw = b"\n".join(bytes(p) for p in parts) + (b"\n" if ends else b"")
-        return [_cells(r) for r in _records(raw.decode(ENCODINGS[encoding]))]
+        return [_cells(r) for r in _records(raw, ENCODINGS[encoding])]
 
     return pd.Series([parse(*x) for x in zip(lines, rank, whole)], dtype=object)
 
