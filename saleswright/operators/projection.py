@@ -34,9 +34,16 @@ from saleswright.operators.conditions import (
     with_condition_places,
 )
 from saleswright.operators.grids import SHEET
-from saleswright.scale import BLOCK_ROWS, attach, settled
+from saleswright.scale import attach, fits_broadcast, settled
 
 MAPPING_ROW = "mapping_row"
+# Sheet rows of a block, the most that one task sorts together. Most sheets are one block, which
+# needs no facts about the blocks before it.
+BLOCK_ROWS = 1_000_000
+
+
+def _block(block_rows: int = BLOCK_ROWS) -> Column:
+    return F.floor(F.col("row_idx") / F.lit(block_rows)).cast("long")
 
 
 def active_mapping(mapping: DataFrame, ledger: Ledger) -> DataFrame:
@@ -227,7 +234,7 @@ def checked_mapping(prepared: DataFrame) -> tuple[DataFrame, list[Condition]]:
 
 def rows_in_range(
     grid: DataFrame, checked: DataFrame, conditions: list[Condition], ledger: Ledger,
-    only_counts: bool = False,
+    only_counts: bool = False, by_block: bool = False,
 ) -> DataFrame:
     """Every row in the range of a mapping row, with typed fields, before row numbers.
 
@@ -236,12 +243,22 @@ def rows_in_range(
     fields whose text could not be read. Fields are NULL where a row is not loaded. Rows of mapping
     rows that are known to fail are only counted. With ``only_counts`` there are no fields, and
     cells are cleaned only where no counted text says already that the row is not blank.
+    ``by_block`` says that blocks of sheet rows will be sorted: mapping rows that are too many to be
+    broadcast then meet the rows by sheet and block, so that one shuffle serves both.
     """
     sound = (F.size("unresolved") == 0) & F.col("condition_error").isNull()
     usable = with_blank_test(checked, ledger).select(
         *PLAN_COLUMNS, "always", "text_places", sound.alias("sound")
     )
-    rows = attach(grid.select(*SHEET, "row_idx", "cells"), usable, SHEET, computed=True)
+    grid = grid.select(*SHEET, "row_idx", "cells")
+    if by_block and not fits_broadcast(usable):
+        grid = grid.withColumn("block", _block())
+        blocks = grid.select(*SHEET, "block").distinct()
+        keys = [*SHEET, "block"]
+        rows = attach(grid, usable.join(blocks, SHEET), keys)
+    else:
+        keys = SHEET
+        rows = attach(grid, usable, SHEET, computed=True)
     rows = rows.filter(F.col("row_idx").between(F.col("from_row"), F.col("to_row")))
     # The condition of a mapping row that is not sound is not evaluated.
     rows = rows.withColumn("predicate", F.when(F.col("sound"), F.col("predicate")))
@@ -258,7 +275,7 @@ def rows_in_range(
     # Text cells come first: one of them is mostly filled, and the rest is not evaluated.
     present = F.col("always") | F.exists("text_places", lambda p: F.get("cells", p).isNotNull())
     to_clean = wanted & ~present if only_counts else wanted
-    cleaned = judged(rows, conditions).withColumns(
+    cleaned = judged(rows, conditions, keys).withColumns(
         {
             f"_{t}": F.when(to_clean, F.transform(F.array(*[raw(n) for n in names]), CLEANERS[t]))
             for t, names in of_type.items()
@@ -284,7 +301,7 @@ def rows_in_range(
     shown = F.col("loaded")
     return kept.select(
         MAPPING_ROW,
-        *SHEET,
+        *keys,
         "row_idx",
         "loaded",
         "cast_failed",
@@ -329,13 +346,14 @@ def placed_rows(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
     Only rows of one block meet in a task, so a file of any size is dealt over the cluster.
     """
-    block = F.floor(F.col("row_idx") / F.lit(block_rows)).cast("long")
     so_far = (
-        Window.partitionBy(MAPPING_ROW, "block")
+        Window.partitionBy(*SHEET, MAPPING_ROW, "block")
         .orderBy("row_idx")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return rows.withColumn("block", block).withColumn("place", F.count_if("loaded").over(so_far))
+    if "block" not in rows.columns:
+        rows = rows.withColumn("block", _block(block_rows))
+    return rows.withColumn("place", F.count_if("loaded").over(so_far))
 
 
 def number_and_label(staged: DataFrame, ledger: Ledger, run_id: str = "") -> DataFrame:
@@ -354,8 +372,10 @@ def number_and_label(staged: DataFrame, ledger: Ledger, run_id: str = "") -> Dat
         F.coalesce(F.sum("loaded_rows").over(before), F.lit(0)).alias("before"),
         F.sum("failed_rows").over(of_row).alias("failed"),
     )
-    numbered = attach(
-        staged.filter("loaded"), starts.filter("failed = 0").drop("failed"), [MAPPING_ROW, "block"]
+    # Most blocks are the first of sound mapping rows, which need none of this.
+    told = starts.filter("before > 0 OR failed > 0")
+    numbered = attach(staged.filter("loaded"), told, [MAPPING_ROW, "block"], how="left").filter(
+        "coalesce(failed, 0) = 0"
     )
     key = stable_uuid(
         F.lit(run_id), F.col("file_name"), F.col("sheet_name"),
@@ -364,7 +384,7 @@ def number_and_label(staged: DataFrame, ledger: Ledger, run_id: str = "") -> Dat
     made = {
         "transaction_id": key,
         # row_id counts the kept rows of a mapping row in sheet order.
-        "row_id": (F.col("before") + F.col("place")).cast("int"),
+        "row_id": (F.coalesce("before", F.lit(0)) + F.col("place")).cast("int"),
         "type": F.lit(TRANSACTION_TYPE),
         "archive_file_name": _archive_name(),
     }

@@ -26,18 +26,20 @@ class LoadedRun:
         self.columns, self.run_id = ledger, run_id
         self.is_staged = False
 
-    def rows(self, only_counts: bool = False) -> DataFrame:
+    def rows(self, only_counts: bool = False, by_block: bool = False) -> DataFrame:
         """All rows in range, from the store if they are there."""
         if self.is_staged:
             return self.staged
-        return projection.rows_in_range(self.grid, self.checked, self.conditions, self.columns, only_counts)
+        return projection.rows_in_range(
+            self.grid, self.checked, self.conditions, self.columns, only_counts, by_block
+        )
 
     @cached_property
     def staged(self) -> DataFrame:
         """All rows in range with their places, stored."""
         spark = self.grid.sparkSession
         path = scratch_path(spark, "staged")
-        projection.placed_rows(self.rows()).write.parquet(path)
+        projection.placed_rows(self.rows(by_block=True)).write.parquet(path)
         self.is_staged = True
         return spark.read.parquet(path)
 

@@ -154,13 +154,24 @@ WHERE ext_txt <> '' AND ext_txt <> '#VALUE!' AND extended_price IS NULL GROUP BY
 # -- checks on the loaded ledger -----------------------------------------------
 
 
+_RUNS = {}
+
+
+def _checked_run(spark, sf):
+    """The one run that the checks look at; its ledger and its metadata read the same staged rows."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS:
+        _RUNS[key] = _run(spark, sf)
+    return _RUNS[key]
+
+
 def _ledger(spark, sf):
     """The loaded ledger as a table, which the checks read after the load."""
-    return v.stored(spark, sf, "ledger", lambda: _run(spark, sf).ledger)
+    return v.stored(spark, sf, "ledger", lambda: _checked_run(spark, sf).ledger)
 
 
 def _metadata(spark, sf):
-    return v.stored(spark, sf, "metadata", lambda: _run(spark, sf).metadata)
+    return v.stored(spark, sf, "metadata", lambda: _checked_run(spark, sf).metadata)
 
 
 def qc_issues(spark, sf):
