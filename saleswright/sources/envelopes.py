@@ -10,6 +10,12 @@ others but the document are known, and only pieces of one such object meet.
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,44 +30,77 @@ def _parts(text: Column) -> Column:
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """``file, start, seq, text`` and what the text does if it begins outside (0) or inside (1) of quotes."""
-    read = spark.read.option("lineSep", "}").text(path).select(
+    """``file, start, text``, in the order of each block, which one task reads."""
+    return spark.read.option("lineSep", "}").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("seq"),
         F.concat("value", F.lit("}")).alias("text"),
     )
-    def outside(first: int) -> Column:
-        return F.array_join(F.filter("parts", lambda _, i: i % 2 == first), "")
-
-    def opened(q: int, marks: str) -> Column:
-        kept = [F.octet_length(F.replace(F.col(f"out{q}"), F.lit(m))) for m in marks]
-        return kept[1] - kept[0]
-
-    # Each step is a column, as it would else be computed again wherever it is used.
-    cut = read.withColumn("parts", _parts(F.col("text")))
-    cut = cut.withColumns({"out0": outside(0), "out1": outside(1), "flips": (F.size("parts") - 1) % 2})
-    return cut.select(
-        *read.columns,
-        "flips",
-        *[opened(q, m).alias(f"{n}{q}") for q in (0, 1) for n, m in (("objects", "{}"), ("arrays", "[]"))],
-    )
 
 
-def _walked(pieces: DataFrame) -> DataFrame:
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], int, int]]:
+    """The stretches of a batch that are of one block: its file and start, from and to."""
+    files, starts, n = batch.column("file"), batch.column("start").to_numpy(), batch.num_rows
+    others = pc.not_equal(files.slice(1), files.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero((starts[1:] != starts[:-1]) | others) + 1
+    for i, j in itertools.pairwise([0, *cuts.tolist(), n]):
+        yield (files[i].as_py(), int(starts[i])), i, j
+
+
+OPEN = [f"{n}{q}" for n in ("objects", "arrays") for q in (0, 1)]
+WALKED = ["file", "start", "flips", "end0", *OPEN, *(f"d_{n}" for n in OPEN)]
+
+
+def _schema(names: list[str]) -> str:
+    return ", ".join(f"{n} {'string' if n in ('file', 'text') else 'long'}" for n in names)
+
+
+def _opened(text: pa.Array) -> dict[str, np.ndarray]:
+    """What a text opens if it begins outside (0) or inside (1) of quotes, and whether it ends otherwise."""
+    bare = pc.replace_substring_regex(text, r"(?s)\\.", "__")
+    found = {"flips": pc.count_substring(bare, '"').to_numpy(zero_copy_only=False).astype("int64") % 2}
+    for q, whole in ((0, bare), (1, pc.binary_join_element_wise('"', bare, ""))):
+        outside = pc.replace_substring_regex(whole, r'"[^"]*("|$)', "")
+        for name, marks in (("objects", "{}"), ("arrays", "[]")):
+            n = [pc.count_substring(outside, m).to_numpy(zero_copy_only=False).astype("int64") for m in marks]
+            found[f"{name}{q}"] = n[0] - n[1]
+    return found
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add how each piece ends if its block begins outside (0) or inside (1) of quotes.
 
     ``end0`` is 1 where the piece ends inside, if the block begins outside; ``objects0`` and so
-    on become what is open after the piece beside what is open where the block begins.
+    on are what is open after the piece beside what is open where the block begins, and
+    ``d_objects0`` and so on what the piece itself does to that.
     """
-    so_far = Window.partitionBy(*AT).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ended = pieces.withColumn("end0", F.sum("flips").over(so_far) % 2)
-    began = (F.col("end0") + F.col("flips")) % 2
-
-    def total(name: str, q: int) -> Column:
-        return F.sum(F.when(began == q, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))).over(so_far)
-
-    return ended.withColumns({f"{n}{q}": total(n, q) for n in ("objects", "arrays") for q in (0, 1)})
+    held, sums = None, {}
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        opened = _opened(batch.column("text"))
+        out = {n: np.empty(batch.num_rows, "int64") for n in ("end0", *OPEN, *(f"d_{n}" for n in OPEN))}
+        for key, i, j in _runs(batch):
+            if key != held:
+                held, sums = key, dict.fromkeys(("end0", *OPEN), 0)
+            flips = opened["flips"][i:j]
+            end0 = (sums["end0"] + np.cumsum(flips)) % 2
+            out["end0"][i:j] = end0
+            began = (end0 + flips) % 2
+            for name in ("objects", "arrays"):
+                for q in (0, 1):
+                    one = np.where(began == q, opened[f"{name}0"][i:j], opened[f"{name}1"][i:j])
+                    out[f"d_{name}{q}"][i:j] = one
+                    out[f"{name}{q}"][i:j] = sums[f"{name}{q}"] + np.cumsum(one)
+            sums = {n: int(out[n][j - 1]) for n in sums}
+        made = {n: batch.column(n) for n in batch.schema.names}
+        made |= {"flips": opened["flips"]} | out
+        yield pa.RecordBatch.from_pydict(made)
+
+
+def _facts_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _walk(batches):
+        yield batch.select(WALKED)
 
 
 def _of(name: str, side: str = "") -> Column:
@@ -71,13 +110,13 @@ def _of(name: str, side: str = "") -> Column:
 
 def _block_facts(walked: DataFrame) -> DataFrame:
     """How each block begins: in a text or not, with what open, after how many units."""
+    done = {n: F.sum(f"d_{n}").alias(n) for n in OPEN}
     ends = walked.groupBy(*AT, "objects0", "objects1", "end0").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.struct("seq", "arrays0", "arrays1")).alias("last"),
+        F.count(F.lit(1)).alias("n"), F.sum("flips").alias("flips"), *[c.alias(f"d_{n}") for n, c in done.items()]
     )
     blocks = settled(
         ends.groupBy(*AT).agg(
-            F.max_by(F.struct("objects0", "objects1", "end0", "last.arrays0", "last.arrays1"), "last").alias("last"),
+            F.struct((F.sum("flips") % 2).alias("end0"), *done.values()).alias("last"),
             F.collect_list(F.struct("objects0", "objects1", "end0", "n")).alias("ends"),
         )
     )
@@ -97,6 +136,51 @@ def _block_facts(walked: DataFrame) -> DataFrame:
     return begun.select(*AT, "inside", "objects", "arrays", F.coalesce(F.sum(closed).over(order), F.lit(0)).alias("units"))
 
 
+def _unite(facts: dict[tuple[str, int], tuple[int, ...]], whole: bool) -> Callable:
+    """The pieces of a unit that stand in one block, as one text.
+
+    A unit is ``whole`` if it has no others: it is not the first of its block, and it ends there.
+    Only whole units come back, or only the others.
+    """
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, unit, first, parts, last = None, 0, True, [], None
+        inside = objects = arrays = 0
+        for batch in _walk(batches):
+            rows: list[tuple] = []
+            texts = batch.column("text").to_pylist()
+            n = {c: batch.column(c).to_numpy() for c in ("end0", *OPEN)}
+            for key, i, j in _runs(batch):
+                if key != held:
+                    if parts and not whole:
+                        rows.append((*held, unit, "".join(parts), *last))
+                    held, first, parts = key, True, []
+                    inside, objects, arrays, unit = facts[key]
+                objects_now, arrays_now = n[f"objects{inside}"] + objects, n[f"arrays{inside}"] + arrays
+                closes = (n["end0"][i:j] == inside) & (objects_now[i:j] <= 1)
+                for end in (np.flatnonzero(closes) + i).tolist():
+                    if first != whole:
+                        text = "".join([*parts, *texts[i : end + 1]])
+                        rows.append((*key, unit, text, objects_now[end], arrays_now[end]))
+                    unit, first, parts, i = unit + 1, False, [], end + 1
+                if i < j:
+                    parts += texts[i:j]
+                    last = (objects_now[j - 1], arrays_now[j - 1])
+            yield _united(rows)
+        if parts and not whole:
+            yield _united([(*held, unit, "".join(parts), *last)])
+
+    return united
+
+
+UNITED = {"file": pa.string(), "start": pa.int64(), "pos": pa.int64(), "text": pa.string(),
+          "objects_now": pa.int64(), "arrays_now": pa.int64()}
+
+
+def _united(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(UNITED)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, UNITED.values(), strict=True)], names=list(UNITED))
+
+
 def read_envelope(spark: SparkSession, path: str, schema: str, array: str = "data") -> DataFrame:
     """The objects of one top-level array of JSON documents, in order: ``pos`` and the fields.
 
@@ -104,22 +188,24 @@ def read_envelope(spark: SparkSession, path: str, schema: str, array: str = "dat
     Spark cuts or packs the files. The elements of the array must be objects. Other members
     of the document are passed over, whatever they hold.
     """
-    walked = _walked(_pieces(spark, path))
-    placed = attach(walked, _block_facts(walked), AT)
-    placed = placed.withColumns(
-        {f"{n}_now": F.col(n) + _of(n) for n in ("objects", "arrays")}
-        | {"closes": (F.col("end0") == F.col("inside")) & (F.col("objects") + _of("objects") <= 1)}
+    # Blocks are walked where they are read. There are few of them, one for each task that reads, so
+    # what is known of them is sent to the tasks.
+    pieces = _pieces(spark, path)
+    blocks = _block_facts(pieces.mapInArrow(_facts_only, _schema(WALKED)))
+    facts = {(r["file"], r["start"]): (r["inside"], r["objects"], r["arrays"], r["units"]) for r in blocks.collect()}
+
+    def united(whole: bool) -> DataFrame:
+        return pieces.mapInArrow(_unite(facts, whole), _schema(list(UNITED)))
+
+    # A unit ends with an object that stands in nothing but the document and its arrays. Only
+    # units that go on over the end of a block meet their other pieces.
+    ends = F.struct("objects_now", "arrays_now")
+    at_ends = united(False).groupBy("file", "pos").agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("start", "text")))["text"], "").alias("text"),
+        F.max_by(ends, "start").alias("end"),
     )
-    before = Window.partitionBy(*AT).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    unit = F.col("units") + F.coalesce(F.sum(F.col("closes").cast("int")).over(before), F.lit(0))
-    # A unit ends with an object that stands in nothing but the document and its arrays.
     units = (
-        placed.select("file", unit.alias("pos"), F.struct("start", "seq", "text").alias("piece"), "objects_now", "arrays_now")
-        .groupBy("file", "pos")
-        .agg(
-            F.array_join(F.array_sort(F.collect_list("piece"))["text"], "").alias("text"),
-            F.max_by(F.struct("objects_now", "arrays_now"), "piece").alias("end"),
-        )
+        united(True).select("file", "pos", "text", ends.alias("end")).unionByName(at_ends)
         .filter("end.objects_now = 1 AND end.arrays_now = 1")
     )
     # The object begins at the first brace outside of texts; the document's own

@@ -12,7 +12,7 @@ from saleswright import config as cf
 from saleswright import scale
 from saleswright.operators import projection
 from saleswright.plans.payment_run import normalize_transactions
-from saleswright.sources import grids
+from saleswright.sources import envelopes, grids
 from workload import ledgers, views
 
 DATA = "/root/testdata/sf0.001"
@@ -77,3 +77,16 @@ def test_records_of_a_file_are_not_held_all_at_once():
     tracemalloc.stop()
     assert got == [(i * 10_000 + 1, (i + 1) * 10_000) for i in range(30)]
     assert peak < 5 * sys.getsizeof(content)
+
+
+def test_an_envelope_is_walked_where_it_is_read(spark, tmp_path):
+    records = ",".join(f'{{"key": "{i}", "more": {{"n": 1}}, "note": "a }} {{ b"}}' for i in range(2000))
+    (tmp_path / "d.json").write_text(f'{{"data": [{records}], "end": 1}}')
+    blocks = envelopes._block_facts(envelopes._pieces(spark, str(tmp_path)).mapInArrow(envelopes._facts_only, envelopes._schema(envelopes.WALKED)))
+    assert blocks.count() == 1
+    united = envelopes._pieces(spark, str(tmp_path)).mapInArrow(
+        envelopes._unite({(r["file"], r["start"]): (r["inside"], r["objects"], r["arrays"], r["units"]) for r in blocks.collect()}, True),
+        envelopes._schema(list(envelopes.UNITED)))
+    assert "Exchange" not in plan(united) and "Sort" not in plan(united)
+    got = envelopes.read_envelope(spark, str(tmp_path), "key string").orderBy("pos").collect()
+    assert [r["key"] for r in got] == [str(i) for i in range(2000)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from saleswright.config import BASE_LEDGER
@@ -142,13 +143,20 @@ def _record_texts(rows):
 
 def source_envelope(spark, sf):
     """One JSON document in one file without a line break, its records in order."""
+    def stretches(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_pydict({"value": [" ".join(batch.column("value").to_pylist())]})
+
     def write(path):
         rows = in_spark(spark, sf, f"SELECT *, coalesce(superseded_by, '') AS last FROM ({_LISTED}) y")
         first = v.table(spark, sf, "region").limit(1).select(F.lit('{"version":{"n":1,"tags":["a}","{"]},"skipped":[{"key":"no","list":[{"k":1}]}],"data":[').alias("value"), F.lit(0).alias("at"), F.lit(0).alias("pos"), F.lit("").alias("key"), F.lit("").alias("last"))
         last = first.withColumn("value", F.lit('{"key":"end"}],"more":[{"key":"no"}],"total":{"n":5}}')).withColumn("at", F.lit(2))
         texts = rows.select(F.concat(_record_texts(rows), F.lit(",")).alias("value"), F.lit(1).alias("at"), "pos", "key", "last")
         lines = first.unionByName(texts).unionByName(last).orderBy("at", "pos", "key", "last").select("value")
-        lines.coalesce(1).write.option("lineSep", " ").text(path)
+        # Many tasks sort the lines and join them to stretches; the one that writes the file only copies those.
+        joined = settled(lines.mapInArrow(stretches, "value string").withColumn("no", F.monotonically_increasing_id()))
+        joined.orderBy("no").select("value").coalesce(1).write.option("lineSep", " ").text(path)
 
     path = v.landed_path(spark, sf, "envelope", write)
     return files.read_snapshot(spark, path)
