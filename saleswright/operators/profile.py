@@ -24,8 +24,8 @@ def row_density(grid: DataFrame) -> DataFrame:
     """Per sheet and number of filled cells: how many rows, and the first and last.
 
     The first rows, where the header is looked for, are kept one by one with their
-    cells. This is the only pass over the grid; the result has at most as many
-    rows per sheet as the sheet has columns, plus ten.
+    cells. They are counted apart from the many others, as an aggregate that holds cells has to
+    sort its rows. The result has at most as many rows per sheet as the sheet has columns, plus ten.
     """
     head = F.when(F.col("row_idx") <= HEADER_SCAN_ROWS, F.col("row_idx"))
     rows = grid.select(
@@ -37,14 +37,18 @@ def row_density(grid: DataFrame) -> DataFrame:
         F.size("cells").alias("width"),
         F.when(head.isNotNull(), F.col("cells")).alias("head_cells"),
     )
-    return rows.groupBy(*SHEET, "head_row", "filled").agg(
+    counts = [
         F.count(F.lit(1)).alias("n"),
         F.min("row_idx").alias("first_row"),
         F.max("row_idx").alias("last_row"),
         F.max("width").alias("width"),
         F.min("sheet_ordinal").alias("sheet_ordinal"),
-        F.max("head_cells").alias("head_cells"),
+    ]
+    near = rows.filter(F.col("head_row").isNotNull()).groupBy(*SHEET, "head_row", "filled").agg(
+        *counts, F.max("head_cells").alias("head_cells")
     )
+    far = rows.filter(F.col("head_row").isNull()).groupBy(*SHEET, "filled").agg(*counts)
+    return near.unionByName(far, allowMissingColumns=True)
 
 
 def densest_headers(density: DataFrame) -> DataFrame:
