@@ -68,8 +68,15 @@ def failing_rows(df: DataFrame, ledger: Ledger = BASE_LEDGER, by: str = FILE) ->
     hits += [
         hit(is_junk(F.col(c)), "Junk values", F.lit(c), F.col(c)) for c in ledger.text_columns
     ]
+    failed = _empty(ledger) | _no_description()
+    for c in ledger.text_columns:
+        failed = failed | is_junk(F.col(c))
+    # The list is a column before it is exploded: of an expression, Spark would derive the type
+    # anew for each row.
     return (
-        df.select(by, "row_id", F.explode(F.array_compact(F.array(*hits))).alias("h"))
+        df.filter(failed)
+        .select(by, "row_id", F.array_compact(F.array(*hits)).alias("h"))
+        .select(by, "row_id", F.explode("h").alias("h"))
         .select(by, "row_id", "h.*")
     )
 

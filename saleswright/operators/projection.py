@@ -37,13 +37,46 @@ from saleswright.operators.grids import SHEET
 from saleswright.scale import attach, fits_broadcast, settled
 
 MAPPING_ROW = "mapping_row"
-# Sheet rows of a block, the most that one task sorts together. Most sheets are one block, which
-# needs no facts about the blocks before it.
+# Rows of a block, about, which one task sorts together. Most sheets are one block, which needs no
+# facts about the blocks before it.
 BLOCK_ROWS = 1_000_000
+# A block of a sheet whose rows lie unevenly may hold so many times more.
+UNEVEN = 4
 
 
-def _block(block_rows: int = BLOCK_ROWS) -> Column:
-    return F.floor(F.col("row_idx") / F.lit(block_rows)).cast("long")
+def block_widths(grid: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The sheets of more than one block: ``width``, sheet rows of a block, and the ``last`` block.
+
+    Sheets may be sparse, so the width follows from the rows that are there: blocks are as many as
+    the rows need, however far their numbers reach. Where rows lie so unevenly that a block
+    would be too large, a block is ``block_rows`` sheet rows, which cannot hold more.
+    """
+    share = F.lit(block_rows) / F.count(F.lit(1))
+    width = F.greatest(F.ceil((F.max("row_idx") + 1) * share), F.lit(block_rows))
+    large = settled(
+        grid.groupBy(*SHEET)
+        .agg(width.alias("width"), F.max("row_idx").alias("end"), F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > block_rows)
+        .drop("n")
+    )
+    if not large.isEmpty():
+        cut = F.floor(F.col("row_idx") / F.col("width"))
+        rows = attach(grid.select(*SHEET, "row_idx"), large, SHEET, computed=True)
+        fullest = (
+            rows.groupBy(*SHEET, cut.alias("block")).agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(*SHEET).agg(F.max("n").alias("fullest"))
+        )
+        even = F.col("fullest") <= UNEVEN * block_rows
+        width = F.when(even, F.col("width")).otherwise(F.lit(block_rows)).alias("width")
+        large = settled(large.join(fullest, SHEET).select(*SHEET, width, "end"))
+    return large.select(*SHEET, "width", F.floor(F.col("end") / F.col("width")).alias("last"))
+
+
+def with_blocks(grid: DataFrame, widths: DataFrame) -> DataFrame:
+    """Add ``block``, a stretch of sheet rows. Large sheets are few, as each has many rows."""
+    met = grid.join(F.broadcast(widths.drop("last")), SHEET, "left")
+    block = F.coalesce(F.floor(F.col("row_idx") / F.col("width")), F.lit(0)).cast("long")
+    return met.withColumn("block", block).drop("width")
 
 
 def active_mapping(mapping: DataFrame, ledger: Ledger) -> DataFrame:
@@ -251,13 +284,16 @@ def rows_in_range(
         *PLAN_COLUMNS, "always", "text_places", sound.alias("sound")
     )
     grid = grid.select(*SHEET, "row_idx", "cells")
-    if by_block and not fits_broadcast(usable):
-        grid = grid.withColumn("block", _block())
-        blocks = grid.select(*SHEET, "block").distinct()
+    keys = SHEET
+    if by_block:
+        widths = block_widths(grid)
+        grid = with_blocks(grid, widths)
         keys = [*SHEET, "block"]
-        rows = attach(grid, usable.join(blocks, SHEET), keys)
+    if by_block and not fits_broadcast(usable):
+        blocks = F.sequence(F.lit(0).cast("long"), F.greatest(F.coalesce("last", F.lit(0)), F.lit(0))).alias("blocks")
+        facts = usable.join(F.broadcast(widths.drop("width")), SHEET, "left").select(*usable.columns, blocks)
+        rows = attach(grid, facts.select(*usable.columns, F.explode("blocks").alias("block")), keys)
     else:
-        keys = SHEET
         rows = attach(grid, usable, SHEET, computed=True)
     rows = rows.filter(F.col("row_idx").between(F.col("from_row"), F.col("to_row")))
     # The condition of a mapping row that is not sound is not evaluated.
@@ -342,17 +378,18 @@ def _archive_name() -> Column:
 
 
 def placed_rows(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Add ``block``, a stretch of sheet rows, and ``place``, the loaded rows in it so far.
+    """Add ``block``, a stretch of sheet rows, unless it is there, and ``place``, the loaded rows in it so far.
 
     Only rows of one block meet in a task, so a file of any size is dealt over the cluster.
     """
+    if "block" not in rows.columns:
+        rows = rows.withColumn("block", F.floor(F.col("row_idx") / F.lit(block_rows)).cast("long"))
+    # The number leads, as it is compared faster than names.
     so_far = (
-        Window.partitionBy(*SHEET, MAPPING_ROW, "block")
+        Window.partitionBy(MAPPING_ROW, "block", *SHEET)
         .orderBy("row_idx")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    if "block" not in rows.columns:
-        rows = rows.withColumn("block", _block(block_rows))
     return rows.withColumn("place", F.count_if("loaded").over(so_far))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from saleswright import config as cf
 from saleswright import scale
-from saleswright.operators import profile, projection
+from saleswright.operators import ledger_checks, profile, projection
 from saleswright.plans.payment_run import normalize_transactions
 from saleswright.sources import envelopes, grids
 from workload import ledgers, views
@@ -100,3 +100,49 @@ def test_the_many_rows_of_sheets_are_not_sorted_to_profile_them(spark):
     whole = views.grid(spark, DATA)
     assert density.agg(F.sum("n")).first()[0] == whole.count()
     assert density.filter("head_row IS NOT NULL AND head_cells IS NULL").isEmpty()
+
+
+def test_landed_files_are_written_by_compiled_code(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before, seen = spark.conf.get(name), []
+    views.landed_path(spark, DATA, "compiled", lambda path: seen.append(int(spark.conf.get(name))))
+    assert seen[0] <= 8000
+    assert spark.conf.get(name) == before
+
+
+def test_failed_checks_are_exploded_from_a_column(spark, rows):
+    ledger = views.stored(spark, DATA, "growth_ledger", lambda: ledgers._run(spark, DATA).ledger)
+    failed = ledger_checks.failing_rows(ledger)
+    generators = re.findall(r"Generate explode\((.*?)\), \[", plan(failed))
+    assert generators and all(re.fullmatch(r"h#\d+", g) for g in generators)
+    empty = spark.createDataFrame([{n: None for n in cf.BASE_LEDGER.names}], ledger.schema)
+    assert ledger_checks.failing_rows(empty).count() == 2
+    full = empty.withColumns({"item_description": F.lit("--"), "uom": F.lit("EA")})
+    assert [(r["check"], r["column_name"]) for r in ledger_checks.failing_rows(full).collect()] == [("Junk values", "item_description")]
+
+
+def test_blocks_are_as_many_as_the_rows_need(spark):
+    """Sheets whose row numbers reach far have one block, large ones few, and none is too large."""
+    def sheet(name, numbers):
+        return spark.createDataFrame([(name, "s", n) for n in numbers], "file_name string, sheet_name string, row_idx long")
+
+    grid = sheet("sparse", range(1, 10**9, 10**8)).union(sheet("even", range(0, 100_000, 1000)))
+    grid = grid.union(sheet("uneven", [*range(1, 81), 10**6]))
+    widths = projection.block_widths(grid, 10)
+    blocks = projection.with_blocks(grid, widths).groupBy("file_name", "block").count().collect()
+    sizes = {f: [r["count"] for r in blocks if r["file_name"] == f] for f in ("sparse", "even", "uneven")}
+    assert sizes["sparse"] == [10]
+    assert len(sizes["even"]) == 10 and max(sizes["even"]) <= 20
+    assert max(sizes["uneven"]) <= 10
+    last = {r["file_name"]: r["last"] for r in widths.collect()}
+    assert last == {f: max(r["block"] for r in blocks if r["file_name"] == f) for f in ("even", "uneven")}
+
+
+def test_a_ledger_of_many_blocks_is_numbered_alike(spark, rows, no_broadcast, monkeypatch):
+    want = rows(ledgers.shown(ledgers._run(spark, DATA).ledger))
+    monkeypatch.setattr(projection.block_widths, "__defaults__", (50,))
+    run = ledgers._run(spark, DATA)
+    assert run.staged.filter("block > 0").count() > 0
+    assert rows(ledgers.shown(run.ledger)) == want
+    scale.BROADCAST_BYTES = 1 << 26
+    assert rows(ledgers.shown(ledgers._run(spark, DATA).ledger)) == want
