@@ -176,59 +176,49 @@ def resolve_fields(mapping: DataFrame, ledger: Ledger) -> DataFrame:
         F.col("header_cells"),
         lambda h, i: F.when(i.between(F.col("from_col"), F.col("to_col")), F.lower(cl.clean_text(h))),
     )
-    row = F.struct(*[c for c in mapping.columns if c not in fields])
-    values = mapping.select(
-        MAPPING_ROW, row.alias("_row"), inside.alias("names"),
-        F.posexplode(F.array(*fields)).alias("i", "value"),
-    )
-    value = F.col("value")
-    static = F.col("i") < len(ledger.static)
-    shapes = values.select(
-        "*",
-        cl.is_no_value(value).alias("none"),
-        dollar_literal(value).alias("literal"),
-        is_quoted(value).alias("quoted"),
-        is_letters(value).alias("letters"),
-        F.upper(value).alias("upper"),
-    ).withColumn(
-        "from_cell",
-        ~static & ~F.col("none") & F.col("literal").isNull() & (F.col("quoted") | F.col("letters")),
-    )
-    wanted = F.when(F.col("quoted"), F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(
-        F.col("upper")
-    )
-    by_name = F.array_position("names", F.lower(cl.strip(wanted))).cast("int") - 1
-    by_letter = letters_to_number(F.col("upper")) - 1
-    by_letter = F.when(
-        by_letter.between(F.col("_row.from_col"), F.col("_row.to_col")), by_letter
-    ).otherwise(F.lit(-1))
-    place = F.when(
-        F.col("from_cell"), F.when(F.col("_row.use_header"), by_name).otherwise(by_letter)
-    )
     names = F.array(*[F.lit(f) for f in fields])
     not_counted = F.array(*[F.lit(f) for f in NOT_COUNTED_FOR_BLANK])
-    name = F.get(names, F.col("i"))
-    resolved = shapes.select(
-        MAPPING_ROW,
-        "_row",
-        F.struct(
-            "i",
+
+    def shape(value: Column, i: Column) -> Column:
+        none, literal = cl.is_no_value(value), dollar_literal(value)
+        quoted, letters = is_quoted(value), is_letters(value)
+        return F.struct(
+            i.alias("i"),
+            value.alias("value"),
+            none.alias("none"),
+            literal.alias("literal"),
+            quoted.alias("quoted"),
+            F.upper(value).alias("upper"),
+            ((i >= len(ledger.static)) & ~none & literal.isNull() & (quoted | letters)).alias("from_cell"),
+        )
+
+    def resolved(s: Column) -> Column:
+        value, name = s["value"], F.get(names, s["i"])
+        wanted = F.when(s["quoted"], F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(s["upper"])
+        by_name = F.array_position("_names", F.lower(cl.strip(wanted))).cast("int") - 1
+        by_letter = letters_to_number(s["upper"]) - 1
+        by_letter = F.when(
+            by_letter.between(F.col("from_col"), F.col("to_col")), by_letter
+        ).otherwise(F.lit(-1))
+        place = F.when(s["from_cell"], F.when(F.col("use_header"), by_name).otherwise(by_letter))
+        counted = (
+            (s["i"] >= len(ledger.static)) & ~s["none"] & s["literal"].isNull()
+            & ~F.array_contains(not_counted, name)
+        )
+        return F.struct(
             place.alias("place"),
-            F.when(~F.col("none") & ~F.col("from_cell"), F.coalesce("literal", "value")).alias("text"),
-            (
-                ~static & ~F.col("none") & F.col("literal").isNull()
-                & ~F.array_contains(not_counted, name)
-            ).alias("counted"),
+            F.when(~s["none"] & ~s["from_cell"], F.coalesce(s["literal"], value)).alias("text"),
+            counted.alias("counted"),
             name.alias("name"),
-        ).alias("f"),
-    )
-    # A mapping row has a fixed number of fields, so the lists are short.
-    lists = resolved.groupBy(MAPPING_ROW).agg(
-        F.any_value("_row").alias("_row"), F.array_sort(F.collect_list("f")).alias("f")
-    )
+        )
+
+    # The fields of a mapping row stay one array, so its other columns are not copied for each.
+    kept = [c for c in mapping.columns if c not in fields]
+    shaped = mapping.select(*kept, inside.alias("_names"), F.transform(F.array(*fields), shape).alias("f"))
+    lists = shaped.select(*kept, F.transform("f", resolved).alias("f"))
     missing = F.filter("f", lambda f: f["place"] < 0)
     return lists.select(
-        "_row.*",
+        *kept,
         F.transform("f", lambda f: f["place"]).alias("places"),
         F.transform("f", lambda f: f["text"]).alias("texts"),
         F.transform("f", lambda f: f["counted"]).alias("counted"),

@@ -146,3 +146,11 @@ def test_a_ledger_of_many_blocks_is_numbered_alike(spark, rows, no_broadcast, mo
     assert rows(ledgers.shown(run.ledger)) == want
     scale.BROADCAST_BYTES = 1 << 26
     assert rows(ledgers.shown(ledgers._run(spark, DATA).ledger)) == want
+
+
+def test_fields_are_resolved_without_a_row_for_each(spark):
+    mapping = projection.with_ranges(projection.active_mapping(views.in_spark(spark, DATA, ledgers.BASE_MAPPING), cf.BASE_LEDGER))
+    header = F.array(*[F.lit(h) for h in views.HEADERS[0]])
+    prepared = projection.resolve_fields(scale.settled(mapping.withColumn("header_cells", header)), cf.BASE_LEDGER)
+    assert "Generate" not in plan(prepared) and "Exchange" not in plan(prepared)
+    assert prepared.count() == mapping.count()
