@@ -243,7 +243,7 @@ def token_pieces(
         own, end = encoder(data.value), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             held: list[tuple[int, int, int, int, bytes]] = []
-            for row, packed in enumerate(own.packed(batch.column(1).to_pylist())):
+            for row, packed in enumerate(own.packed_column(batch.column(1))):
                 packed += end
                 n = len(packed) // 4
                 first = n % capacity or min(n, capacity)

@@ -217,7 +217,7 @@ def write_store(
                 continue
             if writer is None:
                 writer = ShardWriter(folder, name, 2 if max(own.size, end_id + 1) <= 65536 else 4)
-            packed = own.packed(batch.column(1).to_pylist())
+            packed = own.packed_column(batch.column(1))
             writer.add(batch.column(0), (ids + end for ids in packed))
         if writer is not None:
             keys, ids = writer.close()

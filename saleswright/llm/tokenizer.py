@@ -12,8 +12,11 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from saleswright.llm.pretokens import PretokenEncoder
 
@@ -21,11 +24,14 @@ from saleswright.llm.pretokens import PretokenEncoder
 BYTE_LEVEL = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
+# Byte-level vocabularies name bytes that are no visible character by those from U+0100 on.
+SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_NAMES = {byte: 256 + i for i, byte in enumerate(sorted({*range(256)} - SHOWN))}
 # The file is sent to every executor, so it must not be larger than this.
 TOKENIZER_BYTES = 64 * 1024 * 1024
 BATCH = 256
 # What a worker remembers and holds at once; no other worker runs beside it in a task.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 SLICE_CHARS = 4_000_000
 
 
@@ -35,7 +41,6 @@ class TextEncoder:
     def __init__(self, data: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.tokenizer.encode_special_tokens = True  # pieces are parts of texts without their strings
@@ -53,14 +58,14 @@ class TextEncoder:
             and cut.get("use_regex", True)
             and (parts.get("model") or {}).get("type") == "BPE"
         )
-        if self.by_piece:
-            # Pieces are cut already.
-            self.tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.encode = PretokenEncoder(BYTE_LEVEL, self._encode_pieces, REMEMBERED, SLICE_CHARS)
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
+        """The ids of pre-tokens by the library's model, which names bytes by characters."""
+        merge = self.tokenizer.model.tokenize
+        named = [piece.encode().decode("latin-1").translate(BYTE_NAMES) for piece in pieces]
+        lists = [[token.id for token in merge(name)] for name in named]
+        return [pack(f"<{len(ids)}I", *ids) for ids in lists]
 
     def _marked(self, text: str | None) -> bool:
         return bool(text) and any(mark in text for mark in self.marks)
@@ -81,13 +86,24 @@ class TextEncoder:
         for text, mark, ids in zip(texts, marked, plain, strict=True):
             yield self._encode_whole(text) if mark else ids
 
+    def packed_column(self, texts: pa.Array) -> Iterator[bytes]:
+        """As ``packed``, for a column of which only a slice is made into Python texts at once."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + SLICE_CHARS, "right")))
+            yield from self.packed(texts.slice(at, stop - at).to_pylist())
+            at = stop
+
     def _packed(self, texts: list[str | None]) -> Iterator[bytes]:
         if self.by_piece:
             yield from self.encode(texts)
             return
         for at in range(0, len(texts), BATCH):
             some = [t or "" for t in texts[at : at + BATCH]]
-            yield from self._encode_pieces(some)
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            yield from (pack(f"<{len(f.ids)}I", *f.ids) for f in found)
 
 
 _encoders: dict[str, TextEncoder] = {}
