@@ -347,3 +347,39 @@ def test_components_of_a_chain_and_a_hub(spark):
 def test_crc_is_of_utf8(spark):
     row = spark.range(1).select(F.crc32(F.lit("é"))).first()
     assert row[0] == zlib.crc32("é".encode())
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sets_without_links_keep_few_common_keys(percent):
+    """A set gives up as many costly keys as its own size allows, not only as its band does."""
+    bands = jaccard_join.Bands(percent)
+    pick = np.random.default_rng(3)
+    for size in (150, 300, 700):
+        tokens = np.unique(pick.integers(0, 2**63, size, dtype=np.uint64))
+        for band, spare, keys in bands.keys(tokens):
+            most = max(bands.differences(size, b) for b in range(size, bands.largest_partner(size) + 1))
+            if size <= bands.ends[band]:
+                assert len(keys) - spare - 1 in (most, most + 1)
+
+
+def test_near_copies_have_few_centers(spark):
+    """The comparisons of a group of near copies grow with its nodes, not with its keys."""
+    pick = random.Random(2)
+    base = [f"w{pick.randrange(10**6)}" for _ in range(150)]
+    texts = []
+    for i in range(240):
+        now = list(base)
+        for at in (i % 30, 30 + i // 30):
+            now[at] = f"x{i % 7}"
+        texts.append(" ".join(now))
+    docs = documents(spark, texts).select("doc_id", "text")
+    sets = jaccard_join.document_sets(docs, "doc_id", "text", 3, 90)
+    keys = jaccard_join.index_keys(sets)
+    postings = keys.select("key", "node", F.col("node").alias("component")).distinct()
+    starred = jaccard_join.starred_keys(postings, 8, True)
+    pairs = starred.filter("node <> center").select("center", "node").distinct()
+    assert pairs.count() <= 2 * 240
+    alone = jaccard_join.starred_keys(postings, 8, False)
+    assert alone.filter("node <> center").select("center", "node").distinct().count() > pairs.count()
+    got = {r[2] for r in jaccard_join.near_classes(docs).collect()}
+    assert got == {c for _, c in brute_components(dict(enumerate(texts)), 3, 90).values()}
