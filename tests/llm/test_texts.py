@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import WORD, awkward_texts, brute_components, documents, empty
 from hypothesis import given, settings
@@ -344,6 +345,26 @@ def test_components_of_a_chain_and_a_hub(spark):
     assert components.components(edges.limit(0)).count() == 0
 
 
+def test_components_of_more_edges_than_a_task_holds(spark, monkeypatch):
+    monkeypatch.setattr(components, "HELD", 8)
+    pick = random.Random(4)
+    nodes = pick.sample(range(-500, 500), 90)
+    edges = [(a, b) for a, b in zip(nodes, nodes[1:], strict=False) if pick.random() < 0.9]
+    least = {n: n for n in nodes}
+    for _ in nodes:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    table = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    met = {n for e in edges for n in e}
+    want = {n: c for n, c in least.items() if n in met}
+    assert dict(map(tuple, components.components(table).collect())) == want
+    # Stars that a task gives before its end join the same nodes.
+    halves = [pa.record_batch([pa.array(c) for c in zip(*e, strict=True)], ["a", "b"]) for e in (edges[::2], edges[1::2])]
+    given = [r for b in components._forests(iter(halves)) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    a, b = (np.array(c, np.int64) for c in zip(*given, strict=True))
+    assert {**dict(zip(*(c.tolist() for c in components.stars(a, b)), strict=True))} == {n: c for n, c in want.items() if n != c}
+
+
 def test_crc_is_of_utf8(spark):
     row = spark.range(1).select(F.crc32(F.lit("é"))).first()
     assert row[0] == zlib.crc32("é".encode())
@@ -383,3 +404,22 @@ def test_near_copies_have_few_centers(spark):
     assert alone.filter("node <> center").select("center", "node").distinct().count() > pairs.count()
     got = {r[2] for r in jaccard_join.near_classes(docs).collect()}
     assert got == {c for _, c in brute_components(dict(enumerate(texts)), 3, 90).values()}
+
+
+def test_shared_keys_are_those_of_several_sets(spark):
+    """Packed keys are the exploded ones; those of the same sets are one key."""
+    docs = documents(spark, near_texts(7)).select("doc_id", "text").repartition(3)
+    sets = jaccard_join.document_sets(docs, "doc_id", "text", 3, 90)
+    found = {}
+    for r in jaccard_join.index_keys(sets).distinct().collect():
+        found.setdefault(r["key"], set()).add((r["node"], r["band"], r["spare"]))
+    want = {}
+    for entries in found.values():
+        if len(entries) > 1:
+            want[frozenset(entries)] = want.get(frozenset(entries), 0) + 1
+    got = {}
+    for r in jaccard_join.shared_keys(sets).collect():
+        got.setdefault((r["key"], r["cost"], r["times"]), set()).add((r["node"], r["band"], r["spare"]))
+    assert {frozenset(e): times for (_, _, times), e in got.items()} == want
+    assert all(cost == len(e) for (_, cost, _), e in got.items())
+    assert sum(want.values()) > 3 * len(want)
