@@ -423,3 +423,22 @@ def test_shared_keys_are_those_of_several_sets(spark):
     assert {frozenset(e): times for (_, _, times), e in got.items()} == want
     assert all(cost == len(e) for (_, cost, _), e in got.items())
     assert sum(want.values()) > 3 * len(want)
+
+
+def test_sizes_guessed_do_not_grow_with_rounds(spark, monkeypatch):
+    """Products of sizes that are carried on from round to round fill the driver."""
+    bits, divided = [], jaccard_join.divided
+
+    def seen(rows, best, percent):
+        size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        bits.append(size.bit_length())
+        return divided(rows, best, percent)
+
+    monkeypatch.setattr(jaccard_join, "divided", seen)
+    monkeypatch.setattr(jaccard_join, "FEW", 1)
+    monkeypatch.setattr(jaccard_join, "FEW_OF_PART", 1)
+    texts = near_texts(11, groups=3, copies=20, spoil=0.3)
+    docs = documents(spark, texts)
+    got = {r[0]: (r[1], r[2]) for r in jaccard_join.near_classes(docs).collect()}
+    assert got == brute_components(dict(enumerate(texts)), 3, 90)
+    assert 0 < max(bits) < 2000
