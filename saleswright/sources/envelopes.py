@@ -55,15 +55,44 @@ def _schema(names: list[str]) -> str:
     return ", ".join(f"{n} {'string' if n in ('file', 'text') else 'long'}" for n in names)
 
 
+MARKS, SIGNS = np.zeros(256, bool), {n: np.zeros(256, np.int32) for n in ("objects", "arrays")}
+MARKS[list(b'"\\{}[]')] = True
+for _name, _marks in (("objects", b"{}"), ("arrays", b"[]")):
+    SIGNS[_name][list(_marks)] = 1, -1
+
+
 def _opened(text: pa.Array) -> dict[str, np.ndarray]:
     """What a text opens if it begins outside (0) or inside (1) of quotes, and whether it ends otherwise."""
-    bare = pc.replace_substring_regex(text, r"(?s)\\.", "__")
-    found = {"flips": pc.count_substring(bare, '"').to_numpy(zero_copy_only=False).astype("int64") % 2}
-    for q, whole in ((0, bare), (1, pc.binary_join_element_wise('"', bare, ""))):
-        outside = pc.replace_substring_regex(whole, r'"[^"]*("|$)', "")
-        for name, marks in (("objects", "{}"), ("arrays", "[]")):
-            n = [pc.count_substring(outside, m).to_numpy(zero_copy_only=False).astype("int64") for m in marks]
-            found[f"{name}{q}"] = n[0] - n[1]
+    n = len(text)
+    ends = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + n + 1]
+    data = np.frombuffer(text.buffers()[2], np.uint8)[: ends[-1]]
+    at = np.flatnonzero(MARKS[data[ends[0] :]]) + ends[0]
+    # The mark after an odd number of backslashes is escaped. Texts end with a brace, so these end before.
+    slashes = at[data[at] == ord("\\")]
+    begins = np.flatnonzero(np.r_[True, np.diff(slashes) != 1][: len(slashes)])
+    long = np.diff(np.r_[begins, len(slashes)])
+    escaped = (slashes[begins] + long)[long % 2 == 1]
+    bare = data[at] != ord("\\")
+    place = np.searchsorted(at, escaped)
+    known = place < len(at)
+    place, escaped = place[known], escaped[known]
+    bare[place[at[place] == escaped]] = False
+    at = at[bare]
+    mark, bounds = data[at], np.searchsorted(at, ends)
+    quote = mark == ord('"')
+
+    def by_piece(values: np.ndarray) -> np.ndarray:
+        sums = np.r_[0, np.cumsum(values, dtype=np.int64)]
+        return sums[bounds[1:]] - sums[bounds[:-1]]
+
+    before = np.cumsum(quote, dtype=np.int64) - quote
+    begun = np.r_[before, before[-1:] + quote[-1:], 0][bounds[:-1]]
+    outside = (before - np.repeat(begun, np.diff(bounds))) & 1 == 0
+    found = {"flips": by_piece(quote) % 2}
+    for name, signs in SIGNS.items():
+        opened = signs[mark]
+        total, found[f"{name}0"] = by_piece(opened), by_piece(opened * outside)
+        found[f"{name}1"] = total - found[f"{name}0"]
     return found
 
 
@@ -136,11 +165,11 @@ def _block_facts(walked: DataFrame) -> DataFrame:
     return begun.select(*AT, "inside", "objects", "arrays", F.coalesce(F.sum(closed).over(order), F.lit(0)).alias("units"))
 
 
-def _unite(facts: dict[tuple[str, int], tuple[int, ...]], whole: bool) -> Callable:
+def _unite(facts: dict[tuple[str, int], tuple[int, ...]], whole: bool | None = None) -> Callable:
     """The pieces of a unit that stand in one block, as one text.
 
-    A unit is ``whole`` if it has no others: it is not the first of its block, and it ends there.
-    Only whole units come back, or only the others.
+    A unit is ``whole`` (1, else 0) if it has no others: it is not the first of its block, and it
+    ends there. Only whole units come back, or only the others, where that is asked for.
     """
     def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, unit, first, parts, last = None, 0, True, [], None
@@ -152,7 +181,7 @@ def _unite(facts: dict[tuple[str, int], tuple[int, ...]], whole: bool) -> Callab
             for key, i, j in _runs(batch):
                 if key != held:
                     if parts and not whole:
-                        rows.append((*held, unit, "".join(parts), *last))
+                        rows.append((*held, unit, "".join(parts), *last, 0))
                     held, first, parts = key, True, []
                     inside, objects, arrays, unit = facts[key]
                 objects_now, arrays_now = n[f"objects{inside}"] + objects, n[f"arrays{inside}"] + arrays
@@ -160,20 +189,20 @@ def _unite(facts: dict[tuple[str, int], tuple[int, ...]], whole: bool) -> Callab
                 for end in (np.flatnonzero(closes) + i).tolist():
                     if first != whole:
                         text = "".join([*parts, *texts[i : end + 1]])
-                        rows.append((*key, unit, text, objects_now[end], arrays_now[end]))
+                        rows.append((*key, unit, text, objects_now[end], arrays_now[end], int(not first)))
                     unit, first, parts, i = unit + 1, False, [], end + 1
                 if i < j:
                     parts += texts[i:j]
                     last = (objects_now[j - 1], arrays_now[j - 1])
             yield _united(rows)
         if parts and not whole:
-            yield _united([(*held, unit, "".join(parts), *last)])
+            yield _united([(*held, unit, "".join(parts), *last, 0)])
 
     return united
 
 
 UNITED = {"file": pa.string(), "start": pa.int64(), "pos": pa.int64(), "text": pa.string(),
-          "objects_now": pa.int64(), "arrays_now": pa.int64()}
+          "objects_now": pa.int64(), "arrays_now": pa.int64(), "whole": pa.int64()}
 
 
 def _united(rows: list[tuple]) -> pa.RecordBatch:
@@ -194,38 +223,37 @@ def read_envelope(spark: SparkSession, path: str, schema: str, array: str = "dat
     blocks = _block_facts(pieces.mapInArrow(_facts_only, _schema(WALKED)))
     facts = {(r["file"], r["start"]): (r["inside"], r["objects"], r["arrays"], r["units"]) for r in blocks.collect()}
 
-    def united(whole: bool) -> DataFrame:
-        return pieces.mapInArrow(_unite(facts, whole), _schema(list(UNITED)))
-
+    united = settled(pieces.mapInArrow(_unite(facts), _schema(list(UNITED))))
     # A unit ends with an object that stands in nothing but the document and its arrays. Only
     # units that go on over the end of a block meet their other pieces.
     ends = F.struct("objects_now", "arrays_now")
-    at_ends = united(False).groupBy("file", "pos").agg(
+    at_ends = united.filter("whole = 0").groupBy("file", "pos").agg(
         F.array_join(F.array_sort(F.collect_list(F.struct("start", "text")))["text"], "").alias("text"),
         F.max_by(ends, "start").alias("end"),
     )
     units = (
-        united(True).select("file", "pos", "text", ends.alias("end")).unionByName(at_ends)
+        united.filter("whole = 1").select("file", "pos", "text", ends.alias("end")).unionByName(at_ends)
         .filter("end.objects_now = 1 AND end.arrays_now = 1")
     )
     # The object begins at the first brace outside of texts; the document's own
-    # has nothing before it, while a later element of an array stands after a comma.
-    parts = F.col("parts")
+    # has nothing before it, while a later element of an array stands after a comma, which is
+    # seen without cutting its text.
+    parts, plain, text = F.col("parts"), F.col("plain"), F.col("text")
     opens = F.filter(
         F.sequence(F.lit(0), F.size(parts) - 1),
         lambda i: (i % 2 == 0) & F.get(parts, i).contains("{") & ~((i == 0) & F.get(parts, i).rlike(r"^[\s\uFEFF]*\{\s*$")),
     )
     at = F.get(opens, F.lit(0))
     skipped = F.aggregate(F.slice(parts, F.lit(1), at), F.lit(0), lambda n, p: n + F.length(p) + 1)
-    found = units.withColumn("parts", _parts(F.col("text"))).withColumn("at", at)
+    found = units.withColumn("plain", text.rlike(r"^\s*,\s*\{"))
+    found = found.withColumn("parts", F.when(~plain, _parts(text))).withColumn("at", F.when(~plain, at))
     head = F.get(parts, F.col("at"))
-    named = settled(
-        found.select(
-            "file",
-            "pos",
-            F.when(head.rlike(r"^\s*:\s*\[\s*\{"), F.get(parts, F.col("at") - 1)).alias("name"),
-            F.col("text").substr(skipped + F.instr(head, "{"), F.length("text")).alias("record"),
-        )
+    begins = F.when(plain, F.instr("text", "{")).otherwise(skipped + F.instr(head, "{"))
+    named = found.select(
+        "file",
+        "pos",
+        F.when(head.rlike(r"^\s*:\s*\[\s*\{"), F.get(parts, F.col("at") - 1)).alias("name"),
+        text.substr(begins, F.length("text")).alias("record"),
     )
     # The few arrays of a document, by where they begin.
     arrays = named.filter("name IS NOT NULL").groupBy("file").agg(

@@ -1,10 +1,12 @@
 """What steps cost as tables grow: shuffles, sorts and memory, with the same results."""
 
+import random
 import re
 import sys
 import tracemalloc
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,6 +95,31 @@ def test_an_envelope_is_walked_where_it_is_read(spark, tmp_path):
     assert [r["key"] for r in got] == [str(i) for i in range(2000)]
 
 
+def test_marks_of_an_envelope_are_counted_in_bytes():
+    pick = random.Random(1)
+    texts = ["".join(pick.choice('"\\{}[]a é🙂\n,') for _ in range(pick.randrange(30))) + "}" for _ in range(400)]
+    got = envelopes._opened(pa.array(["cut off", *texts])[1:])
+    for i, text in enumerate(texts):
+        bare = re.sub(r"(?s)\\.", "__", text)
+        assert got["flips"][i] == bare.count('"') % 2
+        for q in (0, 1):
+            outside = "".join(('"' * q + bare).split('"')[::2])
+            assert got[f"objects{q}"][i] == outside.count("{") - outside.count("}")
+            assert got[f"arrays{q}"][i] == outside.count("[") - outside.count("]")
+
+
+def test_units_of_an_envelope_are_made_in_one_walk(spark, tmp_path):
+    records = ",".join(f'{{"key": "{i}", "more": {{"n": 1}}}}' for i in range(500))
+    (tmp_path / "d.json").write_text(f'{{"x": [{{"key": "no"}}], "data": [ {records}\n , {{"key": "last"}}], "end": 1}}')
+    pieces = envelopes._pieces(spark, str(tmp_path))
+    blocks = envelopes._block_facts(pieces.mapInArrow(envelopes._facts_only, envelopes._schema(envelopes.WALKED)))
+    facts = {(r["file"], r["start"]): (r["inside"], r["objects"], r["arrays"], r["units"]) for r in blocks.collect()}
+    flags = pieces.mapInArrow(envelopes._unite(facts), envelopes._schema(list(envelopes.UNITED))).select("whole").collect()
+    assert {r[0] for r in flags} == {0, 1}
+    got = envelopes.read_envelope(spark, str(tmp_path), "key string").orderBy("pos").collect()
+    assert [r["key"] for r in got] == [*map(str, range(500)), "last"]
+
+
 def test_the_many_rows_of_sheets_are_not_sorted_to_profile_them(spark):
     density = profile.row_density(views.grid(spark, DATA))
     # Only the first rows of the sheets pass the one aggregate that sorts.
