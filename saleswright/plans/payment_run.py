@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from saleswright.config import BASE_LEDGER, Ledger
 from saleswright.operators import ledger_checks, projection
 from saleswright.operators.conditions import Condition
-from saleswright.scale import compiled, scratch_path
+from saleswright.scale import compiled, scratch_path, shuffles_removed
 
 
 class LoadedRun:
@@ -39,7 +39,7 @@ class LoadedRun:
         """All rows in range with their places, stored."""
         spark = self.grid.sparkSession
         path = scratch_path(spark, "staged")
-        with compiled(spark):
+        with compiled(spark), shuffles_removed(spark):
             projection.placed_rows(self.rows(by_block=True)).write.parquet(path)
         self.is_staged = True
         return spark.read.parquet(path)

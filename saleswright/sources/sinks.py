@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from saleswright.config import TEMPLATE_FIELDS, TEMPLATE_TITLE, Ledger
 from saleswright.operators.keys import with_key_faults
-from saleswright.scale import settled
+from saleswright.scale import settled, shuffles_removed
 from saleswright.sources import versions
 
 
@@ -32,7 +32,8 @@ def append_ledger(df: DataFrame, table: str, ledger: Ledger) -> None:
 
 def append_ledger_files(df: DataFrame, path: str, ledger: Ledger) -> None:
     """Append typed rows to a Parquet ledger, in the ledger's column order."""
-    df.select(*ledger.names).write.mode("append").parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.select(*ledger.names).write.mode("append").parquet(path)
 
 
 def read_ledger_files(spark: SparkSession, path: str, ledger: Ledger) -> DataFrame:

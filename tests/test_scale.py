@@ -1,9 +1,13 @@
 """The spreading helpers give the same result whichever way they take."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from saleswright import scale
+from saleswright.config import BASE_LEDGER
+from saleswright.sources import sinks
 
 
 @pytest.fixture(params=[True, False], ids=["broadcast", "shuffled"])
@@ -63,3 +67,28 @@ def test_first_examples_limits_before_the_shuffle(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert scale.scratch_path(spark, "x").startswith(spark.sparkContext.getCheckpointDir())
+
+
+def test_steps_leave_no_shuffle_files(spark, tmp_path):
+    """What a step has shuffled is not needed once its rows are stored."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        blocks = disk.getAllBlocks()
+        return {blocks.apply(i).name() for i in range(blocks.size())
+                if blocks.apply(i).name().startswith("shuffle_")}
+
+    def left(before):
+        until = time.time() + 20
+        while (more := shuffles() - before) and time.time() < until:
+            time.sleep(0.2)
+        return more
+
+    rows = spark.range(1000).select((F.col("id") % 7).cast("string").alias("transaction_id"))
+    rows = rows.groupBy("transaction_id").count().drop("count")
+    rows = rows.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name != "transaction_id" else "transaction_id" for f in BASE_LEDGER.schema.fields])
+    before = shuffles()
+    scale.settled(rows)
+    sinks.append_ledger_files(rows, str(tmp_path / "ledger"), BASE_LEDGER)
+    assert not left(before)
+    assert sinks.read_ledger_files(spark, str(tmp_path / "ledger"), BASE_LEDGER).count() == 7

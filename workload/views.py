@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleswright.scale import compiled, scratch_path
+from saleswright.scale import compiled, scratch_path, shuffles_removed
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -165,7 +165,7 @@ def landed_path(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = scratch_path(spark, name)
-        with compiled(spark):
+        with compiled(spark), shuffles_removed(spark):
             write(path)
         _LANDED[key] = path
     return _LANDED[key]
